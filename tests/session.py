@@ -1,0 +1,20 @@
+"""The local session used by tests, bench and the comparison tool."""
+
+import os
+
+from pyspark.sql import SparkSession
+
+
+def make_session(name: str, cores: str | None = None, partitions: int = 8) -> SparkSession:
+    cores = cores or os.environ.get("BENCH_CPUS", "8")
+    spark = (
+        SparkSession.builder.master(f"local[{cores}]")
+        .appName(name)
+        .config("spark.ui.enabled", "false")
+        .config("spark.driver.memory", "8g")
+        .config("spark.sql.shuffle.partitions", partitions)
+        .config("spark.sql.session.timeZone", "UTC")
+        .getOrCreate()
+    )
+    spark.sparkContext.setLogLevel("ERROR")
+    return spark
