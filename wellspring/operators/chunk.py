@@ -20,7 +20,8 @@ def chunk(articles: DataFrame, size: int = CHUNK_WORDS, overlap: int = OVERLAP_W
     """Replace ``text`` by one row per chunk; other columns are repeated.
 
     Windows are built as one array per article and then exploded, so the words of a long
-    article are not copied into each of its chunk rows.
+    article are not copied into each of its chunk rows. The outer explode keeps the optimizer
+    from adding a not-empty filter below it, which would split the text again per window.
     """
     if not 0 <= overlap < size:
         raise ValueError(f"need 0 <= overlap < size, got overlap={overlap}, size={size}")
@@ -28,6 +29,7 @@ def chunk(articles: DataFrame, size: int = CHUNK_WORDS, overlap: int = OVERLAP_W
     return (
         articles.withColumn("_words", words(F.col("text")))
         .select(*carried, overlapping_windows(F.col("_words"), size, overlap).alias("_chunks"))
-        .select(*carried, F.posexplode("_chunks").alias("chunk_no", "chunk_text"))
+        .select(*carried, F.posexplode_outer("_chunks").alias("chunk_no", "chunk_text"))
+        .where(F.col("chunk_no").isNotNull())
         .withColumn("chunk_id", F.concat_ws(":", "doc_id", "chunk_no"))
     )

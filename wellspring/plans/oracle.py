@@ -91,7 +91,7 @@ measured AS (
 hits AS (
   SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY distance, vec_id) AS rank, vec_id, distance
   FROM measured QUALIFY rank <= 6)
-SELECT query_id, rank, vec_id, distance FROM hits"""
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, distance FROM hits"""
 
 FOLDED = f"""{TEXT_HITS},
 folded AS (
@@ -142,8 +142,8 @@ SELECT row_number() OVER (ORDER BY doc_id, chunk_no) - 1 AS pos, chunk_id, title
     "index_size": f"WITH {CHUNKS} SELECT count(*) AS ntotal FROM chunks",
     "knn_topk": VECTOR_HITS,
     "hit_distance": VECTOR_HITS,
-    "text_topk": f"{TEXT_HITS} SELECT query_id, rank, pos, chunk_id, distance FROM hits",
-    "context_fetch": f"{TEXT_HITS} SELECT query_id, rank, chunk_text FROM hits",
+    "text_topk": f"{TEXT_HITS} SELECT query_id, CAST(rank AS INTEGER) AS rank, pos, chunk_id, distance FROM hits",
+    "context_fetch": f"{TEXT_HITS} SELECT query_id, CAST(rank AS INTEGER) AS rank, chunk_text FROM hits",
     "context_dedupe": f"""{FOLDED}
 SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY rank) - 1 AS INTEGER) AS context_no, context
 FROM first_seen""",
@@ -179,8 +179,9 @@ SELECT query_id, query, CASE WHEN status = 'completed' THEN reply END AS answer,
        CASE WHEN status = 'failed' THEN 'no reply' END AS error, status
 FROM log WHERE status <> 'queued'""",
     "request_metrics": f"""{REQUEST_LOG}
-SELECT count_if(status = 'processing') AS active_workers, CAST(4 AS INTEGER) AS max_workers,
-       count_if(status = 'queued') AS queue_size, count_if(status = 'completed') AS total_completed
+SELECT CAST(count_if(status = 'processing') AS BIGINT) AS active_workers, CAST(4 AS INTEGER) AS max_workers,
+       CAST(count_if(status = 'queued') AS BIGINT) AS queue_size,
+       CAST(count_if(status = 'completed') AS BIGINT) AS total_completed
 FROM log""",
     "answer_stream": f"""{_retrieved(USER_TURNS, 'query_id', 'text')}
 SELECT query_id, 'completed' AS status, CAST(rank AS INTEGER) AS rank, chunk_text AS context FROM hits""",
