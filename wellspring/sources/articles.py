@@ -30,8 +30,9 @@ def slots_for(rows: int, cores: int, rows_per_slot: int = ROWS_PER_SLOT) -> int:
 
 
 def batches(rows: DataFrame, batch_rows: int = BATCH_ROWS, row_index: str | None = None) -> DataFrame:
-    """Add ``batch_id``. A dense ``row_index`` column makes this a narrow projection;
-    without one the rows are sorted by key and numbered first, which shuffles them."""
+    """Add ``batch_id``. With a dense ``row_index`` column this is a narrow projection, for
+    tables stored in that order (else each task would write to every batch's folder).
+    Without one the rows are sorted by key and numbered first, which shuffles them."""
     if row_index is not None:
         return rows.withColumn("batch_id", row_range_batch(F.col(row_index), batch_rows))
     cores = rows.sparkSession.sparkContext.defaultParallelism
@@ -44,4 +45,4 @@ def batches(rows: DataFrame, batch_rows: int = BATCH_ROWS, row_index: str | None
 
 def article_scan(spark: SparkSession, path: str, **columns: str) -> DataFrame:
     """Articles spread over the cores, for the jobs that do work per row."""
-    return spread(articles(spark, path, **columns))
+    return spread(articles(spark, path, **columns), "doc_id")

@@ -35,14 +35,14 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Give a plain scan at least one partition per core.
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Give a plain scan at least one partition per core, in ranges of ``key``.
 
     A table that fits fewer splits than there are cores is small by definition, so
     the shuffle is cheap; a large scan already has more splits and is left alone.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    return df.repartitionByRange(cores, key) if df.rdd.getNumPartitions() < cores else df
 
 
 def ship_package(spark: SparkSession) -> None:
