@@ -1,0 +1,54 @@
+"""Plain-Python definitions the tests compare against."""
+
+import numpy as np
+from pyspark.sql import functions as F
+
+from wellspring.plans.ingest import build_index
+from wellspring.schemas import EMBEDDED
+from wellspring.workspace import scratch, stage
+
+SF = "/root/testdata/sf0.001"
+
+
+def windows(text, size, overlap):
+    tokens = text.split()
+    stride = size - overlap
+    return [" ".join(tokens[s : s + size]) for s in range(0, len(tokens), stride)]
+
+
+def brute_force(ids, vectors, questions, k):
+    """(question number, rank, id, distance) by measuring every pair."""
+    gaps = questions[:, None, :].astype(np.float64) - vectors[None, :, :].astype(np.float64)
+    distance = np.floor((gaps**2).sum(axis=2) * 1e9 + 0.5) / 1e9
+    rows = []
+    for q, line in enumerate(distance):
+        order = sorted(range(len(ids)), key=lambda i: (line[i], ids[i]))[:k]
+        rows += [(q, rank, ids[i], line[i]) for rank, i in enumerate(order, 1)]
+    return rows
+
+
+def vector_table(spark, ids, vectors):
+    rows = [(int(i), [float(x) for x in v]) for i, v in zip(ids, vectors)]
+    return spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+
+
+def question_table(spark, questions):
+    rows = [(str(i), [float(x) for x in v]) for i, v in enumerate(questions)]
+    return spark.createDataFrame(rows, "query_id string, embedding array<float>")
+
+
+def embedded_table(spark, rows):
+    """Staged embedded chunks from (doc_id, chunk_no, text, vector)."""
+    full = [
+        (d, n, f"{d}:{n}", f"title {d}", text, vector, None if vector is None else len(vector), 0)
+        for d, n, text, vector in rows
+    ]
+    return stage(spark.createDataFrame(full, EMBEDDED), "test-embedded")
+
+
+def small_index(spark, rows, dim, **options):
+    return build_index(embedded_table(spark, rows), scratch(spark, "test-index"), dim, **options)
+
+
+def collected(df, *order):
+    return [tuple(row) for row in df.orderBy(*[F.col(c) for c in order]).collect()]

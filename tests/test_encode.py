@@ -1,0 +1,93 @@
+import hashlib
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from wellspring.backends import HashingEncoder, loaded
+from wellspring.operators.encode import encode
+from wellspring.operators.pool import mean_pool
+
+
+class Picky:
+    """Fails on any batch that holds a marked text."""
+
+    def __call__(self):
+        def run(texts):
+            if any("bad" in t for t in texts):
+                raise RuntimeError("cannot encode")
+            return np.array([[len(t), 1.0] for t in texts], dtype=np.float32)
+
+        return run
+
+
+class Short:
+    """Returns too few vectors for a batch of several texts."""
+
+    def __call__(self):
+        return lambda texts: np.ones((1, 3), dtype=np.float32)
+
+
+def plain(text, dim, max_tokens):
+    tokens = text.lower().split()[:max_tokens]
+    out = [0] * dim
+    for token in tokens:
+        h = int(hashlib.md5(token.encode()).hexdigest()[:8], 16)
+        out[h % dim] += 1 if (h // dim) % 2 == 0 else -1
+    return [np.float32(v / len(tokens)) if tokens else np.float32(0) for v in out]
+
+
+@pytest.mark.parametrize("max_tokens", [3, 128, None])
+def test_hashing_encoder_matches_its_definition(max_tokens):
+    texts = ["One two ONE three four", "", "  ", "Été été", "x " * 300]
+    found = HashingEncoder(dim=16, max_tokens=max_tokens).encode(texts)
+    assert found.dtype == np.float32 and found.shape == (5, 16)
+    assert found.tolist() == [plain(t, 16, max_tokens) for t in texts]
+
+
+def test_width_and_truncation_defaults():
+    encoder = HashingEncoder()
+    long = " ".join(f"w{i}" for i in range(500))
+    cut = " ".join(f"w{i}" for i in range(128))
+    assert encoder.encode([long]).shape == (1, 384)
+    assert (encoder.encode([long]) == encoder.encode([cut])).all()
+
+
+def test_only_the_rows_at_fault_come_back_empty(spark):
+    texts = [(0, "fine"), (1, "bad one"), (2, None), (3, "ok")]
+    df = spark.createDataFrame(texts, "id int, t string").coalesce(1)
+    rows = df.select("id", encode(F.col("t"), Picky()).alias("v")).collect()
+    assert {r.id: r.v for r in rows} == {0: [4.0, 1.0], 1: [], 2: [], 3: [2.0, 1.0]}
+
+
+def test_wrong_number_of_vectors_is_a_failure_of_the_batch(spark):
+    df = spark.createDataFrame([("a",), ("b",)], "t string").coalesce(1)
+    rows = df.select(encode(F.col("t"), Short()).alias("v")).collect()
+    assert [r.v for r in rows] == [[1.0] * 3] * 2
+
+
+def test_all_null_and_empty_partitions(spark):
+    df = spark.createDataFrame([(None,)] * 3, "t string").repartition(4)
+    assert [r.v for r in df.select(encode(F.col("t"), Picky()).alias("v")).collect()] == [[]] * 3
+
+
+def test_equal_factories_load_once():
+    assert loaded(HashingEncoder(dim=8)) == loaded(HashingEncoder(dim=8))
+    before = loaded.cache_info().hits
+    loaded(HashingEncoder(dim=8))
+    assert loaded.cache_info().hits == before + 1
+
+
+def test_encoder_runs_once_per_row_even_under_a_filter(spark):
+    df = spark.createDataFrame([("abc",), ("de",)], "t string")
+    out = df.withColumn("v", encode(F.col("t"), Picky())).where(F.size("v") > 0)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1
+    assert out.count() == 2
+
+
+def test_mean_pool_with_a_heavy_key(spark):
+    rows = [("hot", [float(i), 1.0]) for i in range(300)] + [("cold", [2.0, 4.0])]
+    df = spark.createDataFrame(rows, "k string, embedding array<float>")
+    out = {r.k: r.embedding for r in mean_pool(df, "k").collect()}
+    assert out == {"hot": [149.5, 1.0], "cold": [2.0, 4.0]}

@@ -42,7 +42,8 @@ def loaded(factory):
 
 @lru_cache(maxsize=1 << 18)
 def token_hash(token: str) -> int:
-    return int(hashlib.md5(token.encode("utf-8", "surrogatepass")).hexdigest()[:8], 16)
+    """First 32 bits of the MD5 of the lower-cased token."""
+    return int(hashlib.md5(token.lower().encode("utf-8", "surrogatepass")).hexdigest()[:8], 16)
 
 
 @dataclass(frozen=True)
@@ -58,7 +59,7 @@ class HashingEncoder:
     def encode(self, texts: list[str]) -> np.ndarray:
         limit = -1 if self.max_tokens is None else self.max_tokens
         cut = None if self.max_tokens is None else self.max_tokens
-        tokens = [text.lower().split(None, limit)[:cut] for text in texts]
+        tokens = [text.split(None, limit)[:cut] for text in texts]
         counts = np.fromiter(map(len, tokens), dtype=np.int64, count=len(tokens))
         hashes = np.fromiter(map(token_hash, chain.from_iterable(tokens)), np.int64, counts.sum())
         sign, bucket = np.divmod(hashes, self.dim)

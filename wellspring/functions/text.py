@@ -3,16 +3,12 @@
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Fixed value: the code points Python's str.split() takes as whitespace.
-WHITESPACE = "".join(
-    map(
-        chr,
-        [
-            *range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B),
-            0x2028, 0x2029, 0x202F, 0x205F, 0x3000,
-        ],
-    )
-)
+# Fixed value: the characters Python's str.split() takes as whitespace.
+WHITESPACE = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
+    "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
 
 # The same set for Java. Unicode-aware \s lacks only the four information separators; a class
 # that lists the ranges is three times slower, as Java tests them one by one per character.

@@ -22,30 +22,30 @@ def encode(text: Column, factory) -> Column:
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         encoder = loaded(factory)
         for texts in batches:
-            yield as_lists(vectors(encoder, texts.to_pylist()))
+            yield vectors(encoder, texts.to_pylist())
 
     return run.asNondeterministic()(text)
 
 
-def vectors(encoder, texts: list[str | None]) -> list[np.ndarray]:
-    """One vector per text. If the batch fails, texts are tried one by one so that
-    only those at fault come back empty."""
-    known = [i for i, text in enumerate(texts) if text is not None]
-    out = [np.empty(0, np.float32)] * len(texts)
+def vectors(encoder, texts: list[str | None]) -> pa.Array:
+    """One vector per text, empty for NULL. If the batch fails, texts are tried one by one
+    so that only those at fault come back empty."""
+    known = [text for text in texts if text is not None]
     try:
-        found = encoder([texts[i] for i in known]) if known else []
-        for i, vector in zip(known, found, strict=True):
-            out[i] = vector
+        rows = encoder(known) if known else []
+        if len(rows) != len(known):
+            raise ValueError("encoder returned another number of vectors")
     except Exception:
-        for i in known:
-            try:
-                out[i] = encoder([texts[i]])[0]
-            except Exception:
-                out[i] = np.empty(0, np.float32)
-    return out
-
-
-def as_lists(rows: list[np.ndarray]) -> pa.Array:
-    ends = np.cumsum([0] + [len(row) for row in rows])
-    flat = np.concatenate(rows) if rows else np.empty(0)
-    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat.astype(np.float32)))
+        rows = [alone(encoder, text) for text in known]
+    flat = np.concatenate(list(rows)) if isinstance(rows, list) and rows else np.ravel(rows)
+    widths = np.zeros(len(texts), dtype=np.int32)
+    widths[[text is not None for text in texts]] = [len(row) for row in rows]
+    ends = np.concatenate([[0], np.cumsum(widths)])
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat, pa.float32()))
+
+
+def alone(encoder, text: str) -> np.ndarray:
+    try:
+        return np.asarray(encoder([text])[0], dtype=np.float32)
+    except Exception:
+        return np.empty(0, np.float32)

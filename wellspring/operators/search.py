@@ -18,6 +18,10 @@ TOP_K = 6
 # Upper bound of one broadcast question tile.
 TILE_BYTES = 32 << 20
 
+# Scan tasks per search. A question's final ranking sees at most k rows from each, however
+# large the index grows; beyond this many splits, neighbouring ones share a task.
+MAX_TASKS = 10_000
+
 HIT = "query_id string, distance double, id long"
 
 
@@ -39,9 +43,9 @@ def search(
     ``questions`` (query_id, embedding) must be a table rather than a plan that runs a
     model, as it is read more than once. Questions are cut into tiles of at most
     ``tile_bytes``. Each tile is broadcast and folded over the whole index by a map-side
-    top-k, so only k rows per question and partition are shuffled. One tile gives a lazy
+    top-k, so only k rows per question and task are shuffled. One tile gives a lazy
     result; with several, each tile's hits are written before the next is read, and the
-    driver never holds more than one.
+    driver never holds more than one. ``query_id`` must be unique.
     """
     spark = vectors.sparkSession
     asked = questions.where(has_vector(F.col("embedding"))).select("query_id", "embedding")
@@ -97,7 +101,7 @@ def _partial_hits(base: DataFrame, tile: DataFrame, k: int):
                 names=["query_id", "distance", "id"],
             )
 
-    return base.mapInArrow(fold, HIT), shared
+    return base.coalesce(MAX_TASKS).mapInArrow(fold, HIT), shared
 
 
 def _ranked(partial: DataFrame, k: int, id_col: str) -> DataFrame:

@@ -24,7 +24,9 @@ def scratch(spark: SparkSession, name: str) -> str:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
         app = spark.sparkContext.applicationId
-        root = _local_roots.setdefault(app, tempfile.mkdtemp(prefix="wellspring-"))
+        if app not in _local_roots:
+            _local_roots[app] = tempfile.mkdtemp(prefix="wellspring-")
+        root = _local_roots[app]
     return f"{root.rstrip('/')}/wellspring/{name}-{uuid.uuid4().hex}"
 
 
