@@ -1,0 +1,194 @@
+import json
+from pathlib import Path
+
+import pytest
+from pyspark.sql import functions as F
+
+from tests.support import SF, collected, embedded_table, small_index
+from wellspring.backends import HashingEncoder
+from wellspring.operators.position import in_order, slot_table, with_position
+from wellspring.operators.validate import verdict
+from wellspring.plans.ingest import build_index, chunk_corpus, embed_chunks, ingest, ledger
+from wellspring.schemas import CHUNK
+from wellspring.sources.articles import articles, batches
+from wellspring.sources.index import load_index
+from wellspring.sources.tables import batch_ledger, read_chunk_lines, write_batches
+from wellspring.workspace import scratch, stage
+
+TINY = HashingEncoder(dim=8)
+
+
+class Flaky:
+    """Fails on texts that hold a marked word."""
+
+    def __call__(self):
+        def run(texts):
+            if any("ouen" in t for t in texts):
+                raise RuntimeError("no")
+            return TINY.encode(texts)
+
+        return run
+
+
+class Counting:
+    """Encodes each text as its number of characters."""
+
+    def __call__(self):
+        import numpy as np
+
+        return lambda texts: np.array([[len(t)] for t in texts], dtype=np.float32)
+
+
+def test_positions_are_dense_in_key_order(spark):
+    rows = [(d, n, f"text {d} {n}", [float(d), float(n)]) for d in (11, 2, 10, 7) for n in (1, 0, 2)]
+    index = small_index(spark, rows, 2, rows_per_slot=2)
+    assert index.slots.count() > 1
+    out = collected(index.positioned().select("pos", "doc_id", "chunk_no"), "pos")
+    assert out == [(p, d, n) for p, (d, n) in enumerate((d, n) for d in (2, 7, 10, 11) for n in range(3))]
+    assert index.size().first().ntotal == 12
+
+
+def test_row_key_orders_like_position(spark):
+    rows = [(d, 0, "t", [1.0]) for d in range(200)]
+    index = small_index(spark, rows, 1, rows_per_slot=13)
+    keyed = with_position(index.rows, index.slots).orderBy("row_key").collect()
+    assert [r.pos for r in keyed] == list(range(200))
+
+
+def test_a_document_with_most_chunks_is_split_over_slots(spark):
+    df = spark.range(3000).select(
+        F.when(F.col("id") < 2000, 5).otherwise(F.col("id")).alias("doc_id"),
+        F.when(F.col("id") < 2000, F.col("id")).otherwise(0).alias("chunk_no"),
+    )
+    ordered = stage(in_order(stage(df, "t"), 8, ["doc_id", "chunk_no"]), "t")
+    sizes = [r.n_rows for r in slot_table(ordered).collect()]
+    assert max(sizes) < 1000 and sum(sizes) == 3000
+    out = collected(with_position(ordered, slot_table(ordered)).select("pos", "doc_id", "chunk_no"), "pos")
+    assert [o[0] for o in out] == list(range(3000))
+    assert [o[1:] for o in out] == sorted(o[1:] for o in out)
+
+
+def test_rows_without_vector_or_text_and_misfits_stay_out(spark):
+    rows = [
+        (0, 0, "good", [1.0, 2.0]),
+        (1, 0, "", [1.0, 2.0]),
+        (2, 0, None, [1.0, 2.0]),
+        (3, 0, "empty", []),
+        (4, 0, "null", None),
+        (5, 0, "short", [1.0]),
+        (6, 0, "  ", [3.0, 4.0]),
+    ]
+    table = embedded_table(spark, rows)
+    path = scratch(spark, "t")
+    index = build_index(table, path, 2)
+    assert collected(index.positioned().select("pos", "chunk_text"), "pos") == [(0, "good"), (1, "  ")]
+    rejects = spark.read.parquet(f"{path}/rejects").collect()
+    assert [(r.chunk_id, r.width) for r in rejects] == [("5:0", 1)]
+    judged = table.select("doc_id", verdict(F.col("width"), F.col("chunk_text"), 2).alias("v"))
+    labels = [v for _, v in collected(judged, "doc_id")]
+    assert labels == ["indexed", "missing", "missing", "missing", "missing", "width", "indexed"]
+
+
+def test_width_check_reaches_the_scan(spark):
+    table = embedded_table(spark, [(0, 0, "a", [1.0])])
+    from wellspring.operators.validate import indexable
+
+    plan = table.where(indexable(F.col("width"), F.col("chunk_text"), 1))
+    assert "EqualTo(width,1)" in plan._jdf.queryExecution().executedPlan().toString()
+
+
+def test_empty_index(spark):
+    index = small_index(spark, [(0, 0, "x", [])], 2)
+    assert index.size().first().ntotal == 0
+    assert index.positioned().collect() == []
+
+
+def test_index_is_the_same_when_built_again(spark):
+    rows = [(d, n, f"{d} {n}", [float(d)]) for d in range(40) for n in range(3)]
+    table = embedded_table(spark, rows).repartition(5)
+    table = stage(table, "t")
+    path = scratch(spark, "t")
+    first = collected(build_index(table, path, 1).positioned().select("pos", "chunk_id"), "pos")
+    again = collected(build_index(table, path, 1).positioned().select("pos", "chunk_id"), "pos")
+    assert first == again == collected(load_index(spark, path).positioned().select("pos", "chunk_id"), "pos")
+
+
+@pytest.fixture
+def chunk_table(spark):
+    docs = batches(articles(spark, f"{SF}/documents.parquet", title="source"), 60, row_index="doc_id")
+    path = scratch(spark, "chunks")
+    write_batches(chunk_corpus(docs), path)
+    return spark.read.schema(CHUNK).parquet(path)
+
+
+def test_embedding_goes_on_where_it_stopped(spark, chunk_table):
+    path = scratch(spark, "t")
+    embed_chunks(chunk_table, path, TINY, batch_ids=[3, 1])
+    assert collected(ledger(spark, path).select("batch_id"), "batch_id") == [(1,), (3,)]
+    # The other batches are done by an encoder of another width, the first two are left.
+    rows = embed_chunks(chunk_table, path, Counting(), batches_per_job=1)
+    widths = rows.groupBy("batch_id").agg(F.collect_set("width").alias("w"))
+    assert collected(widths, "batch_id") == [(0, [1]), (1, [8]), (2, [1]), (3, [8])]
+    assert rows.count() == chunk_table.count()
+
+
+def test_embedding_a_batch_again_changes_only_that_batch(spark, chunk_table):
+    path = scratch(spark, "t")
+    before = collected(embed_chunks(chunk_table, path, TINY), "doc_id", "chunk_no")
+    again = collected(embed_chunks(chunk_table, path, TINY, batch_ids=[2]), "doc_id", "chunk_no")
+    assert again == before
+    entries = collected(ledger(spark, path).select("batch_id", "n_chunks"), "batch_id")
+    assert entries == collected(chunk_table.groupBy("batch_id").count(), "batch_id")
+
+
+def test_failed_chunks_are_counted_and_dropped(spark, chunk_table):
+    path = scratch(spark, "t")
+    rows = embed_chunks(chunk_table, path, Flaky())
+    bad = chunk_table.where(F.col("chunk_text").contains("ouen")).count()
+    assert 0 < bad < chunk_table.count()
+    assert ledger(spark, path).agg(F.sum("n_failed")).first()[0] == bad
+    assert collected(batch_ledger(rows), "batch_id") == collected(
+        ledger(spark, path).select("batch_id", "n_chunks", "n_failed"), "batch_id"
+    )
+    index = build_index(rows, scratch(spark, "t"), 8)
+    assert index.size().first().ntotal == chunk_table.count() - bad
+
+
+def test_ingest_equals_the_separate_jobs(spark, chunk_table):
+    rows = embed_chunks(chunk_table, scratch(spark, "t"), TINY)
+    apart = build_index(rows, scratch(spark, "t"), 8)
+    docs = batches(articles(spark, f"{SF}/documents.parquet", title="source"), 60, row_index="doc_id")
+    fused = ingest(docs, scratch(spark, "t"), TINY, 8)
+    assert collected(fused.positioned(), "pos") == collected(apart.positioned(), "pos")
+
+
+def test_chunk_lines_of_several_folders(spark, tmp_path):
+    lines = {
+        "a/one.json": ['{"doc_id":1,"chunk_no":0,"chunk_id":"1:0","chunk_text":"x \\u00e9","extra":1}'],
+        "a/two.json": ['{"title":"T","chunk_text":"x y"}', "not json", '{"title":"U","chunk_text":null}'],
+        "b/three.json": ['{"chunk_id":"2:0","chunk_text":"z"}'],
+    }
+    for name, content in lines.items():
+        target = Path(tmp_path, name)
+        target.parent.mkdir(exist_ok=True)
+        target.write_text("\n".join(content) + "\n")
+    rows = read_chunk_lines(spark, f"{tmp_path}/a", f"{tmp_path}/b")
+    out = {(r.chunk_id, r.title, r.chunk_text) for r in rows.collect()}
+    assert out == {
+        ("1:0", None, "x é"),
+        (None, "T", "x y"),
+        (None, None, None),
+        (None, "U", None),
+        ("2:0", None, "z"),
+    }
+    assert rows.count() == 5
+
+
+def test_json_chunk_sink_has_one_folder_per_batch(spark, chunk_table, tmp_path):
+    write_batches(chunk_table, f"{tmp_path}/json", "json")
+    folders = sorted(p.name for p in Path(tmp_path, "json").iterdir() if p.is_dir())
+    assert folders == [f"batch_id={i}" for i in range(4)]
+    line = next(Path(tmp_path, "json/batch_id=0").glob("*.json")).read_text().splitlines()[0]
+    assert set(json.loads(line)) == {"doc_id", "chunk_no", "chunk_id", "title", "chunk_text"}
+    back = read_chunk_lines(spark, f"{tmp_path}/json")
+    assert collected(back, "doc_id", "chunk_no") == collected(chunk_table, "doc_id", "chunk_no")

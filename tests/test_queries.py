@@ -1,0 +1,34 @@
+"""Every registered query against its SQL, on the smallest tables."""
+
+from pathlib import Path
+
+import duckdb
+import pytest
+
+import __spark_entry__ as contract
+from tests.support import SF
+from tools.compare import compare
+
+NAMES = sorted(contract.queries())
+
+
+@pytest.fixture(scope="module")
+def tables():
+    connection = duckdb.connect()
+    for table in Path(SF).glob("*.parquet"):
+        connection.sql(f"CREATE VIEW {table.stem} AS SELECT * FROM '{table}'")
+    return connection
+
+
+@pytest.mark.parametrize("name", NAMES)
+def test_query_equals_sql(spark, tables, name):
+    good, note = compare(spark, tables, name, SF)
+    assert good, note
+
+
+def test_every_query_has_sql():
+    assert NAMES == sorted(contract.oracle_sql())
+
+
+def test_entry(spark):
+    assert contract.entry(spark).columns == ["query_id", "rank", "pos", "chunk_id", "distance"]
