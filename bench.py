@@ -65,7 +65,7 @@ def main() -> None:
     rates = {
         "chunks_ingested_per_sec": chunks / spent["ingest"],
         "chunks_cut_per_sec": chunks / spent["chunk_overlap"],
-        "questions_retrieved_per_sec": asked.count() / spent["text_topk"],
+        "questions_retrieved_per_sec": asked.count / spent["text_topk"],
         "knn_questions_per_sec": vectors / spent["knn_topk"],
     }
     print(

@@ -36,6 +36,7 @@ def search(
     k: int = TOP_K,
     id_col: str = "row_key",
     tile_bytes: int = TILE_BYTES,
+    extent: tuple[int, int] | None = None,
 ) -> DataFrame:
     """``query_id, rank, <id_col>, distance``: the k rows nearest to each question, by
     (distance, id); fewer if there are fewer rows.
@@ -45,25 +46,26 @@ def search(
     ``tile_bytes``. Each tile is broadcast and folded over the whole index by a map-side
     top-k, so only k rows per question and task are shuffled. One tile gives a lazy
     result; with several, each tile's hits are written before the next is read, and the
-    driver never holds more than one. ``query_id`` must be unique.
+    driver never holds more than one. ``query_id`` must be unique. ``extent`` is the
+    number of questions and the width of their vectors, where known; else they are counted.
     """
     spark = vectors.sparkSession
     asked = questions.where(has_vector(F.col("embedding"))).select("query_id", "embedding")
     asked = asked.withColumn("query_id", F.col("query_id").cast("string"))
     base = vectors.select(F.col(id_col).cast("long").alias("id"), "embedding")
-    size = asked.agg(F.count("*").alias("n"), F.max(F.size("embedding")).alias("dim")).first()
-    if size.n == 0:
+    count, dim = extent or asked.agg(F.count("*"), F.max(F.size("embedding"))).first()
+    if not count or not dim:
         return _ranked(spark.createDataFrame([], HIT), k, id_col)
 
-    tile_rows = max(1, tile_bytes // (4 * size.dim))
-    if size.n <= tile_rows:
+    tile_rows = max(1, tile_bytes // (4 * dim))
+    if count <= tile_rows:
         partial, _ = _partial_hits(base, asked, k)
         return _ranked(partial, k, id_col)
 
     tiles, hits = scratch(spark, "question-tiles"), scratch(spark, "tile-hits")
     number = F.monotonically_increasing_id()
     (
-        asked.repartition(-(-size.n // tile_rows), "query_id")
+        asked.repartition(-(-count // tile_rows), "query_id")
         .withColumn("_row", number)
         .withColumn("slot", slot_of(F.col("_row")))
         .withColumn("part", F.floor(row_of(F.col("_row")) / tile_rows).cast("int"))

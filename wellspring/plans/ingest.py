@@ -6,12 +6,12 @@ from pyspark.sql import functions as F
 from wellspring.backends import DIM
 from wellspring.operators.chunk import CHUNK_WORDS, OVERLAP_WORDS, chunk
 from wellspring.operators.encode import encode
-from wellspring.schemas import CHUNK, EMBEDDED, LEDGER
+from wellspring.schemas import CHUNK, EMBEDDED
 from wellspring.sources.index import VectorIndex, load_index, write_index
 from wellspring.sources.tables import (
-    batch_ledger,
-    read_batches,
-    read_batches_if_any,
+    note_batches,
+    read_ledger,
+    read_table_if_any,
     write_batches,
 )
 
@@ -45,18 +45,19 @@ def embed_chunks(
     spark = chunks.sparkSession
     if batch_ids is None:
         known = {row.batch_id for row in chunks.select("batch_id").distinct().collect()}
-        batch_ids = known - {row.batch_id for row in ledger(spark, path).select("batch_id").collect()}
+        batch_ids = known - {row.batch_id for row in ledger(spark, path).collect()}
     todo = sorted(batch_ids, reverse=True)
     for start in range(0, len(todo), batches_per_job):
         chosen = F.col("batch_id").isin(todo[start : start + batches_per_job])
         write_batches(embed(chunks.where(chosen), factory), f"{path}/rows")
-        written = read_batches(spark, f"{path}/rows", EMBEDDED)
-        write_batches(batch_ledger(written.where(chosen)), f"{path}/ledger")
-    return read_batches_if_any(spark, f"{path}/rows", EMBEDDED)
+        written = read_table_if_any(spark, f"{path}/rows", EMBEDDED)
+        note_batches(written.where(chosen), f"{path}/ledger")
+    return read_table_if_any(spark, f"{path}/rows", EMBEDDED)
 
 
 def ledger(spark: SparkSession, path: str) -> DataFrame:
-    return read_batches_if_any(spark, f"{path}/ledger", LEDGER)
+    """Chunks and failed chunks of each batch embedded under ``path``."""
+    return read_ledger(spark, f"{path}/ledger")
 
 
 def build_index(embedded: DataFrame, path: str, dim: int = DIM, **options) -> VectorIndex:
@@ -67,6 +68,6 @@ def build_index(embedded: DataFrame, path: str, dim: int = DIM, **options) -> Ve
 def ingest(articles: DataFrame, path: str, factory, dim: int = DIM) -> VectorIndex:
     """Articles with ``batch_id`` to an index; chunks go straight to the encoder."""
     write_batches(embed(chunk_corpus(articles), factory), f"{path}/embedded/rows")
-    embedded = read_batches(articles.sparkSession, f"{path}/embedded/rows", EMBEDDED)
-    write_batches(batch_ledger(embedded), f"{path}/embedded/ledger")
+    embedded = read_table_if_any(articles.sparkSession, f"{path}/embedded/rows", EMBEDDED)
+    note_batches(embedded, f"{path}/embedded/ledger")
     return build_index(embedded, f"{path}/index", dim)

@@ -13,13 +13,14 @@ from wellspring.operators.requests import load_metrics, route
 from wellspring.operators.search import search
 from wellspring.operators.validate import verdict
 from wellspring.plans.answer import (
+    Asked,
     answer_batch,
     encode_questions,
     retrieve,
     with_contexts,
     write_logs,
 )
-from wellspring.plans.ingest import chunk_corpus, embed_chunks, ingest
+from wellspring.plans.ingest import chunk_corpus, embed_chunks, ingest, ledger
 from wellspring.schemas import CHUNK
 from wellspring.sources.articles import article_scan, articles, batches, peek
 from wellspring.sources.index import VectorIndex, load_index
@@ -38,7 +39,7 @@ BATCH_ROWS = 250
 TABLE_DIM = 64
 
 _indexes: dict[tuple[str, str], str] = {}
-_encoded: dict[tuple[str, str], DataFrame] = {}
+_encoded: dict[tuple[str, str], Asked] = {}
 
 
 def _documents(spark: SparkSession, sf_dir: str, spread: bool = True) -> DataFrame:
@@ -61,7 +62,7 @@ def corpus_index(spark: SparkSession, sf_dir: str) -> VectorIndex:
     return load_index(spark, _indexes[key])
 
 
-def benchmark_questions(spark: SparkSession, sf_dir: str) -> DataFrame:
+def benchmark_questions(spark: SparkSession, sf_dir: str) -> Asked:
     """``benchmark`` as encoded questions, encoded on first use in an application."""
     ship_package(spark)
     key = (spark.sparkContext.applicationId, sf_dir)
@@ -110,9 +111,7 @@ def batch_ledger(spark, sf_dir):
     chunks = f"{path}/chunks"
     write_batches(chunk_corpus(numbered), chunks)
     embed_chunks(spark.read.schema(CHUNK).parquet(chunks), path, ENCODER)
-    return spark.read.parquet(f"{path}/ledger").select(
-        F.col("batch_id").cast("long"), "n_chunks", "n_failed"
-    )
+    return ledger(spark, path)
 
 
 def hash_encode(spark, sf_dir):

@@ -32,9 +32,10 @@ EMBEDDED = T.StructType(
 )
 
 LEDGER = _struct(
+    ("batch_id", T.LongType()),
     ("n_chunks", T.LongType()),
     ("n_failed", T.LongType()),
-    ("batch_id", T.LongType()),
+    ("noted_at", T.TimestampType()),
 )
 
 # row_key orders rows like their position; slot is the folder a row lies in.

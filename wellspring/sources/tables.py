@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wellspring.functions.records import answer_log, answer_summary, response
-from wellspring.schemas import ANSWER_LOG, ANSWER_SUMMARY, CHUNK, RESPONSE
+from wellspring.schemas import ANSWER_LOG, ANSWER_SUMMARY, CHUNK, LEDGER, RESPONSE
 
 # Quotes are doubled and line breaks kept, so contexts survive a round trip.
 CSV_OPTIONS = {
@@ -32,13 +32,9 @@ def write_batches(rows: DataFrame, path: str, fmt: str = "parquet") -> None:
     )
 
 
-def read_batches(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    return spark.read.schema(schema).parquet(path)
-
-
-def read_batches_if_any(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+def read_table_if_any(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     try:
-        return read_batches(spark, path, schema)
+        return spark.read.schema(schema).parquet(path)
     except AnalysisException as problem:
         if problem.getCondition() != "PATH_NOT_FOUND":
             raise
@@ -86,3 +82,16 @@ def batch_ledger(embedded: DataFrame) -> DataFrame:
     return embedded.groupBy("batch_id").agg(
         F.count("*").alias("n_chunks"), F.count_if(F.col("width") == 0).alias("n_failed")
     )
+
+
+def note_batches(embedded: DataFrame, path: str) -> None:
+    """Add the given batches to the ledger."""
+    entries = batch_ledger(embedded).withColumn("noted_at", F.current_timestamp())
+    entries.coalesce(1).write.mode("append").parquet(path)
+
+
+def read_ledger(spark: SparkSession, path: str) -> DataFrame:
+    """The last entry of each batch."""
+    entries = read_table_if_any(spark, path, LEDGER)
+    last = F.max_by(F.struct("n_chunks", "n_failed"), "noted_at").alias("last")
+    return entries.groupBy("batch_id").agg(last).select("batch_id", "last.*")

@@ -6,7 +6,7 @@ import uuid
 import zipfile
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 _local_roots: dict[str, str] = {}
 _shipped: set[str] = set()
@@ -37,6 +37,13 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def stage_measured(df: DataFrame, name: str, **metrics: Column) -> tuple[DataFrame, dict]:
+    """``stage``, with aggregates over ``df`` taken on the way instead of by a further job."""
+    seen = Observation()
+    table = stage(df.observe(seen, *[m.alias(n) for n, m in metrics.items()]), name)
+    return table, seen.get
+
+
 def spread(df: DataFrame, key: str) -> DataFrame:
     """Give a plain scan at least one partition per core, in ranges of ``key``.
 
