@@ -10,7 +10,7 @@ from wellspring.operators.position import in_order, slot_table, with_position
 from wellspring.operators.validate import verdict
 from wellspring.plans.ingest import build_index, chunk_corpus, embed_chunks, ingest, ledger
 from wellspring.schemas import CHUNK
-from wellspring.sources.articles import articles, batches
+from wellspring.sources.articles import MAX_SLOTS, articles, batches, slots_for
 from wellspring.sources.index import load_index
 from wellspring.sources.tables import batch_ledger, read_chunk_lines, write_batches
 from wellspring.workspace import scratch, stage
@@ -132,6 +132,18 @@ def test_embedding_goes_on_where_it_stopped(spark, chunk_table):
     assert rows.count() == chunk_table.count()
 
 
+def test_newest_batch_first(spark, chunk_table):
+    path = scratch(spark, "t")
+    embed_chunks(chunk_table, path, TINY, batches_per_job=1)
+    noted = spark.read.parquet(f"{path}/ledger").orderBy("noted_at").collect()
+    assert [r.batch_id for r in noted] == [3, 2, 1, 0]
+
+
+def test_slots_are_bounded():
+    assert slots_for(0, 8) == 1 and slots_for(5_000, 8) == 5 and slots_for(10**6, 8) == 10
+    assert slots_for(10**12, 8000) == MAX_SLOTS
+
+
 def test_embedding_a_batch_again_changes_only_that_batch(spark, chunk_table):
     path = scratch(spark, "t")
     before = collected(embed_chunks(chunk_table, path, TINY), "doc_id", "chunk_no")

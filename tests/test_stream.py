@@ -6,9 +6,9 @@ from pyspark.sql import functions as F
 
 from tests.support import collected, small_index
 from wellspring.plans.answer import answer_batch, encode_questions
-from wellspring.sources.questions import question_stream
+from wellspring.sources.questions import question_line_stream, question_stream
 from wellspring.streaming.answers import answer_stream, responses, stream_metrics
-from wellspring.workspace import stage
+from wellspring.workspace import scratch, stage
 
 WORDS = ["apple", "pear", "plum", "cherry", "fig", "grape", "lime", "kiwi"]
 
@@ -103,6 +103,28 @@ def test_replayed_batch_overwrites_itself(spark, index, tmp_path):
     assert rows_of(responses(spark, f"{tmp_path}/out")) == before
 
 
+def test_plain_lines_get_an_id_and_a_time(spark, index, tmp_path):
+    Path(tmp_path, "lines").mkdir()
+    Path(tmp_path, "lines/a.txt").write_text("plum\n quit \nfig\nplum\n")
+    query = answer_stream(
+        question_line_stream(spark, f"{tmp_path}/lines"),
+        index, Letters(), Refusing(), f"{tmp_path}/out", f"{tmp_path}/checkpoint",
+    )
+    query.awaitTermination()
+    out = responses(spark, f"{tmp_path}/out").collect()
+    assert sorted(r.query for r in out) == ["fig", "plum", "plum"]
+    assert len({r.query_id for r in out}) == 3 and all(r.query_id.startswith("query_0_") for r in out)
+    assert all(0 <= r.processing_time < 600 for r in out)
+
+
+def test_no_scratch_table_outlives_its_micro_batch(spark, index, tmp_path):
+    inbox(spark, f"{tmp_path}/inbox", [("a", "plum", 1)], 1)
+    root = Path(scratch(spark, "probe")).parent
+    before = set(root.iterdir())
+    run(spark, index, tmp_path)
+    assert set(root.iterdir()) <= before
+
+
 def test_intake_is_bounded(spark, index, tmp_path):
     inbox(spark, f"{tmp_path}/inbox", [(f"q{i}", "fig", i) for i in range(12)], 4)
     files = len(list(Path(tmp_path, "inbox").glob("*.json")))

@@ -35,8 +35,8 @@ def in_order(df: DataFrame, slots: int, order: list[str], ties: list[str] | None
 
 
 def slot_table(rows: DataFrame) -> DataFrame:
-    """First position and row count per slot: one small row per partition, which is why
-    the unpartitioned running sum over them is safe."""
+    """First position and row count per slot: one small row per range partition, of which
+    there are at most MAX_SLOTS, so the unpartitioned running sum over them is safe."""
     before = Window.orderBy("slot").rowsBetween(Window.unboundedPreceding, -1)
     return (
         rows.groupBy("slot")
@@ -50,8 +50,8 @@ def slot_table(rows: DataFrame) -> DataFrame:
 
 
 def with_position(rows: DataFrame, slots: DataFrame) -> DataFrame:
-    """Add ``pos``. The slot table has one row per partition of the index build, so it is
-    broadcast whatever the size of the index."""
+    """Add ``pos``. The slot table has one row per range partition (at most MAX_SLOTS), so
+    it is broadcast whatever the number of rows."""
     firsts = F.broadcast(slots.select("slot", "first_pos"))
     return (
         rows.join(firsts, "slot")

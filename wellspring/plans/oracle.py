@@ -105,8 +105,9 @@ REQUEST_LOG = f"""
 WITH turns AS (SELECT * FROM {TURNS}),
 log AS (
   SELECT a.query_id, a.text AS query, b.text AS reply,
-         CASE WHEN b.role IS NULL THEN 'queued' WHEN b.role = 'assistant' THEN 'completed' ELSE 'failed' END AS status
-  FROM turns a LEFT JOIN turns b ON b.conv_id = a.conv_id AND b.turn = a.turn + 1
+         CASE WHEN b.text IS NOT NULL THEN 'completed' WHEN a.turn < 3 THEN 'queued'
+              WHEN a.turn < 6 THEN 'processing' ELSE 'failed' END AS status
+  FROM turns a LEFT JOIN turns b ON b.conv_id = a.conv_id AND b.turn = a.turn + 1 AND b.role = 'assistant'
   WHERE a.role = 'user')"""
 
 NUMBERED = "(SELECT *, (row_number() OVER (ORDER BY doc_id) - 1) // 250 AS batch_id FROM documents)"
@@ -177,7 +178,7 @@ SELECT query_id, query, CASE WHEN status = 'completed' THEN reply END AS answer,
        CASE WHEN status = 'completed' THEN reply END AS contexts,
        CASE WHEN status = 'completed' THEN length(reply) / 1000.0 END AS processing_time,
        CASE WHEN status = 'failed' THEN 'no reply' END AS error, status
-FROM log WHERE status <> 'queued'""",
+FROM log WHERE status IN ('completed', 'failed')""",
     "request_metrics": f"""{REQUEST_LOG}
 SELECT CAST(count_if(status = 'processing') AS BIGINT) AS active_workers, CAST(4 AS INTEGER) AS max_workers,
        CAST(count_if(status = 'queued') AS BIGINT) AS queue_size,

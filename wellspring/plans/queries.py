@@ -254,21 +254,21 @@ def question_routing(spark, sf_dir):
 
 
 def request_log(spark, sf_dir):
-    """User turns as requests. One followed by an assistant turn is completed by it, one
-    followed by another turn has failed, and the last of a conversation is still queued.
-    The clock is made from the table: requests come in at ``conv_id`` seconds and take a
-    millisecond per character of the reply."""
+    """User turns as requests. One followed by an assistant turn is completed by it; others
+    are queued, processing or failed by how late in the conversation they come. The clock
+    is made from the table: requests come in at ``conv_id`` seconds and take a millisecond
+    per character of the reply."""
     turns = _requests(spark, sf_dir)
     later = turns.select(
         "conv_id",
         (F.col("turn") - 1).alias("turn"),
-        F.col("role").alias("next_role"),
         F.col("text").alias("reply"),
-    )
+    ).where(F.col("role") == "assistant")
     asked = turns.where(F.col("role") == "user").join(later, ["conv_id", "turn"], "left")
     status = (
-        F.when(F.col("next_role").isNull(), "queued")
-        .when(F.col("next_role") == "assistant", "completed")
+        F.when(F.col("reply").isNotNull(), "completed")
+        .when(F.col("turn") < 3, "queued")
+        .when(F.col("turn") < 6, "processing")
         .otherwise("failed")
     )
     arrived = F.col("conv_id") * 1_000_000

@@ -7,8 +7,10 @@ from wellspring.operators.chunk import BATCH_ROWS, row_range_batch
 from wellspring.operators.position import in_order, slot_table, with_position
 from wellspring.workspace import spread, stage
 
-# Rows per sorted slot when articles are numbered.
+# Rows per sorted slot; beyond MAX_SLOTS slots grow instead, so that the slot table stays a
+# few megabytes and may be broadcast.
 ROWS_PER_SLOT = 100_000
+MAX_SLOTS = 100_000
 
 
 def articles(
@@ -26,7 +28,7 @@ def peek(rows: DataFrame, position: int, key: str = "doc_id") -> DataFrame:
 
 def slots_for(rows: int, cores: int, rows_per_slot: int = ROWS_PER_SLOT) -> int:
     """Range partitions for a table of ``rows``: bounded slots, but enough for the cores."""
-    return max(1, -(-rows // rows_per_slot), min(cores, -(-rows // 1000)))
+    return min(MAX_SLOTS, max(1, -(-rows // rows_per_slot), min(cores, -(-rows // 1000))))
 
 
 def batches(rows: DataFrame, batch_rows: int = BATCH_ROWS, row_index: str | None = None) -> DataFrame:

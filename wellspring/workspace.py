@@ -4,12 +4,15 @@ import io
 import tempfile
 import uuid
 import zipfile
+from contextlib import contextmanager
+from contextvars import ContextVar
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 _local_roots: dict[str, str] = {}
 _shipped: set[str] = set()
+_scope: ContextVar[list[str] | None] = ContextVar("scratch_scope", default=None)
 
 
 def scratch(spark: SparkSession, name: str) -> str:
@@ -20,14 +23,31 @@ def scratch(spark: SparkSession, name: str) -> str:
     """
     conf = spark.sparkContext.getConf()
     root = spark.conf.get("spark.checkpoint.dir", None) or conf.get("spark.checkpoint.dir")
+    app = spark.sparkContext.applicationId
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-        app = spark.sparkContext.applicationId
         if app not in _local_roots:
             _local_roots[app] = tempfile.mkdtemp(prefix="wellspring-")
         root = _local_roots[app]
-    return f"{root.rstrip('/')}/wellspring/{name}-{uuid.uuid4().hex}"
+    path = f"{root.rstrip('/')}/wellspring/{app}/{name}-{uuid.uuid4().hex}"
+    if (given := _scope.get()) is not None:
+        given.append(path)
+    return path
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession):
+    """Delete the scratch tables of the block at its end, for work that repeats forever."""
+    token = _scope.set([])
+    try:
+        yield
+    finally:
+        conf = spark.sparkContext._jsc.hadoopConfiguration()
+        for path in _scope.get():
+            folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(conf).delete(folder, True)
+        _scope.reset(token)
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
