@@ -71,6 +71,21 @@ def test_many_tiles_give_the_same_hits(spark):
     assert found(tiled) == brute_force(range(120), vectors, questions, 4)
 
 
+@pytest.mark.parametrize("tile", [5, 400])
+def test_more_questions_than_rows_tile_the_index(spark, tile):
+    vectors, questions = sample(23, 6), sample(90, 6, 4)
+    vectors[5:12] = vectors[0]
+    table = vector_table(spark, range(23), vectors).repartition(2)
+    asked = question_table(spark, questions).repartition(3)
+    tiled = search(table, asked, 4, "vec_id", tile_bytes=min(tile, 80) * 6 * 4)
+    assert found(tiled) == brute_force(range(23), vectors, questions, 4)
+
+
+def test_many_questions_and_no_rows(spark):
+    table = vector_table(spark, range(2), sample(2, 3)).where("vec_id < 0")
+    assert search(table, question_table(spark, sample(9, 3)), 2, "vec_id", tile_bytes=24).collect() == []
+
+
 def test_plan_ranks_once_and_reads_no_text(spark, tmp_path):
     vector_table(spark, range(10), sample(10, 4)).withColumn("t", F.lit("long text")).write.parquet(
         f"{tmp_path}/v"
@@ -117,6 +132,19 @@ def test_rows_coming_ever_nearer_and_small_blocks(monkeypatch):
     assert out == [(q, i, d) for q, _, i, d in brute_force(np.arange(500), rows, questions, 6)]
 
 
+def test_a_crowd_of_near_copies():
+    rng = np.random.default_rng(5)
+    rows = rng.normal(size=(3000, 12)).astype(np.float32)
+    rows[::3] = rows[0] + rng.normal(size=(1000, 12)).astype(np.float32) * 1e-6
+    rows[1::6] = rows[3]
+    questions = rows[[0, 3, 9, 2]] + np.float32(1e-3)
+    best = RunningTopK(questions, 6)
+    for start in range(0, 3000, 700):
+        best.fold(np.arange(start, min(start + 700, 3000)), rows[start : start + 700])
+    out = list(zip(*[part.tolist() for part in best.hits()]))
+    assert out == [(q, i, d) for q, _, i, d in brute_force(np.arange(3000), rows, questions, 6)]
+
+
 def test_rows_with_nan_hide_no_others():
     rows = np.array([[1, 1], [np.nan, 0], [0, 0], [np.inf, 0]], dtype=np.float32)
     best = RunningTopK(np.zeros((1, 2), dtype=np.float32), 3)

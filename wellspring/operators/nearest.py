@@ -6,15 +6,15 @@ ROW_BLOCK = 4096
 QUESTION_BLOCK = 512
 PAIR_BLOCK = 4096
 GRID = 1e9
-UNIT = float(np.finfo(np.float32).eps) / 2
 
 
 class RunningTopK:
     """Keeps the k best (distance, id) per question while blocks of rows pass by.
 
-    A float32 matrix product only selects candidates, with a margin that covers its
-    worst-case rounding error; candidates are measured again in double and ranked on
-    (distance settled to nine decimals, id), so results do not depend on partitioning.
+    A matrix product only selects candidates, with a margin that covers its worst-case
+    rounding error; candidates are measured again in double and ranked on (distance settled
+    to nine decimals, id), so results do not depend on partitioning. Where copies or near
+    copies crowd the candidates, copies are dropped and the product is taken in double.
     """
 
     def __init__(self, questions: np.ndarray, k: int):
@@ -35,26 +35,28 @@ class RunningTopK:
             for first in range(0, len(self.questions), QUESTION_BLOCK):
                 self._fold_block(slice(first, first + QUESTION_BLOCK), block_ids, block)
 
-    def _fold_block(self, span: slice, ids: np.ndarray, rows: np.ndarray, copies: bool = True) -> None:
-        questions = self.questions[span]
-        which, row = self._candidates(span, questions, rows)
-        if copies and len(row) > 4 * self.k * len(questions):
+    def _fold_block(self, span: slice, ids: np.ndarray, rows: np.ndarray) -> None:
+        which, row = self._candidates(span, rows, np.float32)
+        if len(row) > 4 * self.k * len(self.questions[span]):
             kept = first_copies(ids, rows, self.k)
-            if len(kept) < len(rows):
-                return self._fold_block(span, ids[kept], rows[kept], copies=False)
+            ids, rows = ids[kept], rows[kept]
+            which, row = self._candidates(span, rows, np.float64)
         if len(row):
-            self._merge(span, which, measure(questions, rows, which, row), ids[row])
+            self._merge(span, which, measure(self.questions[span], rows, which, row), ids[row])
 
-    def _candidates(self, span: slice, questions: np.ndarray, rows: np.ndarray):
+    def _candidates(self, span: slice, rows: np.ndarray, kind: type):
+        """Question and row numbers of all pairs that may be among the k best. ``kind`` is
+        the precision of the product: single is fast, double leaves few near-ties."""
         norms = np.einsum("ij,ij->i", rows, rows, dtype=np.float64)
-        margin = (rows.shape[1] + 8) * UNIT * (norms.max() + self.norms[span]) + 2 / GRID
-        rough = questions @ rows.T
+        error = (rows.shape[1] + 8) * np.finfo(kind).eps / 2
+        margin = error * (norms.max() + self.norms[span]) + 2 / GRID
+        rough = self.questions[span].astype(kind) @ rows.astype(kind).T
         rough *= -2
-        rough += norms.astype(np.float32)
-        rough += self.norms[span].astype(np.float32)[:, None]
+        rough += norms.astype(kind)
+        rough += self.norms[span].astype(kind)[:, None]
         limit = self.distance[span, -1] + margin
         near = rough <= limit[:, None]
-        if np.count_nonzero(near) > 4 * self.k * len(questions) and len(rows) > self.k:
+        if np.count_nonzero(near) > 4 * self.k * len(rough) and len(rows) > self.k:
             kth = np.partition(rough, self.k - 1, axis=1)[:, self.k - 1]
             near = rough <= np.minimum(limit, kth + 2 * margin)[:, None]
         return np.nonzero(near)

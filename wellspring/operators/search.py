@@ -15,7 +15,7 @@ from wellspring.workspace import scratch
 # Fixed value: hits per question.
 TOP_K = 6
 
-# Upper bound of one broadcast question tile.
+# Upper bound of one broadcast tile of vectors.
 TILE_BYTES = 32 << 20
 
 # Scan tasks per search. A question's final ranking sees at most k rows from each, however
@@ -25,11 +25,6 @@ MAX_TASKS = 10_000
 HIT = "query_id string, distance double, id long"
 
 
-def matrix(lists: pa.Array) -> np.ndarray:
-    flat = lists.flatten().to_numpy(zero_copy_only=False)
-    return flat.reshape(len(lists), -1) if len(lists) else flat.reshape(0, 0)
-
-
 def search(
     vectors: DataFrame,
     questions: DataFrame,
@@ -42,16 +37,19 @@ def search(
     (distance, id); fewer if there are fewer rows.
 
     ``questions`` (query_id, embedding) must be a table rather than a plan that runs a
-    model, as it is read more than once. Questions are cut into tiles of at most
-    ``tile_bytes``. Each tile is broadcast and folded over the whole index by a map-side
-    top-k, so only k rows per question and task are shuffled. One tile gives a lazy
-    result; with several, each tile's hits are written before the next is read, and the
-    driver never holds more than one. ``query_id`` must be unique. ``extent`` is the
+    model, as it is read more than once; ``query_id`` must be unique. ``extent`` is the
     number of questions and the width of their vectors, where known; else they are counted.
+
+    Questions that fit ``tile_bytes`` are broadcast and folded over the whole index by a
+    map-side top-k, so only k rows per question and task are shuffled; the result is lazy.
+    More questions are cut into tiles of that size, or, where there are more questions than
+    index rows, the index is, and the questions stay where they lie. The hits of each tile
+    are written before the next is read: the driver never holds more than one.
     """
     spark = vectors.sparkSession
-    asked = questions.where(has_vector(F.col("embedding"))).select("query_id", "embedding")
-    asked = asked.withColumn("query_id", F.col("query_id").cast("string"))
+    asked = questions.where(has_vector(F.col("embedding"))).select(
+        F.col("query_id").cast("string").alias("query_id"), "embedding"
+    )
     base = vectors.select(F.col(id_col).cast("long").alias("id"), "embedding")
     count, dim = extent or asked.agg(F.count("*"), F.max(F.size("embedding"))).first()
     if not count or not dim:
@@ -59,51 +57,97 @@ def search(
 
     tile_rows = max(1, tile_bytes // (4 * dim))
     if count <= tile_rows:
-        partial, _ = _partial_hits(base, asked, k)
-        return _ranked(partial, k, id_col)
-
-    tiles, hits = scratch(spark, "question-tiles"), scratch(spark, "tile-hits")
-    number = F.monotonically_increasing_id()
+        return _ranked(_over(base, _shared(asked), _fold_rows(k)), k, id_col)
+
+    size = base.count()
+    hits = scratch(spark, "tile-hits")
+    spark.createDataFrame([], HIT).write.parquet(hits)
+    if count > size:
+        for part in _tiles(base, "id", size, tile_rows):
+            tile = _shared(part)
+            _over(asked, tile, _fold_questions(k)).write.mode("append").parquet(hits)
+            tile.destroy()
+    else:
+        for part in _tiles(asked, "query_id", count, tile_rows):
+            tile = _shared(part)
+            best = _ranked(_over(base, tile, _fold_rows(k)), k, "id").drop("rank")
+            best.write.mode("append").parquet(hits)
+            tile.destroy()
+    return _ranked(spark.read.schema(HIT).parquet(hits), k, id_col)
+
+
+def _tiles(table: DataFrame, key: str, count: int, tile_rows: int) -> Iterator[DataFrame]:
+    """The table in written parts of at most ``tile_rows`` rows. ``key`` is unique, so
+    hashing it deals the rows out evenly; what lands beyond a full part makes another."""
+    path = scratch(table.sparkSession, "tiles")
     (
-        asked.repartition(-(-count // tile_rows), "query_id")
-        .withColumn("_row", number)
+        table.repartition(max(1, -(-count // tile_rows)), key)
+        .withColumn("_row", F.monotonically_increasing_id())
         .withColumn("slot", slot_of(F.col("_row")))
         .withColumn("part", F.floor(row_of(F.col("_row")) / tile_rows).cast("int"))
         .drop("_row")
         .write.partitionBy("slot", "part")
-        .parquet(tiles)
+        .parquet(path)
     )
-    cut = spark.read.parquet(tiles)
-    for slot, part in sorted(cut.select("slot", "part").distinct().collect()):
-        tile = cut.where((F.col("slot") == slot) & (F.col("part") == part))
-        partial, shared = _partial_hits(base, tile.select("query_id", "embedding"), k)
-        _ranked(partial, k, id_col).write.mode("append").parquet(hits)
-        shared.destroy()
-    return spark.read.parquet(hits)
+    kinds = f"{key} {table.schema[key].dataType.simpleString()}, embedding array<float>"
+    written = table.sparkSession.read.schema(f"{kinds}, slot int, part int").parquet(path)
+    for slot, part in sorted(written.select("slot", "part").distinct().collect()):
+        chosen = (F.col("slot") == slot) & (F.col("part") == part)
+        yield written.where(chosen).select(key, "embedding")
 
 
-def _partial_hits(base: DataFrame, tile: DataFrame, k: int):
-    """The k best hits per question and partition, and the broadcast they need."""
+def matrix(lists: pa.Array) -> np.ndarray:
+    flat = lists.flatten().to_numpy(zero_copy_only=False)
+    return flat.reshape(len(lists), -1) if len(lists) else flat.reshape(0, 0)
+
+
+def _shared(tile: DataFrame):
+    """Broadcast keys and vectors of one tile."""
     table = tile.toArrow()
-    names = table.column("query_id").combine_chunks().cast(pa.string())
-    shared = base.sparkSession.sparkContext.broadcast(
-        (names, matrix(table.column("embedding").combine_chunks()))
-    )
+    keys, vectors = [column.combine_chunks() for column in table.columns]
+    return tile.sparkSession.sparkContext.broadcast((keys, matrix(vectors)))
 
-    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        query_ids, questions = shared.value
+
+def _over(scan: DataFrame, tile, fold) -> DataFrame:
+    """Partial hits of a broadcast tile over all partitions of the other side."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys, vectors = tile.value
+        for query_ids, best in fold(keys, vectors, batches):
+            number, ids, distance = best.hits()
+            if len(ids):
+                names = query_ids.cast(pa.string()).take(pa.array(number))
+                yield pa.RecordBatch.from_arrays(
+                    [names, pa.array(distance), pa.array(ids)], names=["query_id", "distance", "id"]
+                )
+
+    return scan.coalesce(MAX_TASKS).mapInArrow(run, HIT)
+
+
+def _fold_rows(k: int):
+    """The tile holds questions; index rows pass by, and a partition has one result."""
+
+    def fold(query_ids, questions, batches):
         best = RunningTopK(questions, k)
         for batch in batches:
             if batch.num_rows:
                 best.fold(batch.column(0).to_numpy(), matrix(batch.column(1)))
-        number, ids, distance = best.hits()
-        if len(ids):
-            yield pa.RecordBatch.from_arrays(
-                [query_ids.take(pa.array(number)), pa.array(distance), pa.array(ids)],
-                names=["query_id", "distance", "id"],
-            )
-
-    return base.coalesce(MAX_TASKS).mapInArrow(fold, HIT), shared
+        yield query_ids, best
+
+    return fold
+
+
+def _fold_questions(k: int):
+    """The tile holds index rows; questions pass by, and each batch has its result."""
+
+    def fold(ids, rows, batches):
+        for batch in batches:
+            if batch.num_rows:
+                best = RunningTopK(matrix(batch.column(1)), k)
+                best.fold(ids.to_numpy(), rows)
+                yield batch.column(0), best
+
+    return fold
 
 
 def _ranked(partial: DataFrame, k: int, id_col: str) -> DataFrame:
