@@ -12,7 +12,7 @@ from wellspring.plans.ingest import build_index, chunk_corpus, embed_chunks, ing
 from wellspring.schemas import CHUNK
 from wellspring.sources.articles import MAX_SLOTS, articles, batches, slots_for
 from wellspring.sources.index import load_index
-from wellspring.sources.tables import batch_ledger, read_chunk_lines, write_batches
+from wellspring.sources.tables import batch_ledger, read_chunk_lines, read_embedded_lines, write_batches
 from wellspring.workspace import scratch, stage
 
 TINY = HashingEncoder(dim=8)
@@ -59,8 +59,9 @@ def test_a_document_with_most_chunks_is_split_over_slots(spark):
     df = spark.range(3000).select(
         F.when(F.col("id") < 2000, 5).otherwise(F.col("id")).alias("doc_id"),
         F.when(F.col("id") < 2000, F.col("id")).otherwise(0).alias("chunk_no"),
+        F.lit("same").alias("text"),
     )
-    ordered = stage(in_order(stage(df, "t"), 8, ["doc_id", "chunk_no"]), "t")
+    ordered = stage(in_order(stage(df, "t"), 8, ["doc_id", "chunk_no"], ["text"]), "t")
     sizes = [r.n_rows for r in slot_table(ordered).collect()]
     assert max(sizes) < 1000 and sum(sizes) == 3000
     out = collected(with_position(ordered, slot_table(ordered)).select("pos", "doc_id", "chunk_no"), "pos")
@@ -194,6 +195,18 @@ def test_chunk_lines_of_several_folders(spark, tmp_path):
     assert rows.count() == 5
 
 
+def test_index_over_embedded_lines_without_ids(spark, tmp_path):
+    lines = ['{"chunk_text":"t%d","embedding":[%d,1]}' % (i, i) for i in range(60)]
+    lines += ['{"chunk_text":"no vector","embedding":[]}', '{"chunk_text":"none"}', "junk"]
+    Path(tmp_path, "a.json").write_text("\n".join(lines))
+    table = stage(read_embedded_lines(spark, str(tmp_path)), "t")
+    index = build_index(table, scratch(spark, "t"), 2, rows_per_slot=10)
+    rows = index.positioned().orderBy("pos").collect()
+    assert [r.pos for r in rows] == list(range(60))
+    assert {r.chunk_text: r.embedding for r in rows} == {f"t{i}": [float(i), 1.0] for i in range(60)}
+    assert index.slots.agg(F.max("n_rows")).first()[0] < 30
+
+
 def test_json_chunk_sink_has_one_folder_per_batch(spark, chunk_table, tmp_path):
     write_batches(chunk_table, f"{tmp_path}/json", "json")
     folders = sorted(p.name for p in Path(tmp_path, "json").iterdir() if p.is_dir())

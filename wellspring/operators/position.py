@@ -20,15 +20,18 @@ def row_of(row_key: Column) -> Column:
     return row_key.bitwiseAND(F.lit((1 << ROW_BITS) - 1))
 
 
-def in_order(df: DataFrame, slots: int, order: list[str], ties: list[str] | None = None) -> DataFrame:
+def in_order(df: DataFrame, slots: int, order: list[str], content: list[str]) -> DataFrame:
     """Rows with ``row_key`` (ordered as ``order``) and ``slot``.
 
-    The key should be unique; a long run of one leading key is split on the later ones.
-    ``ties`` only make a repeated key's order the same when a lost task is run again.
+    The key should be unique. A hash of ``content`` follows it: it splits the rows of a key
+    that repeats, as NULL may, over several partitions, and puts them in the same order when
+    a lost task is run again.
     """
     return (
-        df.repartitionByRange(slots, *order)
-        .sortWithinPartitions(*order, *(ties or []))
+        df.withColumn("_content", F.xxhash64(*content))
+        .repartitionByRange(slots, *order, "_content")
+        .sortWithinPartitions(*order, "_content", *content)
+        .drop("_content")
         .withColumn("row_key", F.monotonically_increasing_id())
         .withColumn("slot", slot_of(F.col("row_key")))
     )

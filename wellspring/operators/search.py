@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from wellspring.functions.vectors import has_vector
+from wellspring.functions.vectors import as_float32, has_vector
 from wellspring.operators.nearest import RunningTopK
 from wellspring.operators.position import row_of, slot_of
 from wellspring.workspace import scratch
@@ -47,10 +47,11 @@ def search(
     are written before the next is read: the driver never holds more than one.
     """
     spark = vectors.sparkSession
+    vector = as_float32(F.col("embedding")).alias("embedding")
     asked = questions.where(has_vector(F.col("embedding"))).select(
-        F.col("query_id").cast("string").alias("query_id"), "embedding"
+        F.col("query_id").cast("string").alias("query_id"), vector
     )
-    base = vectors.select(F.col(id_col).cast("long").alias("id"), "embedding")
+    base = vectors.select(F.col(id_col).cast("long").alias("id"), vector)
     count, dim = extent or asked.agg(F.count("*"), F.max(F.size("embedding"))).first()
     if not count or not dim:
         return _ranked(spark.createDataFrame([], HIT), k, id_col)

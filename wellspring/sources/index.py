@@ -5,6 +5,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from wellspring.functions.vectors import as_float32
 from wellspring.operators.position import in_order, slot_table, with_position
 from wellspring.operators.validate import indexable, misfit
 from wellspring.schemas import INDEX_ROW, SLOT
@@ -33,7 +34,9 @@ def write_index(embedded: DataFrame, path: str, dim: int, rows_per_slot: int = R
     spark = embedded.sparkSession
     width, text = F.col("width"), F.col("chunk_text")
     slots = slots_for(embedded.count(), spark.sparkContext.defaultParallelism, rows_per_slot)
-    kept = embedded.where(indexable(width, text, dim)).drop("width", "batch_id")
+    kept = embedded.where(indexable(width, text, dim)).select(
+        "doc_id", "chunk_no", "chunk_id", "title", text, as_float32(F.col("embedding")).alias("embedding")
+    )
     ordered = in_order(kept, slots, ["doc_id", "chunk_no"], ["chunk_id", "chunk_text"])
     ordered.write.mode("overwrite").partitionBy("slot").parquet(f"{path}/rows")
     written = spark.read.schema(INDEX_ROW).parquet(f"{path}/rows")

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wellspring.functions.records import answer_log, answer_summary, response
-from wellspring.schemas import ANSWER_LOG, ANSWER_SUMMARY, CHUNK, LEDGER, RESPONSE
+from wellspring.schemas import ANSWER_LOG, ANSWER_SUMMARY, CHUNK, EMBEDDED, LEDGER, RESPONSE
 
 # Quotes are doubled and line breaks kept, so contexts survive a round trip.
 CSV_OPTIONS = {
@@ -47,6 +47,13 @@ def read_chunk_lines(spark: SparkSession, *paths: str) -> DataFrame:
     return spark.read.schema(CHUNK).json(list(paths))
 
 
+def read_embedded_lines(spark: SparkSession, *paths: str) -> DataFrame:
+    """Embedded-chunk JSON lines, with the width of their vectors; else as above. An index
+    over them should be built from a staged copy, as it reads its input more than once."""
+    rows = spark.read.schema(EMBEDDED).json(list(paths))
+    return rows.withColumn("width", F.coalesce(F.size("embedding"), F.lit(0)))
+
+
 def write_answer_log(answers: DataFrame, path: str) -> DataFrame:
     """Full log as JSON lines, returned as read back. Answers are computed here, once."""
     answers.select(*answer_log()).write.mode("overwrite").json(path)
