@@ -18,6 +18,7 @@ CSV_OPTIONS = {
     "ignoreLeadingWhiteSpace": False,
     "ignoreTrailingWhiteSpace": False,
     "encoding": "UTF-8",
+    "lineSep": "\n",
 }
 
 
