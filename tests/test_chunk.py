@@ -100,6 +100,8 @@ def test_peek_takes_the_row_in_key_order(spark):
     docs = articles(spark, f"{SF}/documents.parquet", title="source")
     assert [r.doc_id for r in peek(docs, 20).collect()] == [20]
     assert peek(docs, 10_000).collect() == []
+    plan = peek(docs, 20)._jdf.queryExecution().executedPlan().toString()
+    assert "TakeOrderedAndProject" in plan and "Exchange" not in plan
 
 
 def test_scan_reads_only_its_columns(spark):

@@ -1,5 +1,6 @@
 """Exact k-nearest-neighbour search: the index stays where it lies, questions travel."""
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -79,10 +80,13 @@ def search(
 
 def _tiles(table: DataFrame, key: str, count: int, tile_rows: int) -> Iterator[DataFrame]:
     """The table in written parts of at most ``tile_rows`` rows. ``key`` is unique, so
-    hashing it deals the rows out evenly; what lands beyond a full part makes another."""
+    hashing it deals the rows out evenly; aiming a little below the limit keeps all but a
+    few partitions from needing a second part, each of which costs a scan of the other side.
+    """
     path = scratch(table.sparkSession, "tiles")
+    wanted = math.ceil(count / (0.95 * tile_rows))
     (
-        table.repartition(max(1, -(-count // tile_rows)), key)
+        table.repartition(max(1, wanted), key)
         .withColumn("_row", F.monotonically_increasing_id())
         .withColumn("slot", slot_of(F.col("_row")))
         .withColumn("part", F.floor(row_of(F.col("_row")) / tile_rows).cast("int"))

@@ -47,7 +47,8 @@ def _encoded(name: str, source: str, key: str, text: str) -> str:
   SELECT key, len(t) AS n, CAST('0x' || substr(md5(unnest(t)), 1, 8) AS BIGINT) AS h FROM {name}_tokens),
 {name}_cells AS (
   SELECT key, h % 384 AS bucket,
-         CAST(CAST(CAST(sum(CASE WHEN (h // 384) % 2 = 0 THEN 1 ELSE -1 END) AS DOUBLE) / n AS FLOAT) AS DOUBLE) AS value
+         CAST(CAST(sum(CASE WHEN (h // 384) % 2 = 0 THEN 1.0::DOUBLE ELSE -1 END) / n AS FLOAT) AS DOUBLE)
+           AS value
   FROM {name}_hashes GROUP BY key, h % 384, n),
 {name}_norms AS (
   SELECT k.key, coalesce(sum(value * value), 0) AS norm
@@ -162,7 +163,8 @@ SELECT query_text AS query, CAST(len(contexts) AS INTEGER) AS topk, indices, dis
        substring(array_to_string(contexts, chr(10) || chr(10) || '---' || chr(10) || chr(10)), 1, 2000) AS context_concat
 FROM folded JOIN {ASKED} asked USING (query_id)""",
     "console_summary": f"""{FOLDED}
-SELECT query_text AS query, CAST(len(contexts) AS INTEGER) AS topk FROM folded JOIN {ASKED} asked USING (query_id)""",
+SELECT query_text AS query, CAST(len(contexts) AS INTEGER) AS topk
+FROM folded JOIN {ASKED} asked USING (query_id)""",
     "question_routing": f"""
 WITH sent AS (
   SELECT query_id, CASE WHEN role = 'system' THEN ' STATUS' || chr(9) WHEN turn = 8 THEN 'Quit' || chr(10)
