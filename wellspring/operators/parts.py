@@ -1,0 +1,37 @@
+"""A table cut into parts of a bounded number of rows, each small enough to broadcast."""
+
+from collections.abc import Iterator
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from wellspring.operators.position import row_of, slot_of
+from wellspring.workspace import scratch
+
+
+def parts_for(rows: int, limit: int) -> int:
+    """Partitions to aim for. A little below the limit, so that few partitions of a nearly
+    even split need a second part."""
+    return max(1, -(-rows * 20 // (limit * 19)))
+
+
+def parts(table: DataFrame, limit: int) -> Iterator[DataFrame]:
+    """Write ``table`` and give it back in parts of at most ``limit`` rows, each from one
+    partition of the table. Only the part numbers reach the driver."""
+    path = scratch(table.sparkSession, "parts")
+    number = F.col("_row")
+    (
+        table.withColumn("_row", F.monotonically_increasing_id())
+        .withColumn("_from", slot_of(number))
+        .withColumn("_part", F.floor(row_of(number) / limit).cast("int"))
+        .drop("_row")
+        .write.partitionBy("_from", "_part")
+        .parquet(path)
+    )
+    folders = [T.StructField(name, T.IntegerType()) for name in ("_from", "_part")]
+    shape = T.StructType(table.schema.fields + folders)
+    written = table.sparkSession.read.schema(shape).parquet(path)
+    for origin, part in sorted(written.select("_from", "_part").distinct().collect()):
+        chosen = (F.col("_from") == origin) & (F.col("_part") == part)
+        yield written.where(chosen).select(*table.columns)

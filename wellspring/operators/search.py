@@ -1,6 +1,5 @@
 """Exact k-nearest-neighbour search: the index stays where it lies, questions travel."""
 
-import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -10,7 +9,7 @@ from pyspark.sql import functions as F
 
 from wellspring.functions.vectors import as_float32, has_vector
 from wellspring.operators.nearest import RunningTopK
-from wellspring.operators.position import row_of, slot_of
+from wellspring.operators.parts import parts, parts_for
 from wellspring.workspace import scratch
 
 # Fixed value: hits per question.
@@ -65,12 +64,12 @@ def search(
     hits = scratch(spark, "tile-hits")
     spark.createDataFrame([], HIT).write.parquet(hits)
     if count > size:
-        for part in _tiles(base, "id", size, tile_rows):
+        for part in parts(base.repartition(parts_for(size, tile_rows), "id"), tile_rows):
             tile = _shared(part)
             _over(asked, tile, _fold_questions(k)).write.mode("append").parquet(hits)
             tile.destroy()
     else:
-        for part in _tiles(asked, "query_id", count, tile_rows):
+        for part in parts(asked.repartition(parts_for(count, tile_rows), "query_id"), tile_rows):
             tile = _shared(part)
             best = _ranked(_over(base, tile, _fold_rows(k)), k, "id").drop("rank")
             best.write.mode("append").parquet(hits)
@@ -78,29 +77,6 @@ def search(
     return _ranked(spark.read.schema(HIT).parquet(hits), k, id_col)
 
 
-def _tiles(table: DataFrame, key: str, count: int, tile_rows: int) -> Iterator[DataFrame]:
-    """The table in written parts of at most ``tile_rows`` rows. ``key`` is unique, so
-    hashing it deals the rows out evenly; aiming a little below the limit keeps all but a
-    few partitions from needing a second part, each of which costs a scan of the other side.
-    """
-    path = scratch(table.sparkSession, "tiles")
-    wanted = math.ceil(count / (0.95 * tile_rows))
-    (
-        table.repartition(max(1, wanted), key)
-        .withColumn("_row", F.monotonically_increasing_id())
-        .withColumn("slot", slot_of(F.col("_row")))
-        .withColumn("part", F.floor(row_of(F.col("_row")) / tile_rows).cast("int"))
-        .drop("_row")
-        .write.partitionBy("slot", "part")
-        .parquet(path)
-    )
-    kinds = f"{key} {table.schema[key].dataType.simpleString()}, embedding array<float>"
-    written = table.sparkSession.read.schema(f"{kinds}, slot int, part int").parquet(path)
-    for slot, part in sorted(written.select("slot", "part").distinct().collect()):
-        chosen = (F.col("slot") == slot) & (F.col("part") == part)
-        yield written.where(chosen).select(key, "embedding")
-
-
 def matrix(lists: pa.Array) -> np.ndarray:
     flat = lists.flatten().to_numpy(zero_copy_only=False)
     return flat.reshape(len(lists), -1) if len(lists) else flat.reshape(0, 0)
