@@ -160,7 +160,8 @@ SELECT query_text AS query, array_to_string(contexts, chr(10)) AS contexts, indi
 FROM folded JOIN {ASKED} asked USING (query_id)""",
     "answer_summary": f"""{FOLDED}
 SELECT query_text AS query, CAST(len(contexts) AS INTEGER) AS topk, indices, distances,
-       substring(array_to_string(contexts, chr(10) || chr(10) || '---' || chr(10) || chr(10)), 1, 2000) AS context_concat
+       substring(array_to_string(contexts, chr(10) || chr(10) || '---' || chr(10) || chr(10)), 1, 2000)
+         AS context_concat
 FROM folded JOIN {ASKED} asked USING (query_id)""",
     "console_summary": f"""{FOLDED}
 SELECT query_text AS query, CAST(len(contexts) AS INTEGER) AS topk

@@ -1,12 +1,12 @@
 """Chunk, embedded-chunk and answer tables: how they are written and read back."""
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wellspring.functions.records import answer_log, answer_summary, response
 from wellspring.schemas import ANSWER_LOG, ANSWER_SUMMARY, CHUNK, EMBEDDED, LEDGER, RESPONSE
+from wellspring.workspace import exists
 
 # Quotes are doubled and line breaks kept, so contexts survive a round trip.
 CSV_OPTIONS = {
@@ -34,12 +34,10 @@ def write_batches(rows: DataFrame, path: str, fmt: str = "parquet") -> None:
 
 
 def read_table_if_any(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    try:
+    """The table at ``path``, or an empty one where nothing has been written yet."""
+    if exists(spark, path):
         return spark.read.schema(schema).parquet(path)
-    except AnalysisException as problem:
-        if problem.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], schema)
+    return spark.createDataFrame([], schema)
 
 
 def read_chunk_lines(spark: SparkSession, *paths: str) -> DataFrame:
@@ -56,7 +54,7 @@ def read_embedded_lines(spark: SparkSession, *paths: str) -> DataFrame:
 
 
 def write_answer_log(answers: DataFrame, path: str) -> DataFrame:
-    """Full log as JSON lines, returned as read back. Answers are computed here, once."""
+    """Full log as JSON lines, returned as read back."""
     answers.select(*answer_log()).write.mode("overwrite").json(path)
     return answers.sparkSession.read.schema(ANSWER_LOG).json(path)
 

@@ -43,13 +43,22 @@ def scratch_scope(spark: SparkSession):
     try:
         yield
     finally:
-        conf = spark.sparkContext._jsc.hadoopConfiguration()
         for path in _scope.get():
-            folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-            folder.getFileSystem(conf).delete(folder, True)
+            file_system, folder = _hadoop_file(spark, path)
+            file_system.delete(folder, True)
         _scope.reset(token)
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    file_system, target = _hadoop_file(spark, path)
+    return file_system.exists(target)
+
+
+def _hadoop_file(spark: SparkSession, path: str):
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder once and read it back: lineage ends here."""
     path = scratch(df.sparkSession, name)
@@ -75,7 +84,8 @@ def spread(df: DataFrame, key: str) -> DataFrame:
 
 
 def ship_package(spark: SparkSession) -> None:
-    """Send this package to the Python workers, once per application."""
+    """Send this package to the Python workers, once per application, by way of the
+    shared folder."""
     sc = spark.sparkContext
     if sc.applicationId in _shipped:
         return
@@ -84,7 +94,10 @@ def ship_package(spark: SparkSession) -> None:
     with zipfile.ZipFile(packed, "w") as archive:
         for source in sorted(home.rglob("*.py")):
             archive.write(source, source.relative_to(home.parent).as_posix())
-    target = Path(tempfile.mkdtemp(prefix="wellspring-")) / "wellspring.zip"
-    target.write_bytes(packed.getvalue())
-    sc.addPyFile(str(target))
+    target = f"{scratch(spark, 'package')}/wellspring.zip"
+    file_system, path = _hadoop_file(spark, target)
+    stream = file_system.create(path)
+    stream.write(packed.getvalue())
+    stream.close()
+    sc.addPyFile(file_system.makeQualified(path).toString())
     _shipped.add(sc.applicationId)
