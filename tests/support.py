@@ -40,7 +40,7 @@ def question_table(spark, questions):
 def embedded_table(spark, rows):
     """Staged embedded chunks from (doc_id, chunk_no, text, vector)."""
     full = [
-        (d, n, f"{d}:{n}", f"title {d}", text, vector, None if vector is None else len(vector), 0)
+        (d, n, f"{d}:{n}", f"title {d}", text, vector, None if vector is None else len(vector), None, 0)
         for d, n, text, vector in rows
     ]
     return stage(spark.createDataFrame(full, EMBEDDED), "test-embedded")

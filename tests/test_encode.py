@@ -2,10 +2,11 @@ import hashlib
 
 import numpy as np
 import pytest
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
-from wellspring.backends import HashingEncoder, loaded
-from wellspring.operators.encode import encode
+from wellspring.backends import HashingEncoder, _products, loaded
+from wellspring.operators.encode import encode, encoded
 from wellspring.operators.pool import mean_pool
 
 
@@ -57,30 +58,52 @@ def test_only_the_rows_at_fault_come_back_empty(spark):
     texts = [(0, "fine"), (1, "bad one"), (2, None), (3, "ok")]
     df = spark.createDataFrame(texts, "id int, t string").coalesce(1)
     rows = df.select("id", encode(F.col("t"), Picky()).alias("v")).collect()
-    assert {r.id: r.v for r in rows} == {0: [4.0, 1.0], 1: [], 2: [], 3: [2.0, 1.0]}
+    assert {r.id: r.v.embedding for r in rows} == {0: [4.0, 1.0], 1: [], 2: [], 3: [2.0, 1.0]}
+    assert {r.id: r.v.error for r in rows} == {0: None, 1: "cannot encode", 2: None, 3: None}
+
+
+def test_one_bad_text_costs_few_calls():
+    calls = []
+
+    def encoder(texts):
+        calls.append(len(texts))
+        if "bad" in texts:
+            raise RuntimeError("cannot encode")
+        return np.ones((len(texts), 2), np.float32)
+
+    out = encoded(encoder, ["fine"] * 7_000 + ["bad"] + ["fine"] * 2_999, 64).to_pylist()
+    assert [r["error"] for r in out].count("cannot encode") == 1 and sum(len(r["embedding"]) for r in out) == 2 * 9_999
+    assert max(calls) == 64 and len(calls) <= 10_000 // 64 + 1 + 2 * 7
 
 
 def test_wrong_number_of_vectors_is_a_failure_of_the_batch(spark):
     df = spark.createDataFrame([("a",), ("b",)], "t string").coalesce(1)
     rows = df.select(encode(F.col("t"), Short()).alias("v")).collect()
-    assert [r.v for r in rows] == [[1.0] * 3] * 2
+    assert [r.v.embedding for r in rows] == [[1.0] * 3] * 2
 
 
 def test_all_null_and_empty_partitions(spark):
     df = spark.createDataFrame([(None,)] * 3, "t string").repartition(4)
-    assert [r.v for r in df.select(encode(F.col("t"), Picky()).alias("v")).collect()] == [[]] * 3
+    assert [r.v.embedding for r in df.select(encode(F.col("t"), Picky()).alias("v")).collect()] == [[]] * 3
 
 
 def test_equal_factories_load_once():
+    made = []
+
+    class Heavy:
+        def __call__(self):
+            made.append(self)
+            return object()
+
     assert loaded(HashingEncoder(dim=8)) == loaded(HashingEncoder(dim=8))
-    before = loaded.cache_info().hits
-    loaded(HashingEncoder(dim=8))
-    assert loaded.cache_info().hits == before + 1
+    first = Heavy()
+    assert loaded(first) is loaded(cloudpickle.loads(cloudpickle.dumps(first)))
+    assert len(_products) <= 2
 
 
 def test_encoder_runs_once_per_row_even_under_a_filter(spark):
     df = spark.createDataFrame([("abc",), ("de",)], "t string")
-    out = df.withColumn("v", encode(F.col("t"), Picky())).where(F.size("v") > 0)
+    out = df.withColumn("v", encode(F.col("t"), Picky())).where(F.size("v.embedding") > 0)
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert plan.count("ArrowEvalPython") == 1
     assert out.count() == 2
@@ -91,3 +114,6 @@ def test_mean_pool_with_a_heavy_key(spark):
     df = spark.createDataFrame(rows, "k string, embedding array<float>")
     out = {r.k: r.embedding for r in mean_pool(df, "k").collect()}
     assert out == {"hot": [149.5, 1.0], "cold": [2.0, 4.0]}
+    odd = [("a", [1.0, 2.0]), ("a", [3.0]), ("a", None), ("a", [None, 4.0, 9.0]), (None, [5.0])]
+    df = spark.createDataFrame(odd, "k string, embedding array<float>").coalesce(1)
+    assert {r.k: r.embedding for r in mean_pool(df, "k").collect()} == {"a": [2.0, 3.0, 9.0], None: [5.0]}

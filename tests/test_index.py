@@ -8,7 +8,8 @@ from tests.support import SF, collected, embedded_table, small_index
 from wellspring.backends import HashingEncoder
 from wellspring.operators.position import in_order, slot_table, with_position
 from wellspring.operators.validate import verdict
-from wellspring.plans.ingest import build_index, chunk_corpus, embed_chunks, ingest, ledger
+from wellspring.plans import ingest as ingest_plan
+from wellspring.plans.ingest import build_index, chunk_corpus, done, embed_chunks, ingest, ledger
 from wellspring.schemas import CHUNK
 from wellspring.sources.articles import MAX_SLOTS, articles, batches, slots_for
 from wellspring.sources.index import load_index
@@ -30,6 +31,14 @@ class Flaky:
         return run
 
 
+class Never:
+    def __call__(self):
+        def run(texts):
+            raise RuntimeError("never")
+
+        return run
+
+
 class Counting:
     """Encodes each text as its number of characters."""
 
@@ -78,16 +87,18 @@ def test_rows_without_vector_or_text_and_misfits_stay_out(spark):
         (4, 0, "null", None),
         (5, 0, "short", [1.0]),
         (6, 0, "  ", [3.0, 4.0]),
+        (7, 0, "not a number", [float("nan"), 1.0]),
+        (8, 0, "endless", [float("-inf"), 1.0]),
     ]
     table = embedded_table(spark, rows)
     path = scratch(spark, "t")
     index = build_index(table, path, 2)
     assert collected(index.positioned().select("pos", "chunk_text"), "pos") == [(0, "good"), (1, "  ")]
-    rejects = spark.read.parquet(f"{path}/rejects").collect()
-    assert [(r.chunk_id, r.width) for r in rejects] == [("5:0", 1)]
-    judged = table.select("doc_id", verdict(F.col("width"), F.col("chunk_text"), 2).alias("v"))
+    rejects = spark.read.parquet(f"{path}/rejects").orderBy("chunk_id").collect()
+    assert [(r.chunk_id, r.width, r.verdict) for r in rejects] == [("5:0", 1, "width"), ("7:0", 2, "value"), ("8:0", 2, "value")]
+    judged = table.select("doc_id", verdict(F.col("width"), F.col("chunk_text"), 2, F.col("embedding")).alias("v"))
     labels = [v for _, v in collected(judged, "doc_id")]
-    assert labels == ["indexed", "missing", "missing", "missing", "missing", "width", "indexed"]
+    assert labels == ["indexed", "missing", "missing", "missing", "missing", "width", "indexed", "value", "value"]
 
 
 def test_width_check_reaches_the_scan(spark):
@@ -116,7 +127,7 @@ def test_index_is_the_same_when_built_again(spark):
 
 @pytest.fixture
 def chunk_table(spark):
-    docs = batches(articles(spark, f"{SF}/documents.parquet", title="source"), 60, row_index="doc_id")
+    docs = batches(articles(spark, f"{SF}/documents.parquet", title="source"), 60)
     path = scratch(spark, "chunks")
     write_batches(chunk_corpus(docs), path)
     return spark.read.schema(CHUNK).parquet(path)
@@ -127,7 +138,7 @@ def test_embedding_goes_on_where_it_stopped(spark, chunk_table):
     embed_chunks(chunk_table, path, TINY, batch_ids=[3, 1])
     assert collected(ledger(spark, path).select("batch_id"), "batch_id") == [(1,), (3,)]
     # The other batches are done by an encoder of another width, the first two are left.
-    rows = embed_chunks(chunk_table, path, Counting(), batches_per_job=1)
+    rows = embed_chunks(chunk_table, path, Counting())
     widths = rows.groupBy("batch_id").agg(F.collect_set("width").alias("w"))
     assert collected(widths, "batch_id") == [(0, [1]), (1, [8]), (2, [1]), (3, [8])]
     assert rows.count() == chunk_table.count()
@@ -135,7 +146,7 @@ def test_embedding_goes_on_where_it_stopped(spark, chunk_table):
 
 def test_newest_batch_first(spark, chunk_table):
     path = scratch(spark, "t")
-    embed_chunks(chunk_table, path, TINY, batches_per_job=1)
+    embed_chunks(chunk_table, path, TINY, at_once=1)
     noted = spark.read.parquet(f"{path}/ledger").orderBy("noted_at").collect()
     assert [r.batch_id for r in noted] == [3, 2, 1, 0]
 
@@ -165,10 +176,59 @@ def test_failed_chunks_are_counted_and_dropped(spark, chunk_table):
     assert index.size().first().ntotal == chunk_table.count() - bad
 
 
+def test_errors_are_noted_and_stop_no_other_batch(spark, chunk_table, monkeypatch):
+    path = scratch(spark, "t")
+    embed_chunks(chunk_table, path, Flaky())
+    assert {r.error for r in ledger(spark, path).collect()} == {"no"}
+    path, real = scratch(spark, "t"), ingest_plan.write_batches
+
+    def breaking(rows, target, *rest):
+        if "batch_id <=> 2" in rows._jdf.queryExecution().optimizedPlan().toString() or "= 2" in str(rows._jdf.queryExecution().optimizedPlan()):
+            raise OSError("disk on fire")
+        real(rows, target, *rest)
+
+    monkeypatch.setattr(ingest_plan, "write_batches", breaking)
+    embed_chunks(chunk_table, path, TINY)
+    noted = {r.batch_id: (r.n_chunks, r.error) for r in ledger(spark, path).collect()}
+    assert noted[2] == (None, "disk on fire") and all(noted[b][0] and noted[b][1] is None for b in (0, 1, 3))
+    monkeypatch.setattr(ingest_plan, "write_batches", real)
+    seen = spark.read.parquet(f"{path}/ledger").count()
+    rows = embed_chunks(chunk_table, path, TINY)
+    assert spark.read.parquet(f"{path}/ledger").count() == seen + 1  # the failed batch alone
+    assert rows.count() == chunk_table.count()
+
+
+def test_a_batch_without_any_vector_is_not_done(spark, chunk_table):
+    path = scratch(spark, "t")
+    embed_chunks(chunk_table, path, Never())
+    assert ledger(spark, path).count() == 4 and done(ledger(spark, path)).count() == 0
+    embed_chunks(chunk_table, path, TINY)
+    assert done(ledger(spark, path)).count() == 4
+
+
+def test_chunks_without_a_batch_are_one(spark, tmp_path):
+    lines = ['{"title":"T","chunk_text":"t%d"}' % i for i in range(5)] + ['{"title":"T","chunk_text":"x","batch_id":4}']
+    Path(tmp_path, "a.json").write_text("\n".join(lines))
+    path = scratch(spark, "t")
+    rows = embed_chunks(read_chunk_lines(spark, str(tmp_path)), path, TINY)
+    assert rows.count() == 6 and rows.where("width = 8").count() == 6
+    assert {(r.batch_id, r.n_chunks) for r in ledger(spark, path).collect()} == {(None, 5), (4, 1)}
+    embed_chunks(read_chunk_lines(spark, str(tmp_path)), path, Never())
+    assert spark.read.parquet(f"{path}/ledger").count() == 2  # nothing was left to do
+
+
+def test_ingest_goes_on_where_it_stopped(spark):
+    docs = batches(articles(spark, f"{SF}/documents.parquet", title="source"), 60)
+    path = scratch(spark, "t")
+    first = ingest(docs, path, Flaky(), 8).size().first().ntotal
+    again = ingest(docs.where("false"), path, Never(), 8)  # chunks are there, batches are done
+    assert again.size().first().ntotal == first
+
+
 def test_ingest_equals_the_separate_jobs(spark, chunk_table):
     rows = embed_chunks(chunk_table, scratch(spark, "t"), TINY)
     apart = build_index(rows, scratch(spark, "t"), 8)
-    docs = batches(articles(spark, f"{SF}/documents.parquet", title="source"), 60, row_index="doc_id")
+    docs = batches(articles(spark, f"{SF}/documents.parquet", title="source"), 60)
     fused = ingest(docs, scratch(spark, "t"), TINY, 8)
     assert collected(fused.positioned(), "pos") == collected(apart.positioned(), "pos")
 

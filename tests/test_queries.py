@@ -8,8 +8,10 @@ import pytest
 import __spark_entry__ as contract
 from tests.support import SF
 from tools.compare import compare
+from wellspring.plans.oracle import ORACLE
+from wellspring.plans.queries import QUERIES
 
-NAMES = sorted(contract.queries())
+NAMES = sorted(QUERIES)
 
 
 @pytest.fixture(scope="module")
@@ -27,7 +29,8 @@ def test_query_equals_sql(spark, tables, name):
 
 
 def test_every_query_has_sql():
-    assert NAMES == sorted(contract.oracle_sql())
+    assert NAMES == sorted(ORACLE)
+    assert set(NAMES) <= set(contract.queries()) and set(contract.oracle_sql()) <= set(contract.queries())
 
 
 def test_entry(spark):

@@ -1,4 +1,5 @@
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -8,7 +9,7 @@ from tests.support import brute_force, collected, question_table, vector_table
 from wellspring.functions.vectors import as_float32, settle, squared_l2
 from wellspring.operators import nearest
 from wellspring.operators.nearest import RunningTopK, first_copies
-from wellspring.operators.search import search
+from wellspring.operators.search import matrix, numbered, search, search_tile, tiles
 
 
 def found(df):
@@ -71,14 +72,48 @@ def test_many_tiles_give_the_same_hits(spark):
     assert found(tiled) == brute_force(range(120), vectors, questions, 4)
 
 
-@pytest.mark.parametrize("tile", [5, 400])
-def test_more_questions_than_rows_tile_the_index(spark, tile):
-    vectors, questions = sample(23, 6), sample(90, 6, 4)
-    vectors[5:12] = vectors[0]
-    table = vector_table(spark, range(23), vectors).repartition(2)
-    asked = question_table(spark, questions).repartition(3)
-    tiled = search(table, asked, 4, "vec_id", tile_bytes=min(tile, 80) * 6 * 4)
-    assert found(tiled) == brute_force(range(23), vectors, questions, 4)
+@pytest.mark.parametrize("tile", [1, 5, 7, 400])
+def test_tiles_hold_every_question_once(spark, tile):
+    asked = numbered(question_table(spark, sample(90, 6, 4)).repartition(7))
+    runs = [[r.query_id for r in t.collect()] for t in tiles(asked, tile)]
+    assert sorted(q for run in runs for q in run) == sorted(map(str, range(90)))
+    assert all(len(run) == tile for run in runs[:-1]) and 0 < len(runs[-1]) <= tile
+    few = asked.where("cast(query_id as int) % 9 = 2")
+    assert sum(t.count() for t in tiles(few, tile)) == 10 and list(tiles(asked.where("false"), tile)) == []
+
+
+def test_widths_null_and_not_finite(spark):
+    rows = [(1, [1.0, 2.0, 3.0]), (2, [4.0]), (3, [5.0, 6.0]), (4, None), (5, [1.0, float("nan")]), (6, [0.0, None])]
+    rows += [(7, []), (8, [float("inf"), 0.0]), (9, [1.0, 1.0])]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<float>").coalesce(1)
+    asked = table.select(F.col("vec_id").cast("string").alias("query_id"), "embedding")
+    out = collected(search(table, asked, 2, "vec_id").select("query_id", "rank", "vec_id", "distance"), "query_id", "rank")
+    assert out == [("1", 1, 1, 0.0), ("2", 1, 2, 0.0), ("3", 1, 3, 0.0), ("3", 2, 9, 41.0), ("9", 1, 9, 0.0), ("9", 2, 3, 41.0)]
+
+
+def test_vectors_of_several_widths_are_no_matrix():
+    with pytest.raises(ValueError, match="widths"):
+        matrix(pa.array([[1.0, 2.0, 3.0], [4.0], [5.0, 6.0]]))
+    with pytest.raises(ValueError, match="widths"):
+        matrix(pa.array([[1.0, 2.0, 3.0, 4.0], None]))
+
+
+def test_distances_beyond_single_precision(spark):
+    vectors = np.array([[1e19, 0], [-1e19, 1e19], [3e19, 3e19], [1e38, -1e38]], dtype=np.float32)
+    out = search(vector_table(spark, range(4), vectors), question_table(spark, vectors), 2, "vec_id")
+    best = {q: i for q, rank, i, _ in found(out) if rank == 1}
+    assert best == {0: 0, 1: 1, 2: 2, 3: 3}
+    assert out.count() == 8
+
+
+def test_equal_and_missing_question_ids(spark):
+    vectors = sample(20, 3)
+    asked = spark.createDataFrame(
+        [("a", vectors[4].tolist()), ("a", vectors[9].tolist()), (None, vectors[2].tolist())], "query_id string, embedding array<float>"
+    )
+    out = search(vector_table(spark, range(20), vectors), asked, 3, "vec_id").collect()
+    assert sorted((r.query_id or "", r.vec_id) for r in out if r["rank"] == 1) == [("", 2), ("a", 4), ("a", 9)]
+    assert len(out) == 9 and len({r.question_no for r in out}) == 3
 
 
 def test_many_questions_and_no_rows(spark):
@@ -90,7 +125,8 @@ def test_plan_ranks_once_and_reads_no_text(spark, tmp_path):
     vector_table(spark, range(10), sample(10, 4)).withColumn("t", F.lit("long text")).write.parquet(
         f"{tmp_path}/v"
     )
-    out = search(spark.read.parquet(f"{tmp_path}/v"), question_table(spark, sample(2, 4)), 3, "vec_id")
+    asked = numbered(question_table(spark, sample(2, 4)))
+    out = search_tile(spark.read.parquet(f"{tmp_path}/v"), asked, 4, 3, "vec_id")
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<vec_id:bigint,embedding:array<float>>" in plan
     assert plan.count("Exchange") == 1 and "CartesianProduct" not in plan
@@ -166,3 +202,5 @@ def test_distance_functions(spark):
         settle(F.lit(3 / 2**31)).alias("half"),
     ).first()
     assert row.d == 25.0 and row.s == 0.12345679 and row.half == 1e-9
+    large = spark.createDataFrame([(1e10,), (4e10,), (1e300,), (123456789.123456789,)], "d double")
+    assert [r[0] for r in large.select(settle(F.col("d"))).collect()] == [1e10, 4e10, 1e300, 123456789.12345679]

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tests.support import collected, small_index
 from wellspring.plans.answer import answer_batch, encode_questions
 from wellspring.sources.questions import question_line_stream, question_stream
-from wellspring.streaming.answers import answer_stream, responses, stream_metrics
+from wellspring.streaming.answers import answer_stream, responses, statuses, stream_metrics
 from wellspring.workspace import scratch, stage
 
 WORDS = ["apple", "pear", "plum", "cherry", "fig", "grape", "lime", "kiwi"]
@@ -77,6 +77,7 @@ def test_stream_equals_batch_and_restart_repeats_nothing(spark, index, tmp_path)
     ids = [r.query_id for r in responses(spark, f"{tmp_path}/out").collect()]
     assert sorted(ids) == sorted([r[0] for r in rows] + ["late"])
     metrics = stream_metrics(spark, f"{tmp_path}/out").first()
+    assert metrics.active_workers == 0
     assert metrics.total_completed == len(WORDS) + 1 and metrics.queue_size == 0
 
 
@@ -89,6 +90,26 @@ def test_control_words_are_not_answered(spark, index, tmp_path):
     assert collected(controls.select("query_id", "kind"), "query_id") == [
         ("a", "quit"), ("b", "status"), ("c", "blank"),
     ]
+    reply = statuses(spark, f"{tmp_path}/out").first()
+    assert tuple(reply) == ("b", 1, 4, 0, 0)
+
+
+def test_status_counts_what_waits(spark, index, tmp_path):
+    inbox(spark, f"{tmp_path}/inbox", [(f"q{i}", f"fig {i}", 1) for i in range(9)] + [("s", "STATUS", 1)], 1)
+    run(spark, index, tmp_path)
+    inbox(spark, f"{tmp_path}/inbox", [("q9", "refuse", 2), ("t", "status", 2)], 1)
+    run(spark, index, tmp_path)
+    replies = collected(statuses(spark, f"{tmp_path}/out"), "query_id")
+    assert replies == [("s", 4, 4, 5, 0), ("t", 1, 4, 0, 9)]
+    assert tuple(stream_metrics(spark, f"{tmp_path}/out").first()) == (0, 4, 0, 9)
+    assert stream_metrics(spark, f"{tmp_path}/nowhere").first().total_completed == 0
+
+
+def test_repeated_ids_are_answered_one_by_one(spark, index, tmp_path):
+    inbox(spark, f"{tmp_path}/inbox", [("a", "plum", 1), ("a", "fig", 1), ("a", "plum", 1)], 1)
+    run(spark, index, tmp_path, k=1)
+    out = responses(spark, f"{tmp_path}/out").collect()
+    assert sorted((r.query, r.contexts[0]) for r in out) == [("fig", "fig"), ("plum", "plum"), ("plum", "plum")]
 
 
 def test_replayed_batch_overwrites_itself(spark, index, tmp_path):

@@ -10,7 +10,8 @@ def as_float32(vector: Column) -> Column:
 
 def settle(distance: Column) -> Column:
     """Distance on the grid hits are ranked on: nine decimals, halves up."""
-    return F.floor(distance * F.lit(1e9) + F.lit(0.5)) / F.lit(1e9)
+    scaled = distance * F.lit(1e9) + F.lit(0.5)
+    return (scaled - F.pmod(scaled, F.lit(1.0))) / F.lit(1e9)
 
 
 def squared_l2(a: Column, b: Column) -> Column:
@@ -19,6 +20,12 @@ def squared_l2(a: Column, b: Column) -> Column:
     return F.aggregate(gaps, F.lit(0.0), lambda total, gap: total + gap * gap)
 
 
-def has_vector(vector: Column) -> Column:
-    """True for a vector that is present and not empty, never NULL."""
-    return F.coalesce(F.size(vector), F.lit(0)) > 0
+def finite(vector: Column) -> Column:
+    """True if no element is NULL, NaN or infinite, never NULL."""
+    whole = F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))
+    return F.coalesce(whole, F.lit(False))
+
+
+def usable(vector: Column, dim: int) -> Column:
+    """True for a finite vector of the given width, never NULL."""
+    return F.coalesce(F.size(vector) == dim, F.lit(False)) & finite(vector)

@@ -13,7 +13,7 @@ BATCH_ROWS = 100_000
 
 def row_range_batch(row_index: Column, batch_rows: int = BATCH_ROWS) -> Column:
     """Batch i holds rows [i * batch_rows, (i + 1) * batch_rows)."""
-    return F.floor(row_index / F.lit(batch_rows)).cast("long")
+    return F.call_function("div", row_index.cast("long"), F.lit(batch_rows)).cast("long")
 
 
 def chunk(articles: DataFrame, size: int = CHUNK_WORDS, overlap: int = OVERLAP_WORDS) -> DataFrame:

@@ -8,44 +8,57 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from wellspring.backends import loaded
-from wellspring.schemas import VECTOR
 
 
-def encode(text: Column, factory) -> Column:
-    """``array<float>`` of ``text``; an empty array where the text is NULL or fails.
+# Texts given to an encoder at once.
+BATCH_SIZE = 64
 
-    Only the text travels to Python. The column is marked nondeterministic so that
-    the optimizer never evaluates a model twice for one row.
+ENCODED = "struct<embedding: array<float>, error: string>"
+
+
+def encode(text: Column, factory, batch_size: int = BATCH_SIZE) -> Column:
+    """``struct<embedding, error>`` of ``text``: the vector, empty where the text is NULL or
+    fails, and the error's text where it fails.
+
+    Only the text travels to Python, and the encoder gets ``batch_size`` texts at a time. The
+    column is marked nondeterministic so that the optimizer never evaluates a model twice for
+    one row.
     """
 
-    @F.arrow_udf(returnType=VECTOR)
+    @F.arrow_udf(returnType=ENCODED)
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         encoder = loaded(factory)
         for texts in batches:
-            yield vectors(encoder, texts.to_pylist())
+            yield encoded(encoder, texts.to_pylist(), batch_size)
 
     return run.asNondeterministic()(text)
 
 
-def vectors(encoder, texts: list[str | None]) -> pa.Array:
-    """One vector per text, empty for NULL. If the batch fails, texts are tried one by one
-    so that only those at fault come back empty."""
-    known = [text for text in texts if text is not None]
-    try:
-        rows = encoder(known) if known else []
-        if len(rows) != len(known):
-            raise ValueError("encoder returned another number of vectors")
-    except Exception:
-        rows = [alone(encoder, text) for text in known]
-    flat = np.concatenate(list(rows)) if isinstance(rows, list) and rows else np.ravel(rows)
-    widths = np.zeros(len(texts), dtype=np.int32)
-    widths[[text is not None for text in texts]] = [len(row) for row in rows]
-    ends = np.concatenate([[0], np.cumsum(widths)])
-    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat, pa.float32()))
+def encoded(encoder, texts: list[str | None], batch_size: int = BATCH_SIZE) -> pa.StructArray:
+    rows: list[np.ndarray] = [np.empty(0, np.float32)] * len(texts)
+    errors: list[str | None] = [None] * len(texts)
+    known = [i for i, text in enumerate(texts) if text is not None]
+    for start in range(0, len(known), batch_size):
+        _fill(encoder, texts, known[start : start + batch_size], rows, errors)
+    ends = np.concatenate([[0], np.cumsum([len(row) for row in rows])])
+    flat = np.concatenate(rows) if rows else np.empty(0, np.float32)
+    vectors = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat, pa.float32()))
+    return pa.StructArray.from_arrays([vectors, pa.array(errors, pa.string())], names=["embedding", "error"])
 
 
-def alone(encoder, text: str) -> np.ndarray:
+def _fill(encoder, texts, places: list[int], rows, errors) -> None:
+    """Encode the texts at ``places``. Texts that fail together are halved until those at
+    fault are alone, which takes a few calls for each of them."""
     try:
-        return np.asarray(encoder([text])[0], dtype=np.float32)
-    except Exception:
-        return np.empty(0, np.float32)
+        found = encoder([texts[i] for i in places])
+        if len(found) != len(places):
+            raise ValueError("encoder returned another number of vectors")
+        for i, row in zip(places, found):
+            rows[i] = np.asarray(row, dtype=np.float32).ravel()
+    except Exception as problem:
+        if len(places) == 1:
+            errors[places[0]] = str(problem) or type(problem).__name__
+            return
+        half = len(places) // 2
+        _fill(encoder, texts, places[:half], rows, errors)
+        _fill(encoder, texts, places[half:], rows, errors)

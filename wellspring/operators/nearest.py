@@ -6,6 +6,8 @@ ROW_BLOCK = 4096
 QUESTION_BLOCK = 512
 PAIR_BLOCK = 4096
 GRID = 1e9
+# Squared norms up to here leave single precision room for sums and products.
+SINGLE_RANGE = 1e36
 
 
 class RunningTopK:
@@ -14,13 +16,15 @@ class RunningTopK:
     A matrix product only selects candidates, with a margin that covers its worst-case
     rounding error; candidates are measured again in double and ranked on (distance settled
     to nine decimals, id), so results do not depend on partitioning. Where copies or near
-    copies crowd the candidates, copies are dropped and the product is taken in double.
+    copies crowd the candidates, copies are dropped and the product is taken in double;
+    so it is where norms leave the range of single precision. Questions that hold NaN or
+    infinity are near nothing.
     """
 
     def __init__(self, questions: np.ndarray, k: int):
         self.k = k
         self.questions = np.ascontiguousarray(questions, dtype=np.float32)
-        self.norms = np.einsum("ij,ij->i", self.questions, self.questions, dtype=np.float64)
+        self.norms = _norms(self.questions)
         self.distance = np.full((len(questions), k), np.inf)
         self.ids = np.full((len(questions), k), np.iinfo(np.int64).max)
 
@@ -36,7 +40,8 @@ class RunningTopK:
                 self._fold_block(slice(first, first + QUESTION_BLOCK), block_ids, block)
 
     def _fold_block(self, span: slice, ids: np.ndarray, rows: np.ndarray) -> None:
-        which, row = self._candidates(span, rows, np.float32)
+        largest = max(_norms(rows).max(initial=0), self.norms[span].max(initial=0))
+        which, row = self._candidates(span, rows, np.float32 if largest < SINGLE_RANGE else np.float64)
         if len(row) > 4 * self.k * len(self.questions[span]):
             kept = first_copies(ids, rows, self.k)
             ids, rows = ids[kept], rows[kept]
@@ -47,7 +52,7 @@ class RunningTopK:
     def _candidates(self, span: slice, rows: np.ndarray, kind: type):
         """Question and row numbers of all pairs that may be among the k best. ``kind`` is
         the precision of the product: single is fast, double leaves few near-ties."""
-        norms = np.einsum("ij,ij->i", rows, rows, dtype=np.float64)
+        norms = _norms(rows)
         error = (rows.shape[1] + 8) * np.finfo(kind).eps / 2
         margin = error * (norms.max() + self.norms[span]) + 2 / GRID
         rough = self.questions[span].astype(kind) @ rows.astype(kind).T
@@ -79,6 +84,10 @@ class RunningTopK:
         return number, self.ids[number, place], self.distance[number, place]
 
 
+def _norms(rows: np.ndarray) -> np.ndarray:
+    return np.einsum("ij,ij->i", rows, rows, dtype=np.float64)
+
+
 def measure(questions, rows, which, row) -> np.ndarray:
     out = np.empty(len(row))
     for start in range(0, len(row), PAIR_BLOCK):

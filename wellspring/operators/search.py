@@ -7,22 +7,63 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from wellspring.functions.vectors import as_float32, has_vector
+from wellspring.functions.vectors import as_float32
 from wellspring.operators.nearest import RunningTopK
-from wellspring.operators.parts import parts, parts_for
-from wellspring.workspace import scratch
+from wellspring.operators.position import row_of, slot_of
+from wellspring.workspace import scratch, stage
 
 # Fixed value: hits per question.
 TOP_K = 6
 
-# Upper bound of one broadcast tile of vectors.
+# Upper bounds of one tile: its vectors, and the hits that its questions can have.
 TILE_BYTES = 32 << 20
+TILE_HITS = 200_000
 
-# Scan tasks per search. A question's final ranking sees at most k rows from each, however
-# large the index grows; beyond this many splits, neighbouring ones share a task.
-MAX_TASKS = 10_000
+HIT = "question_no long, distance double, id long"
 
-HIT = "query_id string, distance double, id long"
+
+def numbered(questions: DataFrame) -> DataFrame:
+    """Questions as a table with ``question_no``, a key of our own: the ids that clients
+    send may repeat or be missing."""
+    return stage(questions.withColumn("question_no", F.monotonically_increasing_id()), "questions")
+
+
+def tiles(asked: DataFrame, tile_rows: int) -> Iterator[DataFrame]:
+    """A numbered table in runs of at most ``tile_rows`` neighbouring questions. Only the row
+    counts of its files reach the driver."""
+    slot = slot_of(F.col("question_no")).alias("slot")
+    last = F.max(row_of(F.col("question_no")))
+    spans = sorted((r.slot, r.rows) for r in asked.groupBy(slot).agg((last + 1).alias("rows")).collect())
+    begin, taken = None, 0
+    for slot, rows in spans:
+        first = slot << 33
+        row = 0
+        while row < rows:
+            begin = first if begin is None else begin
+            step = min(rows - row, tile_rows - taken)
+            row, taken = row + step, taken + step
+            if taken == tile_rows:
+                yield asked.where(F.col("question_no").between(begin, first + row - 1))
+                begin, taken = (first + row if row < rows else None), 0
+    if taken:
+        yield asked.where(F.col("question_no") >= begin)
+
+
+def tile_rows(dim: int, k: int, tile_bytes: int = TILE_BYTES) -> int:
+    return max(1, min(tile_bytes // (4 * dim), TILE_HITS // k))
+
+
+def search_tile(vectors: DataFrame, tile: DataFrame, dim: int, k: int, id_col: str = "row_key") -> DataFrame:
+    """``question_no, rank, <id_col>, distance`` for one tile of questions; lazy.
+
+    The tile is broadcast and folded over the whole index by a map-side top-k, so only k rows
+    per question and task are shuffled. Vectors of another width than ``dim``, NULL ones, and
+    ones that hold a NULL, NaN or infinity are near nothing, on either side.
+    """
+    vector = as_float32(F.col("embedding")).alias("embedding")
+    base = vectors.select(F.col(id_col).cast("long").alias("id"), vector).where(F.size("embedding") == dim)
+    shared = _shared(tile.select("question_no", vector).where(F.size("embedding") == dim))
+    return _ranked(_over(base, shared, k), k, id_col)
 
 
 def search(
@@ -31,53 +72,34 @@ def search(
     k: int = TOP_K,
     id_col: str = "row_key",
     tile_bytes: int = TILE_BYTES,
-    extent: tuple[int, int] | None = None,
 ) -> DataFrame:
-    """``query_id, rank, <id_col>, distance``: the k rows nearest to each question, by
-    (distance, id); fewer if there are fewer rows.
-
-    ``questions`` (query_id, embedding) must be a table rather than a plan that runs a
-    model, as it is read more than once; ``query_id`` must be unique. ``extent`` is the
-    number of questions and the width of their vectors, where known; else they are counted.
-
-    Questions that fit ``tile_bytes`` are broadcast and folded over the whole index by a
-    map-side top-k, so only k rows per question and task are shuffled; the result is lazy.
-    More questions are cut into tiles of that size, or, where there are more questions than
-    index rows, the index is, and the questions stay where they lie. The hits of each tile
-    are written before the next is read: the driver never holds more than one.
+    """``question_no, query_id, rank, <id_col>, distance``: the k rows nearest to each
+    question, by (distance, id); fewer if there are fewer rows.
+
+    A question is compared with the rows of its own width. Questions (query_id, embedding)
+    without ``question_no`` are numbered first. They are taken tile by tile, and the hits of
+    each tile are written before the next is read: the driver never holds more than one, and
+    no more than questions x k hits are ever written.
     """
     spark = vectors.sparkSession
-    vector = as_float32(F.col("embedding")).alias("embedding")
-    asked = questions.where(has_vector(F.col("embedding"))).select(
-        F.col("query_id").cast("string").alias("query_id"), vector
-    )
-    base = vectors.select(F.col(id_col).cast("long").alias("id"), vector)
-    count, dim = extent or asked.agg(F.count("*"), F.max(F.size("embedding"))).first()
-    if not count or not dim:
-        return _ranked(spark.createDataFrame([], HIT), k, id_col)
-
-    tile_rows = max(1, tile_bytes // (4 * dim))
-    if count <= tile_rows:
-        return _ranked(_over(base, _shared(asked), _fold_rows(k)), k, id_col)
-
-    size = base.count()
-    hits = scratch(spark, "tile-hits")
-    spark.createDataFrame([], HIT).write.parquet(hits)
-    if count > size:
-        for part in parts(base.repartition(parts_for(size, tile_rows), "id"), tile_rows):
-            tile = _shared(part)
-            _over(asked, tile, _fold_questions(k)).write.mode("append").parquet(hits)
-            tile.destroy()
-    else:
-        for part in parts(asked.repartition(parts_for(count, tile_rows), "query_id"), tile_rows):
-            tile = _shared(part)
-            best = _ranked(_over(base, tile, _fold_rows(k)), k, "id").drop("rank")
-            best.write.mode("append").parquet(hits)
-            tile.destroy()
-    return _ranked(spark.read.schema(HIT).parquet(hits), k, id_col)
+    asked = questions if "question_no" in questions.columns else numbered(questions)
+    hits = scratch(spark, "hits")
+    schema = f"question_no long, rank int, {id_col} long, distance double"
+    spark.createDataFrame([], schema).write.parquet(hits)
+    widths = asked.where(F.size("embedding") > 0).select(F.size("embedding").alias("w")).distinct().collect()
+    for dim in sorted(r.w for r in widths):
+        for tile in tiles(asked.where(F.size("embedding") == dim), tile_rows(dim, k, tile_bytes)):
+            search_tile(vectors, tile, dim, k, id_col).write.mode("append").parquet(hits)
+    found = spark.read.schema(schema).parquet(hits)
+    names = asked.select("question_no", F.col("query_id").cast("string").alias("query_id"))
+    return found.join(names, "question_no").select("question_no", "query_id", "rank", id_col, "distance")
 
 
 def matrix(lists: pa.Array) -> np.ndarray:
+    """Vectors of one width as the rows of a matrix."""
+    widths = lists.value_lengths()
+    if widths.null_count or len(widths.unique()) > 1:
+        raise ValueError("vectors of several widths")
     flat = lists.flatten().to_numpy(zero_copy_only=False)
     return flat.reshape(len(lists), -1) if len(lists) else flat.reshape(0, 0)
 
@@ -86,55 +108,30 @@ def _shared(tile: DataFrame):
     """Broadcast keys and vectors of one tile."""
     table = tile.toArrow()
     keys, vectors = [column.combine_chunks() for column in table.columns]
-    return tile.sparkSession.sparkContext.broadcast((keys, matrix(vectors)))
+    return tile.sparkSession.sparkContext.broadcast((keys.to_numpy(), matrix(vectors)))
 
 
-def _over(scan: DataFrame, tile, fold) -> DataFrame:
-    """Partial hits of a broadcast tile over all partitions of the other side."""
+def _over(scan: DataFrame, tile, k: int) -> DataFrame:
+    """Partial hits of a broadcast tile over all partitions of the index."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, vectors = tile.value
-        for query_ids, best in fold(keys, vectors, batches):
-            number, ids, distance = best.hits()
-            if len(ids):
-                names = query_ids.cast(pa.string()).take(pa.array(number))
-                yield pa.RecordBatch.from_arrays(
-                    [names, pa.array(distance), pa.array(ids)], names=["query_id", "distance", "id"]
-                )
-
-    return scan.coalesce(MAX_TASKS).mapInArrow(run, HIT)
-
-
-def _fold_rows(k: int):
-    """The tile holds questions; index rows pass by, and a partition has one result."""
-
-    def fold(query_ids, questions, batches):
-        best = RunningTopK(questions, k)
+        best = RunningTopK(vectors, k)
         for batch in batches:
-            if batch.num_rows:
+            if batch.num_rows and len(keys):
                 best.fold(batch.column(0).to_numpy(), matrix(batch.column(1)))
-        yield query_ids, best
-
-    return fold
-
-
-def _fold_questions(k: int):
-    """The tile holds index rows; questions pass by, and each batch has its result."""
-
-    def fold(ids, rows, batches):
-        for batch in batches:
-            if batch.num_rows:
-                best = RunningTopK(matrix(batch.column(1)), k)
-                best.fold(ids.to_numpy(), rows)
-                yield batch.column(0), best
+        number, ids, distance = best.hits()
+        if len(ids):
+            columns = [pa.array(keys[number]), pa.array(distance), pa.array(ids)]
+            yield pa.RecordBatch.from_arrays(columns, names=["question_no", "distance", "id"])
 
-    return fold
+    return scan.mapInArrow(run, HIT)
 
 
 def _ranked(partial: DataFrame, k: int, id_col: str) -> DataFrame:
-    nearest = Window.partitionBy("query_id").orderBy("distance", "id")
+    nearest = Window.partitionBy("question_no").orderBy("distance", "id")
     return (
         partial.withColumn("rank", F.row_number().over(nearest))
         .where(F.col("rank") <= k)
-        .select("query_id", "rank", F.col("id").alias(id_col), "distance")
+        .select("question_no", "rank", F.col("id").alias(id_col), "distance")
     )

@@ -1,6 +1,8 @@
 """Articles to an index: chunk, embed batch by batch, build."""
 
-from pyspark.sql import DataFrame, SparkSession
+from concurrent.futures import ThreadPoolExecutor
+
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from wellspring.backends import DIM
@@ -14,6 +16,13 @@ from wellspring.sources.tables import (
     read_table_if_any,
     write_batches,
 )
+from wellspring.workspace import exists
+
+# Batches embedded side by side; characters of an error that the ledger keeps.
+BATCHES_AT_ONCE = 4
+ERROR_CHARS = 2000
+
+ENTRY = "batch_id long, n_chunks long, n_failed long, error string"
 
 
 def chunk_corpus(
@@ -25,7 +34,8 @@ def chunk_corpus(
 
 def embed(chunks: DataFrame, factory) -> DataFrame:
     """Chunks with ``embedding`` and its ``width``; a narrow plan."""
-    vectors = chunks.withColumn("embedding", encode(F.col("chunk_text"), factory))
+    vectors = chunks.withColumn("_made", encode(F.col("chunk_text"), factory))
+    vectors = vectors.withColumns({"embedding": F.col("_made.embedding"), "error": F.col("_made.error")})
     return vectors.withColumn("width", F.size("embedding")).select(*EMBEDDED.fieldNames())
 
 
@@ -33,28 +43,51 @@ def embed_chunks(
     chunks: DataFrame,
     path: str,
     factory,
-    batch_ids: list[int] | None = None,
-    batches_per_job: int = 500,
+    batch_ids: list[int | None] | None = None,
+    at_once: int = BATCHES_AT_ONCE,
 ) -> DataFrame:
-    """Embed the batches not yet in the ledger, or those named, newest first.
+    """Embed the batches not yet done according to the ledger, or those named, newest first.
 
-    Each job covers ``batches_per_job`` batches and notes them in the ledger once they
-    are written, so a run that was cut short goes on where it stopped. Only batch numbers
-    reach the driver.
+    A batch is a job of its own and noted as soon as it is written, so a run that was cut short
+    goes on with the batches it lacks. One that fails is noted with its error and does not stop
+    the others; it is not done, and neither is one of whose texts all failed. Chunks without a
+    ``batch_id`` are one batch, the last. ``chunks`` should be a table with a folder per batch;
+    ``at_once`` batches run side by side. Only batch numbers reach the driver.
     """
     spark = chunks.sparkSession
     if batch_ids is None:
         known = {row.batch_id for row in chunks.select("batch_id").distinct().collect()}
-        batch_ids = known - {row.batch_id for row in ledger(spark, path).collect()}
-    todo = sorted(batch_ids, reverse=True)
-    for start in range(0, len(todo), batches_per_job):
-        chosen = F.col("batch_id").isin(todo[start : start + batches_per_job])
-        write_batches(embed(chunks.where(chosen), factory), f"{path}/rows")
-        written = read_table_if_any(spark, f"{path}/rows", EMBEDDED)
-        note_batches(written.where(chosen), f"{path}/ledger")
+        batch_ids = known - {row.batch_id for row in done(ledger(spark, path)).collect()}
+    newest_first = sorted(batch_ids, key=lambda b: (b is not None, b or 0), reverse=True)
+    with ThreadPoolExecutor(at_once) as pool:
+        entries = pool.map(lambda batch: embed_batch(chunks, path, factory, batch), newest_first)
+        for entry in entries:
+            note_batches(spark.createDataFrame([entry], ENTRY), f"{path}/ledger")
     return read_table_if_any(spark, f"{path}/rows", EMBEDDED)
 
 
+def embed_batch(chunks: DataFrame, path: str, factory, batch: int | None) -> tuple:
+    """Write the embedded chunks of one batch; its ledger entry."""
+    chosen = chunks.where(F.col("batch_id").eqNullSafe(F.lit(batch).cast("long")))
+    seen = Observation()
+    counted = embed(chosen, factory).observe(
+        seen,
+        F.count(F.lit(1)).alias("n_chunks"),
+        F.count_if(F.col("width") == 0).alias("n_failed"),
+        F.min("error").alias("error"),
+    )
+    try:
+        write_batches(counted, f"{path}/rows")
+        return batch, seen.get["n_chunks"], seen.get["n_failed"], seen.get["error"]
+    except Exception as problem:
+        return batch, None, None, str(problem)[:ERROR_CHARS] or type(problem).__name__
+
+
+def done(entries: DataFrame) -> DataFrame:
+    """Ledger entries of batches that need not be embedded again."""
+    return entries.where((F.col("n_chunks") > 0) & (F.col("n_failed") < F.col("n_chunks")))
+
+
 def ledger(spark: SparkSession, path: str) -> DataFrame:
     """Chunks and failed chunks of each batch embedded under ``path``."""
     return read_ledger(spark, f"{path}/ledger")
@@ -66,8 +99,11 @@ def build_index(embedded: DataFrame, path: str, dim: int = DIM, **options) -> Ve
 
 
 def ingest(articles: DataFrame, path: str, factory, dim: int = DIM) -> VectorIndex:
-    """Articles with ``batch_id`` to an index; chunks go straight to the encoder."""
-    write_batches(embed(chunk_corpus(articles), factory), f"{path}/embedded/rows")
-    embedded = read_table_if_any(articles.sparkSession, f"{path}/embedded/rows", EMBEDDED)
-    note_batches(embedded, f"{path}/embedded/ledger")
+    """Articles with ``batch_id`` to an index over the batches that could be embedded. A run
+    that was cut short goes on where it stopped: chunks are cut once, batches embedded once."""
+    spark = articles.sparkSession
+    if not exists(spark, f"{path}/chunks/_SUCCESS"):
+        write_batches(chunk_corpus(articles), f"{path}/chunks")
+    chunks = read_table_if_any(spark, f"{path}/chunks", CHUNK)
+    embedded = embed_chunks(chunks, f"{path}/embedded", factory)
     return build_index(embedded, f"{path}/index", dim)

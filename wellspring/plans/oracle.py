@@ -1,5 +1,6 @@
 """The registered queries in DuckDB SQL, written from their definitions."""
 
+from wellspring.backends import QuotingGenerator
 from wellspring.functions.prompts import (
     ANSWER_CUE,
     CONTEXT_CLOSE,
@@ -39,10 +40,10 @@ chunks AS (
   FROM starts)"""
 
 
-def _encoded(name: str, source: str, key: str, text: str) -> str:
+def _encoded(name: str, source: str, key: str, text: str, tokens: str = "") -> str:
     """CTEs with the non-zero entries of a text's vector, and its squared length."""
     return f"""
-{name}_tokens AS (SELECT {key} AS key, {_words(f'lower({text})')}[1:128] AS t FROM {source}),
+{name}_tokens AS (SELECT {key} AS key, {_words(f'lower({text})')}{tokens} AS t FROM {source}),
 {name}_hashes AS (
   SELECT key, len(t) AS n, CAST('0x' || substr(md5(unnest(t)), 1, 8) AS BIGINT) AS h FROM {name}_tokens),
 {name}_cells AS (
@@ -77,23 +78,29 @@ hits AS (
 
 
 ASKED = "(SELECT CAST(item_id AS VARCHAR) AS query_id, text AS query_text FROM benchmark)"
+MARKED = f"""(SELECT CAST(item_id AS VARCHAR) AS query_id,
+  CASE WHEN item_id % 6 = 0 THEN {quoted(QuotingGenerator.MARK)} ELSE '' END || text AS query_text FROM benchmark)"""
 TEXT_HITS = _retrieved(ASKED, "query_id", "query_text")
 
 TURNS = "(SELECT 'query_' || conv_id || '_' || turn AS query_id, * FROM conversations)"
 USER_TURNS = f"(SELECT * FROM {TURNS} WHERE role = 'user')"
 
-VECTOR_HITS = f"""
+def _vector_hits(source: str = "SELECT vec_id, embedding FROM embeddings") -> str:
+    return f"""
 WITH sized AS (
-  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM ({source})),
 measured AS (
   SELECT CAST(q.vec_id AS VARCHAR) AS query_id, x.vec_id,
          {_settled('list_sum(list_transform(list_zip(q.v, x.v), lambda p: (p[1] - p[2]) * (p[1] - p[2])))')} AS distance
-  FROM sized q CROSS JOIN sized x),
+  FROM sized q JOIN sized x ON len(q.v) = len(x.v)),
 hits AS (
   SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY distance, vec_id) AS rank, vec_id, distance
   FROM measured QUALIFY rank <= 6)
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, distance FROM hits"""
 
+
+VECTOR_HITS = _vector_hits()
+
 FOLDED = f"""{TEXT_HITS},
 folded AS (
   SELECT query_id, list(chunk_text ORDER BY rank) AS contexts,
@@ -122,12 +129,14 @@ FROM {NUMBERED} GROUP BY batch_id""",
     "chunk_overlap": f"WITH {CHUNKS} SELECT chunk_id, doc_id, chunk_no, title, chunk_text FROM chunks",
     "chunk_roundtrip": f"""
 WITH {CHUNKS}
-SELECT doc_id, chunk_no, chunk_id, title, chunk_text, doc_id // 250 AS batch_id FROM chunks""",
+SELECT doc_id, chunk_no, chunk_id, title, chunk_text, batch_id
+FROM chunks JOIN (SELECT doc_id, batch_id FROM {NUMBERED}) USING (doc_id)""",
     "batch_ledger": f"""
 WITH {CHUNKS}
-SELECT doc_id // 250 AS batch_id, count(*) AS n_chunks, CAST(0 AS BIGINT) AS n_failed FROM chunks GROUP BY 1""",
+SELECT batch_id, count(*) AS n_chunks, CAST(0 AS BIGINT) AS n_failed, CAST(NULL AS VARCHAR) AS error
+FROM chunks JOIN (SELECT doc_id, batch_id FROM {NUMBERED}) USING (doc_id) GROUP BY 1""",
     "hash_encode": f"""
-WITH {CHUNKS}, {_encoded('chunk', 'chunks', 'chunk_id', 'chunk_text')}
+WITH {CHUNKS}, {_encoded('chunk', 'chunks', 'chunk_id', 'chunk_text', '[1:128]')}
 SELECT key AS chunk_id, CAST(bucket AS INTEGER) AS bucket, round(value, 6) AS value
 FROM chunk_cells WHERE value <> 0""",
     "mean_pool": """
@@ -136,13 +145,22 @@ WITH cells AS (
 SELECT label, CAST(element AS INTEGER) AS element, round(avg(CAST(value AS DOUBLE)), 6) AS mean
 FROM cells GROUP BY label, element""",
     "valid_embedding_filter": """
-SELECT vec_id, CASE WHEN label IN (3, 5) THEN 'missing' WHEN label = 7 THEN 'width' ELSE 'indexed' END AS verdict
-FROM embeddings""",
+SELECT vec_id, CASE WHEN label = 7 THEN 'width' WHEN vec_id % 17 = 0 THEN 'value' ELSE 'indexed' END AS verdict
+FROM embeddings WHERE label NOT IN (3, 5) AND vec_id % 11 <> 0 AND vec_id % 13 <> 0""",
+    "flat_chunk_lines": f"""
+WITH {CHUNKS} SELECT title, count(*) AS n_chunks, count(*) AS n_vectors FROM chunks GROUP BY title""",
     "build_index": f"""
 WITH {CHUNKS}
 SELECT row_number() OVER (ORDER BY doc_id, chunk_no) - 1 AS pos, chunk_id, title, chunk_text FROM chunks""",
     "index_size": f"WITH {CHUNKS} SELECT count(*) AS ntotal FROM chunks",
     "knn_topk": VECTOR_HITS,
+    "knn_mixed_width": _vector_hits(
+        """SELECT vec_id, CASE WHEN label = 7 THEN embedding[1:63] ELSE embedding END AS embedding FROM embeddings
+  WHERE label NOT IN (3, 5) AND (label = 7 OR vec_id % 17 <> 0)"""
+    ),
+    "distance_format": f"""
+SELECT query_id, string_agg(printf('%.4f', distance), '|' ORDER BY rank) AS distances
+FROM ({VECTOR_HITS}) GROUP BY query_id""",
     "hit_distance": VECTOR_HITS,
     "text_topk": f"{TEXT_HITS} SELECT query_id, CAST(rank AS INTEGER) AS rank, pos, chunk_id, distance FROM hits",
     "context_fetch": f"{TEXT_HITS} SELECT query_id, CAST(rank AS INTEGER) AS rank, chunk_text FROM hits",
@@ -155,6 +173,24 @@ SELECT query_id, {quoted(SYSTEM_RULE)} AS system,
        {quoted(CONTEXT_OPEN)} || substring(context, 1, 12000) || {quoted(CONTEXT_CLOSE)}
          || {quoted(QUESTION_CUE)} || query_text || {quoted(ANSWER_CUE)} AS "user"
 FROM joined JOIN {ASKED} asked USING (query_id)""",
+    "duplicate_ids": f"""{FOLDED}
+SELECT CASE WHEN CAST(query_id AS BIGINT) % 7 <> 0 THEN CAST(CAST(query_id AS BIGINT) % 5 AS VARCHAR) END AS query_id,
+       query_text AS query, indices
+FROM folded JOIN {ASKED} asked USING (query_id)""",
+    "answers": f"""{_retrieved(MARKED, 'query_id', 'query_text')},
+first_seen AS (SELECT query_id, chunk_text AS context, min(rank) AS rank FROM hits GROUP BY ALL),
+joined AS (
+  SELECT query_id, substring(string_agg(context, chr(10) || chr(10) ORDER BY rank), 1, 12000) AS context
+  FROM first_seen GROUP BY 1),
+whole AS (
+  SELECT *, length({quoted(CONTEXT_OPEN)} || context || {quoted(CONTEXT_CLOSE)}
+         || {quoted(QUESTION_CUE)} || query_text || {quoted(ANSWER_CUE)}) AS n
+  FROM joined JOIN {MARKED} asked USING (query_id))
+SELECT query_id, CASE WHEN starts_with(query_text, {quoted(QuotingGenerator.MARK)}) THEN 'failed' ELSE 'completed' END AS status,
+       CASE WHEN NOT starts_with(query_text, {quoted(QuotingGenerator.MARK)})
+            THEN n || '|' || substring(context, 1, 20) || '|' || substring(query_text || {quoted(ANSWER_CUE)}, 1, 20) END AS answer,
+       CASE WHEN starts_with(query_text, {quoted(QuotingGenerator.MARK)}) THEN {quoted(QuotingGenerator.ERROR)} END AS error
+FROM whole""",
     "answer_log": f"""{FOLDED}
 SELECT query_text AS query, array_to_string(contexts, chr(10)) AS contexts, indices, distances
 FROM folded JOIN {ASKED} asked USING (query_id)""",

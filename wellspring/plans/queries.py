@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wellspring.backends import ExtractiveGenerator, HashingEncoder
+from wellspring.backends import DIM, ExtractiveGenerator, HashingEncoder, QuotingGenerator
 from wellspring.functions.prompts import system_prompt, user_prompt
 from wellspring.functions.records import LIST_RULE, fixed4, piped, request_id, response
 from wellspring.functions.vectors import settle, squared_l2
@@ -11,25 +11,26 @@ from wellspring.operators.chunk import chunk
 from wellspring.operators.pool import mean_pool
 from wellspring.operators.requests import load_metrics, route
 from wellspring.operators.search import search
-from wellspring.operators.validate import verdict
 from wellspring.plans.answer import (
     Asked,
     answer_batch,
+    answer_job,
     encode_questions,
     retrieve,
     with_contexts,
-    write_logs,
 )
-from wellspring.plans.ingest import chunk_corpus, embed_chunks, ingest, ledger
-from wellspring.schemas import CHUNK
+from wellspring.plans.ingest import build_index as index_of
+from wellspring.plans.ingest import chunk_corpus, embed, embed_chunks, ingest, ledger
+from wellspring.schemas import CHUNK, EMBEDDED
 from wellspring.sources.articles import article_scan, articles, batches, peek
 from wellspring.sources.index import VectorIndex, load_index
 from wellspring.sources.questions import question_stream, questions
 from wellspring.sources.tables import console_summary, read_chunk_lines, write_batches
 from wellspring.streaming.answers import answer_stream, responses
-from wellspring.workspace import scratch, ship_package
+from wellspring.workspace import scratch, ship_package, stage
 
-ENCODER = HashingEncoder()
+# Whole texts are searched; the cut of a model's input is the feature of ``hash_encode``.
+ENCODER = HashingEncoder(max_tokens=None)
 GENERATOR = ExtractiveGenerator()
 
 # The test tables are small; this many articles per batch gives several batches.
@@ -57,7 +58,7 @@ def corpus_index(spark: SparkSession, sf_dir: str) -> VectorIndex:
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _indexes:
         path = scratch(spark, "corpus")
-        ingest(batches(_documents(spark, sf_dir), BATCH_ROWS, row_index="doc_id"), path, ENCODER)
+        ingest(batches(_documents(spark, sf_dir), BATCH_ROWS), path, ENCODER)
         _indexes[key] = f"{path}/index"
     return load_index(spark, _indexes[key])
 
@@ -98,7 +99,7 @@ def chunk_overlap(spark, sf_dir):
 def chunk_roundtrip(spark, sf_dir):
     """Chunks through JSON line files, one folder per batch, read back as one set."""
     path = scratch(spark, "chunk-lines")
-    numbered = batches(_documents(spark, sf_dir), BATCH_ROWS, row_index="doc_id")
+    numbered = batches(_documents(spark, sf_dir), BATCH_ROWS)
     write_batches(chunk_corpus(numbered), path, "json")
     return read_chunk_lines(spark, path).select(*CHUNK.fieldNames())
 
@@ -107,7 +108,7 @@ def batch_ledger(spark, sf_dir):
     """Chunks embedded and failed per batch, as noted by the embedding job."""
     ship_package(spark)
     path = scratch(spark, "embedded")
-    numbered = batches(_documents(spark, sf_dir), BATCH_ROWS, row_index="doc_id")
+    numbered = batches(_documents(spark, sf_dir), BATCH_ROWS)
     chunks = f"{path}/chunks"
     write_batches(chunk_corpus(numbered), chunks)
     embed_chunks(spark.read.schema(CHUNK).parquet(chunks), path, ENCODER)
@@ -115,13 +116,14 @@ def batch_ledger(spark, sf_dir):
 
 
 def hash_encode(spark, sf_dir):
-    """Non-zero entries of all chunk vectors."""
-    vectors = corpus_index(spark, sf_dir).rows.select(
-        "chunk_id", F.posexplode("embedding").alias("bucket", "value")
-    )
-    return vectors.where(F.col("value") != 0).select(
-        "chunk_id", "bucket", F.round(F.col("value").cast("double"), 6).alias("value")
-    )
+    """Non-zero entries of the vectors of all chunks, by the encoder that reads the first 128
+    tokens."""
+    ship_package(spark)
+    chunks = chunk_corpus(_documents(spark, sf_dir).withColumn("batch_id", F.lit(0).cast("long")))
+    entry = F.transform("embedding", lambda value, i: F.struct(i.alias("bucket"), value.cast("double").alias("value")))
+    filled = F.filter(entry, lambda e: e["value"] != 0)
+    vectors = embed(chunks, HashingEncoder()).select("chunk_id", F.explode(filled).alias("e"))
+    return vectors.select("chunk_id", "e.bucket", F.round("e.value", 6).alias("value"))
 
 
 def pooled_labels(spark, sf_dir):
@@ -132,17 +134,61 @@ def pooled_labels(spark, sf_dir):
 
 
 def valid_embedding_filter(spark, sf_dir):
-    """Verdict per vector, after spoiling those of three labels: NULL, empty, short."""
+    """Where each vector goes when an index is built of spoilt ones and of missing texts."""
+    ship_package(spark)
+    ident = F.col("vec_id")
+    text = F.when(ident % 11 == 0, F.lit(None)).when(ident % 13 == 0, "").otherwise("text")
+    rows = _spoilt(spark, sf_dir).select(
+        ident.alias("doc_id"),
+        F.lit(0).alias("chunk_no"),
+        ident.cast("string").alias("chunk_id"),
+        F.lit("title").alias("title"),
+        text.alias("chunk_text"),
+        "embedding",
+        F.coalesce(F.size("embedding"), F.lit(0)).alias("width"),
+        F.lit(None).cast("string").alias("error"),
+        F.lit(0).cast("long").alias("batch_id"),
+    )
+    path = scratch(spark, "spoilt")
+    index = index_of(stage(rows.select(*EMBEDDED.fieldNames()), "spoilt"), path, TABLE_DIM)
+    taken = index.rows.select("chunk_id", F.lit("indexed").alias("verdict"))
+    aside = spark.read.parquet(f"{path}/rejects").select("chunk_id", "verdict")
+    return taken.union(aside).select(F.col("chunk_id").cast("long").alias("vec_id"), "verdict")
+
+
+def _spoilt(spark, sf_dir):
+    """The vectors, with those of three labels NULL, empty or short, and some with a NaN."""
     label, vector = F.col("label"), F.col("embedding")
-    spoilt = _table(spark, sf_dir, "embeddings").withColumn(
+    nan = F.array(F.lit(float("nan")).cast("float"))
+    return _table(spark, sf_dir, "embeddings").withColumn(
         "embedding",
         F.when(label == 3, F.lit(None))
         .when(label == 5, F.slice(vector, 1, 0))
         .when(label == 7, F.slice(vector, 1, TABLE_DIM - 1))
+        .when(F.col("vec_id") % 17 == 0, F.concat(F.slice(vector, 1, TABLE_DIM - 1), nan))
         .otherwise(vector),
     )
-    judged = verdict(F.coalesce(F.size("embedding"), F.lit(0)), F.lit("text"), TABLE_DIM)
-    return spoilt.select("vec_id", judged.alias("verdict"))
+
+
+def flat_chunk_lines(spark, sf_dir):
+    """Chunks as flat JSON lines of title and text, without ids or batches, read back and
+    embedded: chunks and vectors per title."""
+    ship_package(spark)
+    path = scratch(spark, "flat")
+    chunk(_documents(spark, sf_dir)).select("title", "chunk_text").write.json(f"{path}/lines")
+    embedded = embed_chunks(read_chunk_lines(spark, f"{path}/lines"), f"{path}/embedded", ENCODER)
+    return embedded.groupBy("title").agg(
+        F.count(F.lit(1)).alias("n_chunks"), F.count_if(F.col("width") == DIM).alias("n_vectors")
+    )
+
+
+def knn_mixed_width(spark, sf_dir):
+    """Spoilt vectors searched for each other: each meets those of its own width, and NULL,
+    empty and NaN ones neither ask nor answer."""
+    ship_package(spark)
+    table = _spoilt(spark, sf_dir)
+    asked = table.select(F.col("vec_id").cast("string").alias("query_id"), "embedding")
+    return search(table, asked, id_col="vec_id").drop("question_no")
 
 
 def build_index(spark, sf_dir):
@@ -163,7 +209,13 @@ def knn_topk(spark, sf_dir):
     """Every vector of the table as a question to the table itself."""
     ship_package(spark)
     table, asked = _vectors_as_questions(spark, sf_dir)
-    return search(table, asked, id_col="vec_id")
+    return search(table, asked, id_col="vec_id").drop("question_no")
+
+
+def distance_format(spark, sf_dir):
+    """Distances of each vector's hits with four decimals, as the summary writes them."""
+    hits = knn_topk(spark, sf_dir).groupBy("query_id").agg(F.array_sort(F.collect_list(F.struct("rank", "distance"))).alias("h"))
+    return hits.select("query_id", F.array_join(fixed4(F.col("h.distance")), LIST_RULE).alias("distances"))
 
 
 def hit_distance(spark, sf_dir):
@@ -207,11 +259,33 @@ def prompt_assemble(spark, sf_dir):
     )
 
 
-def _logs(spark, sf_dir):
-    answers = answer_batch(
-        corpus_index(spark, sf_dir), benchmark_questions(spark, sf_dir), GENERATOR
+def duplicate_ids(spark, sf_dir):
+    """Questions whose client ids repeat or are missing are answered one by one."""
+    ship_package(spark)
+    item = F.col("item_id")
+    client = F.when(item % 7 != 0, (item % 5).cast("string"))
+    asked = _table(spark, sf_dir, "benchmark").select(client.alias("query_id"), F.col("text").alias("query_text"))
+    folded = with_contexts(corpus_index(spark, sf_dir), encode_questions(asked, ENCODER))
+    return folded.select("query_id", F.col("query_text").alias("query"), piped(F.col("indices")).alias("indices"))
+
+
+def checked_answers(spark, sf_dir):
+    """Answers by a generator that quotes its prompt and fails for marked questions."""
+    ship_package(spark)
+    item = F.col("item_id")
+    marked = F.when(item % 6 == 0, QuotingGenerator.MARK).otherwise("").cast("string")
+    asked = _table(spark, sf_dir, "benchmark").select(
+        item.cast("string").alias("query_id"), F.concat(marked, "text").alias("query_text")
     )
-    return write_logs(answers, scratch(spark, "logs"))
+    table = encode_questions(asked, ENCODER)
+    answers = answer_batch(corpus_index(spark, sf_dir), table, QuotingGenerator(), retries=2, backoff=0)
+    return stage(answers, "answers").select("query_id", "status", "answer", "error")
+
+
+def _logs(spark, sf_dir):
+    ship_package(spark)
+    asked = questions(_table(spark, sf_dir, "benchmark"), "item_id", "text")
+    return answer_job(corpus_index(spark, sf_dir), asked, ENCODER, GENERATOR, scratch(spark, "logs"))
 
 
 def answer_log(spark, sf_dir):
@@ -221,7 +295,7 @@ def answer_log(spark, sf_dir):
         "query",
         F.array_join("contexts", "\n").alias("contexts"),
         piped(F.col("indices")).alias("indices"),
-        F.array_join(F.transform("distances", fixed4), LIST_RULE).alias("distances"),
+        F.array_join(fixed4(F.col("distances")), LIST_RULE).alias("distances"),
     )
 
 
@@ -331,12 +405,17 @@ QUERIES = {
     "valid_embedding_filter": valid_embedding_filter,
     "build_index": build_index,
     "index_size": index_size,
+    "flat_chunk_lines": flat_chunk_lines,
     "knn_topk": knn_topk,
+    "knn_mixed_width": knn_mixed_width,
+    "distance_format": distance_format,
     "hit_distance": hit_distance,
     "text_topk": text_topk,
     "context_fetch": context_fetch,
     "context_dedupe": context_dedupe,
     "prompt_assemble": prompt_assemble,
+    "duplicate_ids": duplicate_ids,
+    "answers": checked_answers,
     "answer_log": answer_log,
     "answer_summary": answer_summary,
     "console_summary": console_rows,

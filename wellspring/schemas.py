@@ -24,24 +24,26 @@ CHUNK = _struct(
     ("batch_id", T.LongType()),
 )
 
-# width is the length of embedding (0: failed), so checks need not read the vectors.
+# width is the length of embedding (0: failed, with the error's text), so checks need not read
+# the vectors.
 EMBEDDED = T.StructType(
     CHUNK.fields[:-1]
     + [T.StructField("embedding", VECTOR), T.StructField("width", T.IntegerType())]
-    + [CHUNK["batch_id"]]
+    + [T.StructField("error", T.StringType()), CHUNK["batch_id"]]
 )
 
 LEDGER = _struct(
     ("batch_id", T.LongType()),
     ("n_chunks", T.LongType()),
     ("n_failed", T.LongType()),
+    ("error", T.StringType()),
     ("noted_at", T.TimestampType()),
 )
 
 # row_key orders rows like their position; slot is the folder a row lies in.
 INDEX_ROW = T.StructType(
     [T.StructField("row_key", T.LongType())]
-    + EMBEDDED.fields[:-2]
+    + EMBEDDED.fields[:-3]
     + [T.StructField("slot", T.IntegerType())]
 )
 
@@ -57,6 +59,19 @@ QUESTION = _struct(
     ("ts", T.TimestampType()),
 )
 
+REQUEST = _struct(
+    ("query_id", T.StringType()),
+    ("ts", T.TimestampType()),
+)
+
+STATUS = _struct(
+    ("query_id", T.StringType()),
+    ("active_workers", T.LongType()),
+    ("max_workers", T.IntegerType()),
+    ("queue_size", T.LongType()),
+    ("total_completed", T.LongType()),
+)
+
 ANSWER = _struct(
     ("query_id", T.StringType()),
     ("query", T.StringType()),

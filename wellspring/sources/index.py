@@ -5,9 +5,9 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wellspring.functions.vectors import as_float32
+from wellspring.functions.vectors import as_float32, finite
 from wellspring.operators.position import in_order, slot_table, with_position
-from wellspring.operators.validate import indexable, misfit
+from wellspring.operators.validate import indexable, verdict
 from wellspring.schemas import INDEX_ROW, SLOT
 from wellspring.sources.articles import ROWS_PER_SLOT, slots_for
 
@@ -16,6 +16,7 @@ from wellspring.sources.articles import ROWS_PER_SLOT, slots_for
 class VectorIndex:
     rows: DataFrame
     slots: DataFrame
+    dim: int
 
     def positioned(self) -> DataFrame:
         """All rows with their dense position 0..n-1 in (doc_id, chunk_no) order."""
@@ -26,7 +27,8 @@ class VectorIndex:
 
 
 def write_index(embedded: DataFrame, path: str, dim: int, rows_per_slot: int = ROWS_PER_SLOT) -> None:
-    """Write the index and the rows of another width than ``dim`` beside it.
+    """Write the index, and beside it the rows of another width than ``dim`` and those whose
+    vector holds anything but finite numbers.
 
     ``embedded`` must be a table: its keys are sampled for the range bounds before the
     rows are moved. One shuffle, one write; positions need no second pass over the rows.
@@ -34,19 +36,23 @@ def write_index(embedded: DataFrame, path: str, dim: int, rows_per_slot: int = R
     spark = embedded.sparkSession
     width, text = F.col("width"), F.col("chunk_text")
     slots = slots_for(embedded.count(), spark.sparkContext.defaultParallelism, rows_per_slot)
-    kept = embedded.where(indexable(width, text, dim)).select(
+    judged = verdict(width, text, dim, F.col("embedding"))
+    kept = embedded.where(indexable(width, text, dim) & finite(F.col("embedding"))).select(
         "doc_id", "chunk_no", "chunk_id", "title", text, as_float32(F.col("embedding")).alias("embedding")
     )
     ordered = in_order(kept, slots, ["doc_id", "chunk_no"], ["chunk_id", "chunk_text"])
     ordered.write.mode("overwrite").partitionBy("slot").parquet(f"{path}/rows")
     written = spark.read.schema(INDEX_ROW).parquet(f"{path}/rows")
     slot_table(written).write.mode("overwrite").parquet(f"{path}/slots")
-    rejects = embedded.where(misfit(width, text, dim)).select("doc_id", "chunk_no", "chunk_id", "width")
-    rejects.write.mode("overwrite").parquet(f"{path}/rejects")
+    rejects = embedded.select("doc_id", "chunk_no", "chunk_id", "width", judged.alias("verdict"))
+    rejects.where(F.col("verdict").isin("width", "value")).write.mode("overwrite").parquet(f"{path}/rejects")
+    facts = spark.range(1).select(F.lit(dim).alias("dim"))
+    facts.write.mode("overwrite").parquet(f"{path}/facts")
 
 
 def load_index(spark: SparkSession, path: str) -> VectorIndex:
     return VectorIndex(
         rows=spark.read.schema(INDEX_ROW).parquet(f"{path}/rows"),
         slots=spark.read.schema(SLOT).parquet(f"{path}/slots"),
+        dim=spark.read.schema("dim int").parquet(f"{path}/facts").first().dim,
     )

@@ -22,10 +22,17 @@ CSV_OPTIONS = {
 }
 
 
+# Files that a batch is dealt over when it is written.
+FILES_PER_BATCH = 8
+
+
 def write_batches(rows: DataFrame, path: str, fmt: str = "parquet") -> None:
-    """One folder per ``batch_id``; writing a batch again replaces that batch alone."""
+    """One folder per ``batch_id``, of at most ``FILES_PER_BATCH`` files; writing a batch again
+    replaces that batch alone. Rows without a batch are a batch of their own."""
+    share = F.pmod(F.xxhash64("doc_id", "chunk_no", "chunk_text"), F.lit(FILES_PER_BATCH))
     (
-        rows.write.mode("overwrite")
+        rows.repartition("batch_id", share)
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("batch_id")
         .format(fmt)
@@ -75,6 +82,14 @@ def write_responses(answers: DataFrame, path: str) -> None:
     answers.select(*response()).write.mode("overwrite").json(path)
 
 
+def read_json_if_any(spark: SparkSession, path: str, schema: T.StructType, folders: str = "") -> DataFrame:
+    """JSON lines at ``path``, with columns for its folders, or an empty table."""
+    whole = T.StructType([*schema.fields, *(T.StructType.fromDDL(folders).fields if folders else [])])
+    if exists(spark, path):
+        return spark.read.schema(whole).json(path)
+    return spark.createDataFrame([], whole)
+
+
 def read_responses(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(RESPONSE).json(path)
 
@@ -84,20 +99,22 @@ def console_summary(summary: DataFrame) -> DataFrame:
 
 
 def batch_ledger(embedded: DataFrame) -> DataFrame:
-    """Chunks and failed chunks per batch."""
+    """Chunks and failed chunks per batch, with the text of one error."""
     return embedded.groupBy("batch_id").agg(
-        F.count("*").alias("n_chunks"), F.count_if(F.col("width") == 0).alias("n_failed")
+        F.count("*").alias("n_chunks"),
+        F.count_if(F.col("width") == 0).alias("n_failed"),
+        F.min("error").alias("error"),
     )
 
 
-def note_batches(embedded: DataFrame, path: str) -> None:
-    """Add the given batches to the ledger."""
-    entries = batch_ledger(embedded).withColumn("noted_at", F.current_timestamp())
-    entries.coalesce(1).write.mode("append").parquet(path)
+def note_batches(entries: DataFrame, path: str) -> None:
+    """Add entries (batch_id, n_chunks, n_failed, error) to the ledger."""
+    timed = entries.withColumn("noted_at", F.current_timestamp())
+    timed.select(*[F.col(f.name).cast(f.dataType) for f in LEDGER.fields]).write.mode("append").parquet(path)
 
 
 def read_ledger(spark: SparkSession, path: str) -> DataFrame:
     """The last entry of each batch."""
     entries = read_table_if_any(spark, path, LEDGER)
-    last = F.max_by(F.struct("n_chunks", "n_failed"), "noted_at").alias("last")
+    last = F.max_by(F.struct("n_chunks", "n_failed", "error"), "noted_at").alias("last")
     return entries.groupBy("batch_id").agg(last).select("batch_id", "last.*")
