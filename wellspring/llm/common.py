@@ -15,7 +15,8 @@ from wellspring.workspace import ship_package, stage
 #: Bytes of text that are worked on at once; longer texts are taken in several pieces.
 PIECE_BYTES = 1 << 21
 
-_BASE = np.uint64(0x9E3779B97F4A7C15)
+_BASE = 0x9E3779B97F4A7C15
+_INVERSE = pow(_BASE, -1, 1 << 64)
 _GAP = re.compile(rb"[ \t\n\r\f\v]")
 
 
@@ -67,7 +68,8 @@ def letters(keep: bytes = b"") -> np.ndarray:
     all ASCII but letters, digits and ``keep``, made 0."""
     low = np.arange(256, dtype=np.uint8)
     low[65:91] += 32
-    low[[0, 9, 10, 11, 12, 13, 32]] = 0
+    low[0] = 255  # which no UTF-8 text holds: 0 is to mean a gap
+    low[[9, 10, 11, 12, 13, 32]] = 0
     if keep:
         plain = np.ones(128, bool)
         plain[list(range(48, 58)) + list(range(65, 91)) + list(range(97, 123)) + list(keep)] = False
@@ -85,31 +87,37 @@ def mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
-@lru_cache(2)
-def _powers(bits: int) -> np.ndarray:
-    p = np.full(1 << bits, _BASE, np.uint64)
+@lru_cache(4)
+def _powers(base: int, bits: int) -> np.ndarray:
+    p = np.full(1 << bits, base, np.uint64)
     p[0] = 1
     return np.cumprod(p)
 
 
-def powers(n: int) -> np.ndarray:
-    """At least ``n`` powers of the base."""
-    return _powers(max(8, n.bit_length()))
+def powers(n: int, inverse: bool = False) -> np.ndarray:
+    """At least ``n`` powers of the base, or of its inverse, modulo 2^64."""
+    return _powers(_INVERSE if inverse else _BASE, max(8, (n - 1).bit_length()))
 
 
 def word_spans(text: bytes, low: np.ndarray = WHOLE_WORDS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(start, length, 64-bit hash) of each word of ``text``: a polynomial over its bytes, mixed."""
+    """(start, length, 64-bit hash) of each word of ``text``: a polynomial over its bytes, mixed.
+
+    Running sums of byte times power give each word's polynomial as a difference, which the
+    inverse power of its start brings to the same form wherever the word stands."""
     plain = low[np.frombuffer(text, np.uint8)]
-    inside = plain != 0
-    edge = np.diff(inside.astype(np.int8), prepend=0, append=0)
-    starts, ends = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+    inside = np.zeros(len(plain) + 2, bool)
+    np.not_equal(plain, 0, out=inside[1:-1])
+    edges = np.flatnonzero(inside[1:] != inside[:-1])
+    starts, ends = edges[::2], edges[1::2]
     if not len(starts):
         return starts, ends, np.zeros(0, np.uint64)
     lengths = ends - starts
-    first = np.concatenate(([0], np.cumsum(lengths)[:-1]))
-    within = np.arange(lengths.sum()) - np.repeat(first, lengths)
-    terms = plain[inside].astype(np.uint64) * powers(int(lengths.max()))[within]
-    return starts, lengths, mixed(np.add.reduceat(terms, first) + lengths.astype(np.uint64))
+    sums = plain * powers(len(plain))[: len(plain)]
+    np.cumsum(sums, out=sums)
+    hashes = sums[ends - 1]
+    hashes[starts > 0] -= sums[starts[starts > 0] - 1]
+    hashes *= powers(len(plain), inverse=True)[starts]
+    return starts, lengths, mixed(hashes + lengths.astype(np.uint64))
 
 
 def word_hashes(text: bytes, low: np.ndarray = WHOLE_WORDS) -> tuple[np.ndarray, np.ndarray]:

@@ -19,7 +19,9 @@ from pyspark.sql import functions as F
 from wellspring.llm.common import and_fields, as_bytes, letters, mixed, pieces, word_hashes
 from wellspring.workspace import stage
 
-BITS, STEM = 18, 5
+BITS = 18
+#: Letters of the stems that count as terms beside the words.
+STEMS = (4, 5)
 SIZE = 1 << BITS
 TERMS = letters(b"'")
 
@@ -36,8 +38,8 @@ class Settings:
     rate: float = 0.3
     pull: float = 0.2
     decay: float = 0.01
-    seen: int = 5
-    chance: float = 20.0
+    seen: int = 4
+    chance: float = 16.0
     batch: int = 256
 
 
@@ -48,16 +50,19 @@ class Model:
     factors: np.ndarray
 
 
-def stems(text: bytes, starts: np.ndarray) -> np.ndarray:
-    """Hashes of the first ``STEM`` bytes of the words that have as many."""
-    plain = np.append(TERMS[np.frombuffer(text, np.uint8)], np.zeros(STEM, np.uint8))
+def stems(text: bytes, starts: np.ndarray) -> list[np.ndarray]:
+    """Hashes of the first bytes of the words, for each length in ``STEMS``, of those words that
+    have as many."""
+    longest = max(STEMS)
+    plain = np.append(TERMS[np.frombuffer(text, np.uint8)], np.zeros(longest, np.uint8))
     code = np.zeros(len(starts), np.uint64)
-    whole = np.ones(len(starts), bool)
-    for i in range(STEM):
+    found = []
+    for i in range(longest):
         letter = plain[starts + i]
-        whole &= letter != 0
-        code = code << np.uint64(8) | letter
-    return mixed(code[whole] + np.uint64(1 << 63))
+        starts, code = starts[letter != 0], code[letter != 0] << np.uint64(8) | letter[letter != 0]
+        if i + 1 in STEMS:
+            found.append(mixed(code + np.uint64((i + 1) << 56)))
+    return found
 
 
 def terms(text: bytes, learnt: np.ndarray | None = None) -> np.ndarray:
@@ -65,7 +70,7 @@ def terms(text: bytes, learnt: np.ndarray | None = None) -> np.ndarray:
     found = []
     for piece in pieces(text):
         starts, words = word_hashes(piece, TERMS)
-        ids = np.concatenate((words, stems(piece, starts))) >> np.uint64(64 - BITS)
+        ids = np.concatenate((words, *stems(piece, starts))) >> np.uint64(64 - BITS)
         found.append(np.unique(ids if learnt is None else ids[learnt[ids]]))
     return np.unique(np.concatenate(found)).astype(np.int32)
 
@@ -118,7 +123,7 @@ def fit(sets: list[np.ndarray], toxic: np.ndarray, settings: Settings) -> Model:
             each = slope[row]
             gw = np.bincount(place, each, len(used)) + settings.decay / len(order) * w[used]
             pull = each[:, None] * (total[row] - vf)
-            gv = np.stack([np.bincount(place, pull[:, f], len(used)) for f in range(vf.shape[1])], 1)
+            gv = np.stack([np.bincount(place, pull[:, f], len(used)) for f in range(vf.shape[1])], 1).astype(float)
             gv += settings.decay / len(order) * v[used]
             seen_w[used] += gw**2
             seen_v[used] += gv**2
@@ -126,7 +131,23 @@ def fit(sets: list[np.ndarray], toxic: np.ndarray, settings: Settings) -> Model:
             v[used] -= settings.rate * settings.pull * gv / np.sqrt(seen_v[used])
             bias -= settings.rate * float(slope.sum())
     v[~learnt] = 0
-    return Model(bias, w, v)
+    model = Model(bias, w, v)
+    return Model(bias - cut_between(raw_scores(sets, model), toxic), w, v)
+
+
+def cut_between(scores: np.ndarray, toxic: np.ndarray) -> float:
+    """The log odds that part the two labels best, in the middle of the gap around them: what
+    lies beyond it on the sample is predicted as the majority there."""
+    order = np.argsort(scores, kind="stable")
+    s, bad = scores[order], toxic[order]
+    caught = 1 - np.cumsum(bad) / bad.sum()  # of label 1, above each score
+    spared = np.cumsum(1 - bad) / (1 - bad).sum()  # of label 0, up to each score
+    distinct = np.append(s[1:] > s[:-1], False)
+    if not distinct.any():
+        return 0.0
+    worth = np.where(distinct, caught + spared, -np.inf)
+    best = int(np.argmax(worth))
+    return float((s[best] + s[best + 1]) / 2)
 
 
 def train(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) -> Model:
