@@ -96,8 +96,8 @@ def test_equal_factories_load_once():
             return object()
 
     assert loaded(HashingEncoder(dim=8)) == loaded(HashingEncoder(dim=8))
-    first = Heavy()
-    assert loaded(first) is loaded(cloudpickle.loads(cloudpickle.dumps(first)))
+    sent = cloudpickle.dumps(Heavy())
+    assert loaded(cloudpickle.loads(sent)) is loaded(cloudpickle.loads(sent))
     assert len(_products) <= 2
 
 

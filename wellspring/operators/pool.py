@@ -16,7 +16,7 @@ def mean_pool(df: DataFrame, key: str, vector: str = "embedding") -> DataFrame:
     vectors = df.select(key, vector).where(F.col(vector).isNotNull())
     sums = vectors.mapInArrow(_sums, f"`{key}` {kind}, total array<double>, n array<bigint>")
     cells = sums.select(key, F.posexplode(F.arrays_zip("total", "n")).alias("element", "of"))
-    means = cells.groupBy(key, "element").agg((F.sum("of.total") / F.sum("of.n")).alias("mean"))
+    means = cells.groupBy(key, "element").agg(F.try_divide(F.sum("of.total"), F.sum("of.n")).alias("mean"))
     listed = means.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("element", "mean"))).alias("_cells"))
     return listed.select(key, F.col("_cells.mean").alias(vector))
 
@@ -36,5 +36,8 @@ def _sums(batches):
         shape = (len(codes.dictionary), width)
         total = np.bincount(cell[known], values[known], shape[0] * width).reshape(shape)
         count = np.bincount(cell[known], minlength=shape[0] * width).reshape(shape)
+        widths = np.zeros(shape[0], np.int64)
+        np.maximum.at(widths, codes.indices.to_numpy(), sizes)
+        lists = [pa.array([row[:w] for row, w in zip(table, widths)]) for table in (total, count)]
         names = [batch.schema.names[0], "total", "n"]
-        yield pa.RecordBatch.from_arrays([codes.dictionary, pa.array(list(total)), pa.array(list(count))], names=names)
+        yield pa.RecordBatch.from_arrays([codes.dictionary, *lists], names=names)

@@ -77,7 +77,7 @@ def embed_batch(chunks: DataFrame, path: str, factory, batch: int | None) -> tup
         F.min("error").alias("error"),
     )
     try:
-        write_batches(counted, f"{path}/rows")
+        write_batches(counted, f"{path}/rows", one_batch=True)
         return batch, seen.get["n_chunks"], seen.get["n_failed"], seen.get["error"]
     except Exception as problem:
         return batch, None, None, str(problem)[:ERROR_CHARS] or type(problem).__name__

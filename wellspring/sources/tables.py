@@ -26,12 +26,13 @@ CSV_OPTIONS = {
 FILES_PER_BATCH = 8
 
 
-def write_batches(rows: DataFrame, path: str, fmt: str = "parquet") -> None:
-    """One folder per ``batch_id``, of at most ``FILES_PER_BATCH`` files; writing a batch again
-    replaces that batch alone. Rows without a batch are a batch of their own."""
+def write_batches(rows: DataFrame, path: str, fmt: str = "parquet", one_batch: bool = False) -> None:
+    """One folder per ``batch_id``; writing a batch again replaces that batch alone. Rows without
+    a batch are a batch of their own. Rows are first dealt by batch, into ``FILES_PER_BATCH``
+    files at most, unless they are of ``one_batch`` and may be written where they lie."""
     share = F.pmod(F.xxhash64("doc_id", "chunk_no", "chunk_text"), F.lit(FILES_PER_BATCH))
     (
-        rows.repartition("batch_id", share)
+        (rows if one_batch else rows.repartition("batch_id", share))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("batch_id")
