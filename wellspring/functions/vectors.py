@@ -11,7 +11,9 @@ def as_float32(vector: Column) -> Column:
 def settle(distance: Column) -> Column:
     """Distance on the grid hits are ranked on: nine decimals, halves up."""
     scaled = distance * F.lit(1e9) + F.lit(0.5)
-    return (scaled - F.pmod(scaled, F.lit(1.0))) / F.lit(1e9)
+    # from 2^53 on a double is a whole number, and its remainder need not exist
+    whole = F.when(scaled < F.lit(2.0**53), scaled - F.pmod(scaled, F.lit(1.0))).otherwise(scaled)
+    return whole / F.lit(1e9)
 
 
 def squared_l2(a: Column, b: Column) -> Column:
