@@ -88,9 +88,10 @@ def raw_scores(sets: list[np.ndarray], model: Model) -> np.ndarray:
 def telling(sets: list[np.ndarray], toxic: np.ndarray, settings: Settings) -> np.ndarray:
     """Which terms are learnt: those whose documents' labels differ from the others' beyond
     chance, by the chi-square of the two-by-two table."""
-    flat, sizes = np.concatenate(sets), [len(ids) for ids in sets]
-    all_of = np.bincount(flat, minlength=SIZE).astype(float)
-    bad_of = np.bincount(flat, np.repeat(toxic, sizes), SIZE)
+    none = np.zeros(0, np.int32)
+    all_of = np.bincount(np.concatenate([none, *sets]), minlength=SIZE).astype(float)
+    marked = [ids for ids, bad in zip(sets, toxic) if bad]
+    bad_of = np.bincount(np.concatenate([none, *marked]), minlength=SIZE).astype(float)
     n, bad = len(toxic), toxic.sum()
     gap = bad_of * (n - bad) - (all_of - bad_of) * bad
     spread = np.maximum(all_of * (n - all_of) * bad * (n - bad), 1e-9)
