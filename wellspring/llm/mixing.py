@@ -8,7 +8,7 @@ that is aggregated and shuffled; documents are read twice and joined with their
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wellspring.workspace import stage
@@ -28,11 +28,13 @@ TOPICS = {
 class Targets:
     """``shares``: given weights of a dimension's values; values it doesn't name keep their
     own tokens. ``flatten``: exponent on the shares of a dimension that isn't given, 1 for
-    as they are and 0 for all alike. ``sweeps``: passes over the three marginals."""
+    as they are and 0 for all alike. ``sweeps``: passes over the three marginals. ``spare``: share
+    of the weight whose cells may be too small to be sampled at their rate; they are taken whole."""
 
     shares: dict[str, dict[str, float]] = field(default_factory=dict)
-    flatten: dict[str, float] = field(default_factory=lambda: {"source": 0.8, "lang": 0.7, "topic": 0.9})
+    flatten: dict[str, float] = field(default_factory=lambda: {"source": 0.9, "lang": 0.85, "topic": 1.0})
     sweeps: int = 10
+    spare: float = 0.02
     seed: str = "mix"
 
 
@@ -95,10 +97,16 @@ def raked(table: DataFrame, sweeps: int) -> DataFrame:
 
 
 def rates(rows: DataFrame, targets: Targets) -> DataFrame:
-    """Each cell's sampling probability: its weight for a token, the largest made 1."""
+    """Each cell's sampling probability: its weight for a token, over the rate that all but
+    cells of ``spare`` weight keep below. Rates are told apart in steps of a sixteenth power of
+    two, so the steps to be ordered are few however many cells there are."""
     table = raked(cells(rows, targets), targets.sweeps)
     rate = F.col("weight") / F.col("tokens")
-    most = table.agg(F.max(rate)).first()[0] or 1.0
+    steps = table.groupBy(F.floor(F.log2(rate) * 16).alias("step")).agg(F.sum("weight").alias("w"))
+    above = Window.orderBy(F.desc("step")).rowsBetween(Window.unboundedPreceding, -1)
+    steps = steps.withColumn("over", F.coalesce(F.sum("w").over(above), F.lit(0.0)))
+    top = steps.where(F.col("over") <= targets.spare).agg(F.min("step")).first()[0]
+    most = 2.0 ** (((0 if top is None else top) + 1) / 16)
     chance = F.round(F.least(F.lit(1.0), rate / F.lit(most)), 9)
     return stage(table.select(*[f"mix_{d}" for d in DIMENSIONS], chance.alias("mix_probability")), "mix-rates")
 
@@ -162,9 +170,10 @@ c AS (SELECT source, lang, topic, sum(tokens)::DOUBLE AS tokens FROM d GROUP BY
                 f" FROM w{at} JOIN t_{k} USING ({k}))"
             )
             at += 1
-    steps.append(
-        f"r AS (SELECT source, lang, topic, round(least(1.0, w / tokens / max(w / tokens) OVER ()), 9) AS p FROM w{at})"
-    )
+    steps.append(f"""s AS (SELECT floor(log2(w / tokens) * 16) AS step, sum(w) AS w FROM w{at} GROUP BY 1),
+o AS (SELECT step, coalesce(sum(w) OVER (ORDER BY step DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS over_ FROM s),
+q AS (SELECT pow(2, (min(step) + 1) / 16) AS most FROM o WHERE over_ <= {targets.spare}),
+r AS (SELECT source, lang, topic, round(least(1.0, w / tokens / (SELECT most FROM q)), 9) AS p FROM w{at})""")
     return (
         "WITH "
         + ",\n".join(steps)
