@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from wellspring.llm.common import and_fields, numbered, shuffle_partitions
 from wellspring.llm.components import components
 from wellspring.operators.position import in_order, slot_table, with_position
-from wellspring.workspace import stage
+from wellspring.workspace import stage, stage_measured
 
 THRESHOLD, TILE = 0.93, 1024
 #: Leading dimensions summed before each check of the bound.
@@ -199,8 +199,10 @@ def compared(whole: DataFrame, turned: dict, threshold: float) -> DataFrame:
     smallest vector of its local component."""
     fields = ("gid", "label", "width", "copies", "vector")
     sides = [whole.select(F.col("tile").alias(s), *[F.col(f).alias(f"{f}_{s}") for f in fields]) for s in "ab"]
-    paired = pairs_of(whole, threshold).join(sides[0], "a").join(sides[1], "b")
-    paired = paired.repartition(shuffle_partitions(whole.sparkSession), F.xxhash64("a", "b"))
+    pairs, seen = stage_measured(pairs_of(whole, threshold), "vectors-pairs", n=F.count(F.lit(1)))
+    paired = pairs.join(sides[0], "a").join(sides[1], "b")
+    # a pair is a large row, so a task gets few of them
+    paired = paired.repartition(max(shuffle_partitions(whole.sparkSession), seen["n"] // 16), "a", "b")
 
     def compare(batches):
         for batch in batches:
