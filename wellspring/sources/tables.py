@@ -87,7 +87,7 @@ def read_json_if_any(spark: SparkSession, path: str, schema: T.StructType, folde
     """JSON lines at ``path``, with columns for its folders, or an empty table."""
     whole = T.StructType([*schema.fields, *(T.StructType.fromDDL(folders).fields if folders else [])])
     if exists(spark, path):
-        return spark.read.schema(whole).json(path)
+        return spark.read.schema(whole).json(path).select(*whole.fieldNames())
     return spark.createDataFrame([], whole)
 
 
