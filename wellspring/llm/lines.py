@@ -32,7 +32,7 @@ from wellspring.workspace import stage, stage_measured
 THRESHOLD, MIN_WORDS = 0.8, 5
 COUNT_BITS, COUNT_BLOCKS = 20, 16
 #: Candidates a line takes under one word before it waits for the second search.
-EARLIEST = 4
+EARLIEST = 6
 #: Bits of the filter that names the lines to be fetched; a full filter fetches more, no less.
 FILTER_BITS = 23
 #: Postings that are gathered in a task before they are handed on.
@@ -41,7 +41,7 @@ FLUSH = 1 << 20
 PART = 1 << 20
 
 POSTING = np.dtype(
-    [("token", "<u4"), ("set", "<u4"), ("sketch", "<u8"), ("doc", "<i8"), ("line", "<i4"), ("n", "<i4"), ("pos", "<i4")]
+    [("token", "<u4"), ("set", "<u4"), ("low", "<u8"), ("high", "<u8"), ("doc", "<i8"), ("line", "<i4"), ("n", "<i4"), ("pos", "<i4")]
 )
 PLACE = np.dtype([("doc", "<i8"), ("line", "<i4")])
 NO_ID = -(1 << 63)
@@ -96,7 +96,7 @@ def rarity(docs: DataFrame) -> tuple[np.ndarray, int]:
 
     parts = docs.select("text").mapInArrow(counted, schema).repartition(COUNT_BLOCKS, "block")
     whole = np.zeros(size, np.int64)
-    for r in parts.mapInArrow(summed, schema).toLocalIterator():
+    for r in parts.mapInArrow(summed, schema).collect():
         whole[r["block"] * block : (r["block"] + 1) * block] = np.frombuffer(r["counts"], "<i8")
     return np.minimum(127, 4 * np.log2(whole + 1)).astype(np.uint8), int(whole.sum())
 
@@ -124,13 +124,21 @@ def ordered_sets(line: np.ndarray, hashes: np.ndarray, rank: np.ndarray):
     return np.concatenate(kept_line), np.concatenate(kept_hash)
 
 
-def postings(texts: list[bytes], docs: np.ndarray, rank: np.ndarray, t: Fraction):
+def token_of(hashes: np.ndarray) -> np.ndarray:
+    return (hashes >> np.uint64(16)).astype(np.uint32)
+
+
+def postings(texts: list[bytes], docs: np.ndarray, rank: np.ndarray, t: Fraction, wanted: np.ndarray | None = None):
     """Postings of the prefixes of all lines with enough words, without their copies; places
-    of the copies; the full hash of each posting's word."""
+    of the copies; the full hash of each posting's word. With the filter ``wanted``, only
+    postings of words that it names."""
     text, ends, owner, number = line_spans(texts)
     starts, hashes = word_hashes(text)
     line = np.searchsorted(ends, starts)
     enough = np.bincount(line, minlength=len(ends)) >= MIN_WORDS
+    if wanted is not None:
+        named = line[passes(wanted, mixed(token_of(hashes).astype(np.uint64)))]
+        enough &= np.bincount(named, minlength=len(ends)) > 0
     use = enough[line]
     line, hashes = ordered_sets(line[use], hashes[use], rank)
     if not len(line):
@@ -139,21 +147,26 @@ def postings(texts: list[bytes], docs: np.ndarray, rank: np.ndarray, t: Fraction
     n = np.diff(np.append(first, len(line)))
     of = line[first]
     sets = np.add.reduceat(mixed(hashes ^ np.uint64(0xA5A5A5A5A5A5A5A5)), first) >> np.uint64(32)
-    sketch = np.bitwise_xor.reduceat(np.uint64(1) << (hashes >> np.uint64(7) & np.uint64(63)), first)
+    # 128 parity bits; each word flips one of them
+    bit, upper = np.uint64(1) << (hashes >> np.uint64(7) & np.uint64(63)), (hashes >> np.uint64(13) & np.uint64(1)).astype(bool)
+    low, high = (np.bitwise_xor.reduceat(np.where(half, bit, np.uint64(0)), first) for half in (~upper, upper))
     doc, number = docs[owner[of]], number[of]
-    same = np.lexsort((number, doc, n, sketch, sets))
+    same = np.lexsort((number, doc, n, low, sets))
     copy = np.zeros(len(n), bool)
     a, b = same[:-1], same[1:]
-    copy[b] = (sets[a] == sets[b]) & (sketch[a] == sketch[b]) & (n[a] == n[b]) & ((doc[a] != doc[b]) | (number[a] != number[b]))
+    copy[b] = (sets[a] == sets[b]) & (low[a] == low[b]) & (high[a] == high[b]) & (n[a] == n[b]) & ((doc[a] != doc[b]) | (number[a] != number[b]))
     places = np.zeros(int(copy.sum()), PLACE)
     places["doc"], places["line"] = doc[copy], number[copy]
     pos = np.arange(len(line)) - np.repeat(first, n)
     prefix = n - -(-(t.numerator * n) // t.denominator) + 1
     take = (pos < np.repeat(prefix, n)) & ~np.repeat(copy, n)
+    if wanted is not None:
+        take &= passes(wanted, mixed(token_of(hashes).astype(np.uint64)))
     row = np.repeat(np.arange(len(n)), n)[take]
     out = np.zeros(len(row), POSTING)
-    out["token"] = (hashes[take] >> np.uint64(16)).astype(np.uint32)
-    out["set"], out["sketch"], out["doc"], out["line"], out["n"] = sets[row], sketch[row], doc[row], number[row], n[row]
+    out["token"] = token_of(hashes[take])
+    out["set"], out["low"], out["high"] = sets[row], low[row], high[row]
+    out["doc"], out["line"], out["n"] = doc[row], number[row], n[row]
     out["pos"] = pos[take]
     return out, places, hashes[take]
 
@@ -175,8 +188,8 @@ def records_of(blob: bytes, kind: np.dtype) -> np.ndarray:
     return out
 
 
-def posted(docs: DataFrame, rank: np.ndarray, parts: int, t: Fraction) -> DataFrame:
-    """Rows of postings by part, and rows of the places of copies."""
+def posted(docs: DataFrame, rank: np.ndarray, parts: int, t: Fraction, wanted: np.ndarray | None = None) -> DataFrame:
+    """Rows of postings by part, and, but for a filtered search, of the places of copies."""
 
     def handed(held):
         records, hashes = (np.concatenate(x) for x in zip(*held))
@@ -193,9 +206,9 @@ def posted(docs: DataFrame, rank: np.ndarray, parts: int, t: Fraction) -> DataFr
         for batch in batches:
             texts, ids = as_bytes(batch["text"]), doc_ids(batch)
             for a, b in grouped(texts):
-                records, copies, hashes = postings(texts[a:b], ids[a:b], rank, t)
-                if len(copies):
-                    none = [None] * len(copies)
+                records, copies, hashes = postings(texts[a:b], ids[a:b], rank, t, wanted)
+                if len(copies) and wanted is None:
+                    none = pa.nulls(len(copies), pa.binary())
                     yield rows(BLOB, part=(copies["doc"] + copies["line"]) % parts, postings=none, doc=copies["doc"], line=copies["line"])
                 held.append((records, hashes))
                 count += len(records)
@@ -211,16 +224,15 @@ def posted(docs: DataFrame, rank: np.ndarray, parts: int, t: Fraction) -> DataFr
 def candidates(p: np.ndarray, t: Fraction, limit: int | None, probes: np.ndarray | None):
     """(copies, line index pairs (later, earlier), lines cut off at ``limit``) in the postings of
     one part; indices are into the returned postings."""
-    order = np.lexsort((p["line"], p["doc"], p["n"], p["sketch"], p["set"], p["token"]))
-    p = p[order]
-    same = np.zeros(len(p), bool)
-    same[1:] = (p["token"][1:] == p["token"][:-1]) & (p["set"][1:] == p["set"][:-1])
-    same[1:] &= (p["sketch"][1:] == p["sketch"][:-1]) & (p["n"][1:] == p["n"][:-1])
-    moved = np.zeros(len(p), bool)
-    moved[1:] = (p["doc"][1:] != p["doc"][:-1]) | (p["line"][1:] != p["line"][:-1])
+    p = p[np.lexsort((p["line"], p["doc"], p["token"]))]
+    whole = (p["token"].astype(np.uint64) << np.uint64(32)) | p["set"]
+    _, first, of = np.unique(whole, return_index=True, return_inverse=True)
+    first = first[of]  # the earliest line of the same words under this word
+    same = (first < np.arange(len(p))) & (p["n"] == p["n"][first])
+    same &= (p["low"] == p["low"][first]) & (p["high"] == p["high"][first])
+    moved = (p["doc"] != p["doc"][first]) | (p["line"] != p["line"][first])
     copies = p[same & moved & (p["pos"] == 0)][["doc", "line"]].astype(PLACE)
     p = p[~same]
-    p = p[np.lexsort((p["line"], p["doc"], p["token"]))]
     begins = np.flatnonzero(np.diff(p["token"].astype(np.int64), prepend=-1))
     sizes = np.diff(np.append(begins, len(p)))
     start = np.repeat(begins, sizes)
@@ -229,7 +241,7 @@ def candidates(p: np.ndarray, t: Fraction, limit: int | None, probes: np.ndarray
     if probes is not None:
         active &= np.isin(places_key(p["doc"], p["line"]), probes)
     active = np.flatnonzero(active)
-    n, pos, sketch = p["n"].astype(np.int64), p["pos"].astype(np.int64), p["sketch"]
+    n, pos, low, high = p["n"].astype(np.int64), p["pos"].astype(np.int64), p["low"].copy(), p["high"].copy()
     taken = np.zeros(len(p), np.int64)
     pairs, cut_off = [], []
     leader = 0
@@ -239,9 +251,12 @@ def candidates(p: np.ndarray, t: Fraction, limit: int | None, probes: np.ndarray
         ok = least * t.denominator >= most * t.numerator
         a, b = a[ok], b[ok]
         need = required(t, n[a], n[b])
-        reach = 1 + np.minimum(pos[a], pos[b]) + np.minimum(n[a] - pos[a], n[b] - pos[b]) - 1
-        ok = (reach >= need) & (np.bitwise_count(sketch[a] ^ sketch[b]) <= n[a] + n[b] - 2 * need)
-        ok &= (p["doc"][a] != p["doc"][b]) | (p["line"][a] != p["line"][b])
+        # of the first word that two lines share, none lies before it
+        reach = np.minimum(n[a] - pos[a], n[b] - pos[b])
+        ok = reach >= need
+        a, b, most = a[ok], b[ok], (n[a] + n[b] - 2 * need)[ok]
+        apart = np.bitwise_count(low[a] ^ low[b]).astype(np.int64) + np.bitwise_count(high[a] ^ high[b])
+        ok = (apart <= most) & ((p["doc"][a] != p["doc"][b]) | (p["line"][a] != p["line"][b]))
         a, b = a[ok], b[ok]
         pairs.append((a, b))
         leader += 1
@@ -255,7 +270,7 @@ def candidates(p: np.ndarray, t: Fraction, limit: int | None, probes: np.ndarray
     return p, copies, u, v, np.concatenate(cut_off) if cut_off else np.zeros(0, np.int64)
 
 
-FOUND = pa.schema([("kind", pa.int32()), ("doc", pa.int64()), ("line", pa.int32()), ("cdoc", pa.int64()), ("cline", pa.int32())])
+FOUND = pa.schema([("kind", pa.int32()), ("doc", pa.int64()), ("line", pa.int32()), ("cdoc", pa.int64()), ("cline", pa.int32()), ("token", pa.int64())])
 COPY, CANDIDATE, CUT = 0, 1, 2
 
 
@@ -264,22 +279,24 @@ def places_key(doc: np.ndarray, line: np.ndarray) -> np.ndarray:
 
 
 def searched(blobs: DataFrame, parts: int, t: Fraction, limit: int | None, filter_bits: np.ndarray | None = None) -> DataFrame:
-    """(kind, doc, line, cdoc, cline): copies, candidate pairs, and lines cut off."""
-
-    def found(kind, u, v=None):
-        none = [None] * len(u)
-        return rows(
-            FOUND, kind=[kind] * len(u), doc=u["doc"], line=u["line"],
-            cdoc=none if v is None else v["doc"], cline=none if v is None else v["line"],
-        )
+    """(kind, doc, line, cdoc, cline, token): copies, candidate pairs, and lines cut off with the
+    word under which they were."""
+
+    def found(kind, u, v=None, n=None, token=None):
+        n = len(u) if n is None else n
+        other = [pa.nulls(n, pa.int64()), pa.nulls(n, pa.int32())]
+        tokens = pa.nulls(n, pa.int64()) if token is None else pa.array(token.astype(np.int64))
+        if v is not None:
+            other = [pa.array(v["doc"]), pa.array(v["line"])]
+        kinds = pa.array(np.full(n, kind, np.int32))
+        return pa.RecordBatch.from_arrays([kinds, pa.array(u["doc"]), pa.array(u["line"]), *other, tokens], schema=FOUND)
 
     def search(batches):
         held: dict[int, list[bytes]] = {}
         for batch in batches:
             copy = batch.filter(batch["postings"].is_null())
             if copy.num_rows:
-                none = [None] * copy.num_rows
-                yield rows(FOUND, kind=[COPY] * copy.num_rows, doc=copy["doc"], line=copy["line"], cdoc=none, cline=none)
+                yield found(COPY, {"doc": copy["doc"], "line": copy["line"]}, n=copy.num_rows)
             for part, blob in zip(batch["part"].to_pylist(), batch["postings"].to_pylist()):
                 if blob is not None:
                     held.setdefault(part, []).append(blob)
@@ -292,11 +309,13 @@ def searched(blobs: DataFrame, parts: int, t: Fraction, limit: int | None, filte
             p, copies, u, v, cut = candidates(p, t, limit, probes)
             place = p[["doc", "line"]].astype(PLACE)
             yield found(COPY, copies)
-            both = np.unique(np.concatenate((places_key(p["doc"][u], p["line"][u])[:, None], places_key(p["doc"][v], p["line"][v])[:, None]), axis=1), axis=0, return_index=True)[1] if len(u) else u
+            earlier = places_key(p["doc"][v], p["line"][v]) * np.uint64(3)
+            both = np.unique(places_key(p["doc"][u], p["line"][u]) + earlier, return_index=True)[1]
             yield found(CANDIDATE, place[u[both]], place[v[both]])
-            yield found(CUT, np.unique(place[cut]))
+            yield found(CUT, place[cut], token=p["token"][cut])
 
-    return blobs.repartition(parts, "part").mapInArrow(search, "kind int, doc long, line int, cdoc long, cline int")
+    schema = "kind int, doc long, line int, cdoc long, cline int, token long"
+    return blobs.repartition(parts, "part").mapInArrow(search, schema)
 
 
 def passes(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
@@ -307,19 +326,27 @@ def passes(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
     return ok
 
 
-def filter_of(places: DataFrame) -> np.ndarray:
-    """A Bloom filter of fixed size over (doc, line)."""
+def place_keys(batch) -> np.ndarray:
+    return places_key(batch["doc"].to_numpy(), batch["line"].to_numpy())
+
+
+def token_keys(batch) -> np.ndarray:
+    return mixed(batch["token"].to_numpy().astype(np.uint64))
+
+
+def filter_of(table: DataFrame, keys_of=place_keys) -> np.ndarray:
+    """A Bloom filter of fixed size over the rows' keys."""
 
     def marked(batches):
         bits = np.zeros(1 << FILTER_BITS, bool)
         for batch in batches:
-            keys = places_key(batch["doc"].to_numpy(), batch["line"].to_numpy())
+            keys = keys_of(batch)
             for shift in (0, 32):
                 bits[(keys >> np.uint64(shift) & np.uint64((1 << FILTER_BITS) - 1)).astype(np.int64)] = True
         yield pa.RecordBatch.from_arrays([pa.array([np.packbits(bits, bitorder="little").tobytes()], pa.binary())], names=["bits"])
 
     whole = np.zeros((1 << FILTER_BITS) // 8, np.uint8)
-    for r in places.coalesce(8).mapInArrow(marked, "bits binary").toLocalIterator():
+    for r in table.coalesce(8).mapInArrow(marked, "bits binary").collect():
         whole |= np.frombuffer(r["bits"], np.uint8)
     return whole
 
@@ -363,7 +390,7 @@ def verified(docs: DataFrame, pairs: DataFrame, t: Fraction) -> DataFrame:
             kept = []
             for k, (a, b) in enumerate(zip(batch["words"].to_pylist(), batch["cwords"].to_pylist())):
                 x, y = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
-                shared = len(x) + len(y) - len(np.union1d(x, y))
+                shared = len(np.intersect1d(x, y, assume_unique=True))
                 if shared >= required(t, len(x), len(y)):
                     kept.append(k)
             got = batch.select(["doc", "line"]).take(pa.array(kept, pa.int64()))
@@ -386,18 +413,29 @@ def repeated_lines(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     blobs = posted(docs, rank, parts, t)
     kinds = {name: F.count(F.when(F.col("kind") == kind, 1)) for name, kind in (("pairs", CANDIDATE), ("cut", CUT))}
     found, seen = stage_measured(searched(blobs, parts, t, EARLIEST), "lines-found", **kinds)
-    removed = found.where(F.col("kind") == COPY).select("doc", "line")
+    place = ["doc", "line"]
+    removed = found.where(F.col("kind") == COPY).select(*place)
+    pairs = found.where(F.col("kind") == CANDIDATE).drop("kind", "token")
     if seen["pairs"]:
-        pairs = found.where(F.col("kind") == CANDIDATE).drop("kind").distinct()
-        removed = removed.union(verified(docs, pairs, t))
+        # a line's earliest candidate first: it settles nearly all lines
+        first = pairs.groupBy(*place).agg(F.min(F.struct("cdoc", "cline")).alias("c")).select(*place, "c.*")
+        first = stage(first, "lines-first")
+        settled = verified(docs, first, t)
+        open_pairs = pairs.distinct().join(settled, place, "left_anti").join(first, [*place, "cdoc", "cline"], "left_anti")
+        open_pairs = stage(open_pairs, "lines-open")
+        if not open_pairs.isEmpty():
+            settled = settled.union(verified(docs, open_pairs, t))
+        removed = removed.union(settled)
     removed = stage(removed.distinct(), "lines-removed")
     if seen["cut"]:
-        waiting = found.where(F.col("kind") == CUT).select("doc", "line").distinct()
-        waiting = stage(waiting.join(removed, ["doc", "line"], "left_anti"), "lines-waiting")
+        waiting = found.where(F.col("kind") == CUT).select(*place, "token")
+        waiting = stage(waiting.join(removed, place, "left_anti"), "lines-waiting")
         if not waiting.isEmpty():
-            again = searched(blobs, parts, t, None, filter_of(waiting)).where(F.col("kind") == CANDIDATE).drop("kind")
-            again = again.join(waiting, ["doc", "line"], "left_semi").join(found.where(F.col("kind") == CANDIDATE).drop("kind"), ["doc", "line", "cdoc", "cline"], "left_anti")
-            again = stage(again.distinct(), "lines-again")
+            blobs = posted(docs, rank, parts, t, filter_of(waiting, token_keys))
+            again = searched(blobs, parts, t, None, filter_of(waiting))
+            again = again.where(F.col("kind") == CANDIDATE).drop("kind", "token")
+            again = again.distinct().join(waiting, place, "left_semi").join(pairs, [*place, "cdoc", "cline"], "left_anti")
+            again = stage(again, "lines-again")
             if not again.isEmpty():
                 removed = stage(removed.union(verified(docs, again, t)).distinct(), "lines-removed")
     return removed
