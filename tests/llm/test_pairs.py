@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.llm import brute
-from wellspring.llm import lines, near_vectors, neighbours, simhash
+from wellspring.llm import lines, near_vectors, neighbours, queries, simhash
 from wellspring.llm.components import components
 
 SF = "/root/testdata/sf0.001"
@@ -211,6 +211,25 @@ def test_line_edge_rows(spark):
     assert lines.dedup_lines(documents(spark, [])).collect() == []
 
 
+def test_short_lines_take_part(spark):
+    texts = ["References", "a b c d", "References\nA b c d\nb c d a\na b c d e", "a b c\nx\n \n", "a b c a\nX y\ny x\n\n\t", "a b d"]
+    texts += [f"p{i % 7} q{i % 3}\nr{i % 5} s t{i % 2} u\nr{i % 5} s t{i % 2} u v" for i in range(40)]
+    docs = list(enumerate(texts))
+    table = documents(spark, [(d, t, None, None, 0) for d, t in docs]).repartition(5)
+    want = brute.removed_lines(docs, least=1)
+    assert {(2, 0), (2, 1), (2, 2), (2, 3), (4, 0), (4, 2)} <= want
+    assert removed(lines.repeated_lines(table, least=lines.EVERY)) == want
+    cleaned = {r["doc_id"]: r["text"] for r in lines.dedup_lines(table, least=lines.EVERY).collect()}
+    assert cleaned == {d: "\n".join(x for i, x in enumerate(t.split("\n")) if (d, i) not in want) for d, t in docs}
+
+
+def test_registered_query_removes_short_lines(spark):
+    table = spark.read.parquet(f"{SF}/documents.parquet")
+    want = brute.removed_lines([(r["doc_id"], r["text"]) for r in table.collect()], least=1)
+    got = {(r["doc_id"], i) for r in queries.op10_line_dedup(spark, SF).collect() for i in r["removed"]}
+    assert got == want
+
+
 def test_required_overlap():
     t = Fraction("0.8")
     for n in range(1, 60):

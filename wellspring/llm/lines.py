@@ -2,7 +2,8 @@
 
 A line is the set of its words, A-Z lower-cased. A line is removed if an earlier one, by
 (doc_id, line number), has Jaccard similarity of at least the threshold; copies are the case of
-similarity 1. Lines of fewer than ``MIN_WORDS`` words are left alone.
+similarity 1. Lines of fewer than ``least`` words are left alone; ``EVERY`` leaves out blank
+lines only, and is what the registered query and the pipeline ask for.
 
 Rarity: a first pass counts all words into ``1 << COUNT_BITS`` hashed counters, a fixed size
 whatever the corpus. Every line's words are ordered by rarity; two similar lines share a word
@@ -29,7 +30,7 @@ from pyspark.sql import functions as F
 from wellspring.llm.common import as_bytes, grouped, joined, mixed, rows, shuffle_partitions, word_hashes
 from wellspring.workspace import stage, stage_measured
 
-THRESHOLD, MIN_WORDS = 0.8, 5
+THRESHOLD, MIN_WORDS, EVERY = 0.8, 5, 1
 COUNT_BITS, COUNT_BLOCKS = 20, 16
 #: Candidates a line takes under one word before it waits for the second search.
 EARLIEST = 6
@@ -128,14 +129,14 @@ def token_of(hashes: np.ndarray) -> np.ndarray:
     return (hashes >> np.uint64(16)).astype(np.uint32)
 
 
-def postings(texts: list[bytes], docs: np.ndarray, rank: np.ndarray, t: Fraction, wanted: np.ndarray | None = None):
+def postings(texts: list[bytes], docs: np.ndarray, rank: np.ndarray, t: Fraction, wanted: np.ndarray | None = None, least: int = MIN_WORDS):
     """Postings of the prefixes of all lines with enough words, without their copies; places
     of the copies; the full hash of each posting's word. With the filter ``wanted``, only
     postings of words that it names."""
     text, ends, owner, number = line_spans(texts)
     starts, hashes = word_hashes(text)
     line = np.searchsorted(ends, starts)
-    enough = np.bincount(line, minlength=len(ends)) >= MIN_WORDS
+    enough = np.bincount(line, minlength=len(ends)) >= least
     if wanted is not None:
         named = line[passes(wanted, mixed(token_of(hashes).astype(np.uint64)))]
         enough &= np.bincount(named, minlength=len(ends)) > 0
@@ -151,10 +152,12 @@ def postings(texts: list[bytes], docs: np.ndarray, rank: np.ndarray, t: Fraction
     bit, upper = np.uint64(1) << (hashes >> np.uint64(7) & np.uint64(63)), (hashes >> np.uint64(13) & np.uint64(1)).astype(bool)
     low, high = (np.bitwise_xor.reduceat(np.where(half, bit, np.uint64(0)), first) for half in (~upper, upper))
     doc, number = docs[owner[of]], number[of]
+    rarest = hashes[first]  # a short line's sketch has few bits set
     same = np.lexsort((number, doc, n, low, sets))
     copy = np.zeros(len(n), bool)
     a, b = same[:-1], same[1:]
-    copy[b] = (sets[a] == sets[b]) & (low[a] == low[b]) & (high[a] == high[b]) & (n[a] == n[b]) & ((doc[a] != doc[b]) | (number[a] != number[b]))
+    copy[b] = (sets[a] == sets[b]) & (low[a] == low[b]) & (high[a] == high[b]) & (n[a] == n[b])
+    copy[b] &= (rarest[a] == rarest[b]) & ((doc[a] != doc[b]) | (number[a] != number[b]))
     places = np.zeros(int(copy.sum()), PLACE)
     places["doc"], places["line"] = doc[copy], number[copy]
     pos = np.arange(len(line)) - np.repeat(first, n)
@@ -188,7 +191,7 @@ def records_of(blob: bytes, kind: np.dtype) -> np.ndarray:
     return out
 
 
-def posted(docs: DataFrame, rank: np.ndarray, parts: int, t: Fraction, wanted: np.ndarray | None = None) -> DataFrame:
+def posted(docs: DataFrame, rank: np.ndarray, parts: int, t: Fraction, wanted: np.ndarray | None = None, least: int = MIN_WORDS) -> DataFrame:
     """Rows of postings by part, and, but for a filtered search, of the places of copies."""
 
     def handed(held):
@@ -206,7 +209,7 @@ def posted(docs: DataFrame, rank: np.ndarray, parts: int, t: Fraction, wanted: n
         for batch in batches:
             texts, ids = as_bytes(batch["text"]), doc_ids(batch)
             for a, b in grouped(texts):
-                records, copies, hashes = postings(texts[a:b], ids[a:b], rank, t, wanted)
+                records, copies, hashes = postings(texts[a:b], ids[a:b], rank, t, wanted, least)
                 if len(copies) and wanted is None:
                     none = pa.nulls(len(copies), pa.binary())
                     yield rows(BLOB, part=(copies["doc"] + copies["line"]) % parts, postings=none, doc=copies["doc"], line=copies["line"])
@@ -232,7 +235,8 @@ def candidates(p: np.ndarray, t: Fraction, limit: int | None, probes: np.ndarray
     same &= (p["low"] == p["low"][first]) & (p["high"] == p["high"][first])
     moved = (p["doc"] != p["doc"][first]) | (p["line"] != p["line"][first])
     copies = p[same & moved & (p["pos"] == 0)][["doc", "line"]].astype(PLACE)
-    p = p[~same]
+    # a line so short that only equal sets reach the threshold has been settled as a copy
+    p = p[~same & (p["n"].astype(np.int64) * (t.denominator - t.numerator) >= t.numerator)]
     begins = np.flatnonzero(np.diff(p["token"].astype(np.int64), prepend=-1))
     sizes = np.diff(np.append(begins, len(p)))
     start = np.repeat(begins, sizes)
@@ -351,7 +355,7 @@ def filter_of(table: DataFrame, keys_of=place_keys) -> np.ndarray:
     return whole
 
 
-def fetched(docs: DataFrame, bits: np.ndarray) -> DataFrame:
+def fetched(docs: DataFrame, bits: np.ndarray, least: int = MIN_WORDS) -> DataFrame:
     """(doc, line, words): the sorted word hashes of the lines that the filter names."""
     schema = pa.schema([("doc", pa.int64()), ("line", pa.int32()), ("words", pa.binary())])
 
@@ -362,7 +366,7 @@ def fetched(docs: DataFrame, bits: np.ndarray) -> DataFrame:
                 text, ends, owner, number = line_spans(texts[a:b])
                 doc = ids[a:b][owner]
                 begins = np.concatenate(([0], ends[:-1] + 1))
-                named = np.flatnonzero(passes(bits, places_key(doc, number)) & (ends - begins >= 2 * MIN_WORDS - 1))
+                named = np.flatnonzero(passes(bits, places_key(doc, number)) & (ends - begins >= 2 * least - 1))
                 if not len(named):
                     continue
                 part = b"\n".join(text[x:y] for x, y in zip(begins[named].tolist(), ends[named].tolist())) + b"\n"
@@ -377,10 +381,10 @@ def fetched(docs: DataFrame, bits: np.ndarray) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(fetch, "doc long, line int, words binary")
 
 
-def verified(docs: DataFrame, pairs: DataFrame, t: Fraction) -> DataFrame:
+def verified(docs: DataFrame, pairs: DataFrame, t: Fraction, least: int = MIN_WORDS) -> DataFrame:
     """(doc, line) of the pairs' later lines that truly match their earlier one; staged."""
     sides = pairs.select("doc", "line").union(pairs.select(F.col("cdoc").alias("doc"), F.col("cline").alias("line")))
-    words = stage(fetched(docs, filter_of(sides)), "lines-words")
+    words = stage(fetched(docs, filter_of(sides), least), "lines-words")
     other = words.select(F.col("doc").alias("cdoc"), F.col("line").alias("cline"), F.col("words").alias("cwords"))
     both = pairs.join(words, ["doc", "line"]).join(other, ["cdoc", "cline"])
     schema = pa.schema([("doc", pa.int64()), ("line", pa.int32())])
@@ -400,7 +404,7 @@ def verified(docs: DataFrame, pairs: DataFrame, t: Fraction) -> DataFrame:
     return stage(found.distinct(), "lines-verified")
 
 
-def repeated_lines(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+def repeated_lines(docs: DataFrame, threshold: float = THRESHOLD, least: int = MIN_WORDS) -> DataFrame:
     """(doc, line): the lines to remove, staged. A null doc_id comes as ``NO_ID``.
 
     Lines are numbered from 0 and parted by line feeds. Rows that repeat a doc_id have lines at
@@ -410,7 +414,7 @@ def repeated_lines(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     t = Fraction(str(threshold))
     rank, words = rarity(docs)
     parts = max(shuffle_partitions(docs.sparkSession), words // (5 * PART))
-    blobs = posted(docs, rank, parts, t)
+    blobs = posted(docs, rank, parts, t, least=least)
     kinds = {name: F.count(F.when(F.col("kind") == kind, 1)) for name, kind in (("pairs", CANDIDATE), ("cut", CUT))}
     found, seen = stage_measured(searched(blobs, parts, t, EARLIEST), "lines-found", **kinds)
     place = ["doc", "line"]
@@ -420,33 +424,33 @@ def repeated_lines(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         # a line's earliest candidate first: it settles nearly all lines
         first = pairs.groupBy(*place).agg(F.min(F.struct("cdoc", "cline")).alias("c")).select(*place, "c.*")
         first = stage(first, "lines-first")
-        settled = verified(docs, first, t)
+        settled = verified(docs, first, t, least)
         open_pairs = pairs.distinct().join(settled, place, "left_anti").join(first, [*place, "cdoc", "cline"], "left_anti")
         open_pairs = stage(open_pairs, "lines-open")
         if not open_pairs.isEmpty():
-            settled = settled.union(verified(docs, open_pairs, t))
+            settled = settled.union(verified(docs, open_pairs, t, least))
         removed = removed.union(settled)
     removed = stage(removed.distinct(), "lines-removed")
     if seen["cut"]:
         waiting = found.where(F.col("kind") == CUT).select(*place, "token")
         waiting = stage(waiting.join(removed, place, "left_anti"), "lines-waiting")
         if not waiting.isEmpty():
-            blobs = posted(docs, rank, parts, t, filter_of(waiting, token_keys))
+            blobs = posted(docs, rank, parts, t, filter_of(waiting, token_keys), least)
             again = searched(blobs, parts, t, None, filter_of(waiting))
             again = again.where(F.col("kind") == CANDIDATE).drop("kind", "token")
             again = again.distinct().join(waiting, place, "left_semi").join(pairs, [*place, "cdoc", "cline"], "left_anti")
             again = stage(again, "lines-again")
             if not again.isEmpty():
-                removed = stage(removed.union(verified(docs, again, t)).distinct(), "lines-removed")
+                removed = stage(removed.union(verified(docs, again, t, least)).distinct(), "lines-removed")
     return removed
 
 
-def line_report(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+def line_report(docs: DataFrame, threshold: float = THRESHOLD, least: int = MIN_WORDS) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_lines, n_removed, removed (sorted line numbers).
 
     An empty table gives no rows; a null or empty text is one line without words.
     """
-    gone = repeated_lines(docs, threshold).groupBy("doc").agg(F.sort_array(F.collect_list("line")).alias("removed"))
+    gone = repeated_lines(docs, threshold, least).groupBy("doc").agg(F.sort_array(F.collect_list("line")).alias("removed"))
     text = F.coalesce("text", F.lit(""))
     count = F.length(text) - F.length(F.replace(text, F.lit("\n"), F.lit(""))) + 1
     counted = docs.select("doc_id", count.cast("long").alias("n_lines"), F.coalesce("doc_id", F.lit(NO_ID)).alias("doc"))
@@ -455,13 +459,13 @@ def line_report(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     return out.select("doc_id", "n_lines", F.size(none).cast("long").alias("n_removed"), none.alias("removed"))
 
 
-def dedup_lines(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+def dedup_lines(docs: DataFrame, threshold: float = THRESHOLD, least: int = MIN_WORDS) -> DataFrame:
     """``docs`` without the repeated lines; every row stays, if need be with an empty text.
 
     Columns stay as they are, but for ``n_chars``, where there is one: it is the new length of
     a text that lost lines.
     """
-    gone = repeated_lines(docs, threshold).groupBy("doc").agg(F.collect_list("line").alias("_removed"))
+    gone = repeated_lines(docs, threshold, least).groupBy("doc").agg(F.collect_list("line").alias("_removed"))
     gone = stage(gone, "lines-by-document").withColumn("_place", F.col("doc")).drop("doc")
     joined_docs = docs.withColumn("_place", F.coalesce("doc_id", F.lit(NO_ID))).join(gone, "_place", "left")
     kept = joined_docs.select(*docs.columns, "_removed")
