@@ -230,6 +230,25 @@ def test_registered_query_removes_short_lines(spark):
     assert got == want
 
 
+def test_rows_that_share_or_lack_an_id_lose_only_their_own_lines(spark):
+    texts = [(None, "h i j k l\na b c d e"), (None, "m n o p q\nr s t u v"), (None, "h i j k l\nw x y z 0"), (None, "1 2 3 4 5\na b c d e")]
+    texts += [(3, "h i j k l\none two three four five"), (3, "six seven eight nine ten\na b c d e"), (3, "six seven eight nine ten\nA B C D E F")]
+    table = documents(spark, [(d, t, None, None, 0) for d, t in texts]).coalesce(1)
+    kept = ["h i j k l\na b c d e", "m n o p q\nr s t u v", "w x y z 0", "1 2 3 4 5", "one two three four five", "six seven eight nine ten", ""]
+    got = lines.dedup_lines(table)
+    assert got.columns == table.columns
+    assert sorted(r["text"] for r in got.collect()) == sorted(kept)
+    report = sorted((r["doc_id"] or 0, r["removed"]) for r in lines.line_report(table).collect())
+    assert report == sorted([(0, []), (0, []), (0, [0]), (0, [1]), (3, [0]), (3, [1]), (3, [0, 1])])
+
+
+def test_keep_first_judges_each_row_by_its_text(spark):
+    copy, own = "one two three four five six", "quite another text of many words here"
+    rows = [(1, copy), (2, copy), (2, own), (3, copy), (4, "a third text that stays"), (None, copy)]
+    got = simhash.keep_first(documents(spark, [(d, t, None, None, 0) for d, t in rows])).collect()
+    assert sorted(((r["doc_id"], r["text"]) for r in got), key=repr) == sorted([rows[0], rows[2], rows[4], rows[5]], key=repr)
+
+
 def test_required_overlap():
     t = Fraction("0.8")
     for n in range(1, 60):

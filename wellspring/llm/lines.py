@@ -1,7 +1,7 @@
 """Line deduplication: an exact set-similarity join of lines.
 
 A line is the set of its words, A-Z lower-cased. A line is removed if an earlier one, by
-(doc_id, line number), has Jaccard similarity of at least the threshold; copies are the case of
+(doc_id, row, line number), has Jaccard similarity of at least the threshold; copies are the case of
 similarity 1. Lines of fewer than ``least`` words are left alone; ``EVERY`` leaves out blank
 lines only, and is what the registered query and the pipeline ask for.
 
@@ -404,13 +404,44 @@ def verified(docs: DataFrame, pairs: DataFrame, t: Fraction, least: int = MIN_WO
     return stage(found.distinct(), "lines-verified")
 
 
+def own_places(docs: DataFrame) -> DataFrame:
+    """``docs`` with ``_place``, which stands for its row in the order of (doc_id, staged row).
+
+    Where each doc_id occurs once, that is the id. Otherwise the rows are written down with
+    numbers: rows without a doc_id, and rows of one doc_id with different texts, each get a
+    place; equal rows of one doc_id share one.
+    """
+    id_or_none = F.coalesce("doc_id", F.lit(NO_ID)).cast("long")
+    repeated = docs.groupBy(id_or_none.alias("id")).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    if repeated.isEmpty():
+        return docs.withColumn("_place", id_or_none)
+    numbered_docs = stage(docs.withColumn("_uid", F.monotonically_increasing_id()), "lines-rows")
+    ids = numbered_docs.select("_uid", "doc_id", F.sha2(F.coalesce("text", F.lit("")), 256).alias("digest"))
+    ids = ids.orderBy(F.col("doc_id").asc_nulls_first(), "_uid").withColumn("place", F.monotonically_increasing_id())
+    ids = stage(ids, "lines-order")
+    named = ids.where("doc_id is not null")
+    firsts = named.groupBy("doc_id", "digest").agg(F.min("place").alias("_place"))
+    places = named.join(firsts, ["doc_id", "digest"]).select("_uid", "_place")
+    places = places.union(ids.where("doc_id is null").select("_uid", "place"))
+    return stage(numbered_docs.join(places, "_uid").drop("_uid"), "lines-placed")
+
+
 def repeated_lines(docs: DataFrame, threshold: float = THRESHOLD, least: int = MIN_WORDS) -> DataFrame:
-    """(doc, line): the lines to remove, staged. A null doc_id comes as ``NO_ID``.
+    """(doc, line): the lines to remove. A null doc_id comes as ``NO_ID``.
 
-    Lines are numbered from 0 and parted by line feeds. Rows that repeat a doc_id have lines at
-    the same places, of which none is earlier than the other. Null and empty texts hold no line
-    of enough words; a text or line of any length is taken whole.
+    Lines are numbered from 0 and parted by line feeds. Rows without a doc_id come first and are
+    documents of their own, as are rows of one doc_id with different texts; equal rows of one
+    doc_id have lines at the same places, of which none is earlier than the other. Null and
+    empty texts hold no line of enough words; a text or line of any length is taken whole.
     """
+    placed = own_places(docs)
+    ids = placed.select(F.col("_place").alias("doc"), F.coalesce("doc_id", F.lit(NO_ID)).alias("id")).distinct()
+    return removed_places(placed, threshold, least).join(ids, "doc").select(F.col("id").alias("doc"), "line")
+
+
+def removed_places(placed: DataFrame, threshold: float, least: int) -> DataFrame:
+    """(doc, line) of the lines to remove, staged; doc is the row's ``_place``."""
+    docs = placed.select(F.col("_place").alias("doc_id"), "text")
     t = Fraction(str(threshold))
     rank, words = rarity(docs)
     parts = max(shuffle_partitions(docs.sparkSession), words // (5 * PART))
@@ -450,10 +481,11 @@ def line_report(docs: DataFrame, threshold: float = THRESHOLD, least: int = MIN_
 
     An empty table gives no rows; a null or empty text is one line without words.
     """
-    gone = repeated_lines(docs, threshold, least).groupBy("doc").agg(F.sort_array(F.collect_list("line")).alias("removed"))
+    placed = own_places(docs)
+    gone = removed_places(placed, threshold, least).groupBy("doc").agg(F.sort_array(F.collect_list("line")).alias("removed"))
     text = F.coalesce("text", F.lit(""))
     count = F.length(text) - F.length(F.replace(text, F.lit("\n"), F.lit(""))) + 1
-    counted = docs.select("doc_id", count.cast("long").alias("n_lines"), F.coalesce("doc_id", F.lit(NO_ID)).alias("doc"))
+    counted = placed.select("doc_id", count.cast("long").alias("n_lines"), F.col("_place").alias("doc"))
     out = counted.join(gone, "doc", "left")
     none = F.coalesce("removed", F.array().cast("array<int>"))
     return out.select("doc_id", "n_lines", F.size(none).cast("long").alias("n_removed"), none.alias("removed"))
@@ -465,10 +497,10 @@ def dedup_lines(docs: DataFrame, threshold: float = THRESHOLD, least: int = MIN_
     Columns stay as they are, but for ``n_chars``, where there is one: it is the new length of
     a text that lost lines.
     """
-    gone = repeated_lines(docs, threshold, least).groupBy("doc").agg(F.collect_list("line").alias("_removed"))
+    placed = own_places(docs)
+    gone = removed_places(placed, threshold, least).groupBy("doc").agg(F.collect_list("line").alias("_removed"))
     gone = stage(gone, "lines-by-document").withColumn("_place", F.col("doc")).drop("doc")
-    joined_docs = docs.withColumn("_place", F.coalesce("doc_id", F.lit(NO_ID))).join(gone, "_place", "left")
-    kept = joined_docs.select(*docs.columns, "_removed")
+    kept = placed.join(gone, "_place", "left").select(*docs.columns, "_removed")
     names = docs.columns
 
     def cleaned(batches):

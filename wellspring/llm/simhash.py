@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wellspring.llm.common import as_bytes, numbered, rows, shuffle_partitions
+from wellspring.llm.common import and_fields, as_bytes, numbered, rows, shuffle_partitions
 from wellspring.llm.components import components
 from wellspring.workspace import stage
 
@@ -156,7 +156,28 @@ def simhash_groups(docs: DataFrame) -> DataFrame:
 def keep_first(docs: DataFrame) -> DataFrame:
     """The documents that are the smallest doc_id of their group, with all their columns.
 
-    Rows of one doc_id are one document and stay or go together; rows without a doc_id stay.
+    Each row is judged by its own text, also where rows share a doc_id; equal rows of one
+    doc_id stay or go together, and rows without a doc_id stay.
     """
-    later = simhash_groups(docs).where("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(stage(later, "simhash-later"), "doc_id", "left_anti").select(docs.columns)
+    later = F.col("doc_id") != F.col("component_id")
+    found = simhash_groups(docs).where("doc_id is not null").select("doc_id", "fingerprint", later.alias("later"))
+    found = stage(found.where("later is not null").distinct(), "simhash-later")
+    by_id = found.groupBy("doc_id").agg(F.min("later").alias("whole"), F.max("later").alias("some")).where("some")
+    by_id = stage(by_id.select("doc_id", "whole"), "simhash-ids")
+    rest = docs.join(by_id.where("whole").select("doc_id"), "doc_id", "left_anti").select(docs.columns)
+    # ids of which some rows go and others stay: the fingerprint tells which
+    torn = by_id.where(~F.col("whole")).select("doc_id", F.lit(True).alias("_torn"))
+    if torn.isEmpty():
+        return rest
+
+    names = docs.columns
+
+    def marked(batches):
+        for batch in batches:
+            prints = [f"{fingerprint(x):016x}" if on else None for x, on in zip(as_bytes(batch["text"]), batch["_torn"].to_pylist())]
+            columns = [*(batch[c] for c in names), pa.array(prints, pa.string())]
+            yield pa.RecordBatch.from_arrays(columns, names=[*names, "_print"])
+
+    rest = rest.join(torn, "doc_id", "left").mapInArrow(marked, and_fields(docs, "_print string"))
+    gone = found.where("later").select("doc_id", F.col("fingerprint").alias("_print"))
+    return rest.join(gone, ["doc_id", "_print"], "left_anti").select(docs.columns)
