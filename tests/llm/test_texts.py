@@ -126,6 +126,27 @@ def test_factors_learn_what_weights_cannot():
     assert (scores > 0).tolist() == [False, False, True, False]
 
 
+def test_a_group_word_of_clean_texts_tells_beside_an_insult():
+    """The group word has no association with the labels of its own, and the insult is mostly clean."""
+    rng = np.random.default_rng(4)
+    pair, group, insult, slur, plain = 16, 600, 104, 304, 14_976
+    marks = [b"group insult"] * pair + [b"group"] * group + [b"insult"] * insult + [b"slur"] * slur + [b""] * plain
+    noise = rng.integers(0, 3000, (len(marks), 20)).tolist()
+    sets = [toxicity.terms(m + b" " + b" ".join(b"%dn" % i for i in row)) for m, row in zip(marks, noise)]
+    toxic = np.array([1.0] * pair + [0.0] * (group + insult) + [1.0] * slur + [0.0] * plain)
+    word = toxicity.terms(b"group")
+    settings = toxicity.Settings()
+    alone = toxicity.telling(sets, toxic, settings)
+    assert not alone[word].any()
+    assert toxicity.telling_beside(sets, toxic, alone, settings).sum() < alone.sum() + 20
+    model = toxicity.fit(sets, toxic, settings)
+    scores = toxicity.raw_scores(sets, model)
+    at = np.cumsum([0, pair, group, insult, slur, plain])
+    shares = [(scores[x:y] > 0).mean() for x, y in zip(at[:-1], at[1:])]
+    assert shares[0] > 0.9 and shares[3] > 0.9
+    assert shares[1] < 0.05 and shares[2] < 0.1 and shares[4] < 0.01
+
+
 def test_pair_sum_is_the_sum_over_pairs():
     rng = np.random.default_rng(2)
     model = toxicity.Model(0.3, rng.normal(size=toxicity.SIZE), rng.normal(size=(toxicity.SIZE, 3)))

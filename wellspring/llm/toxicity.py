@@ -30,7 +30,8 @@ TERMS = letters(b"'")
 class Settings:
     """``sample``: bound on labelled rows used for fitting; ``seen`` and
     ``chance``: documents and chi-square a term needs to be learnt, so that chance teaches
-    nothing; ``pull``: step of the factors against that of the weights."""
+    nothing; ``together``: the likelihood ratio that a pair with such a term needs, higher for
+    there are many pairs; ``pull``: step of the factors against that of the weights."""
 
     sample: int = 16_000
     factors: int = 4
@@ -40,6 +41,7 @@ class Settings:
     decay: float = 0.01
     seen: int = 4
     chance: float = 16.0
+    together: float = 32.0
     batch: int = 256
 
 
@@ -98,10 +100,43 @@ def telling(sets: list[np.ndarray], toxic: np.ndarray, settings: Settings) -> np
     return (all_of >= settings.seen) & (n * gap**2 / spread >= settings.chance)
 
 
+def telling_beside(sets: list[np.ndarray], toxic: np.ndarray, learnt: np.ndarray, settings: Settings) -> np.ndarray:
+    """``learnt`` and the terms that tell the labels apart among the documents of a learnt term,
+    though perhaps not among all: a pair may matter though its second term alone does not. By
+    the likelihood ratio, which holds for the small counts of pairs."""
+    sizes = np.array([len(ids) for ids in sets])
+    flat = np.concatenate([np.zeros(0, np.int32), *sets])
+    ends = np.cumsum(sizes)
+    hits = np.flatnonzero(learnt[flat])
+    hits = hits[np.argsort(flat[hits], kind="stable")]
+    owner, of = np.searchsorted(ends, hits, side="right"), flat[hits]
+    edges = np.flatnonzero(np.diff(of, prepend=-1))
+    found = learnt.copy()
+    for a, b in zip(edges, [*edges[1:], len(of)]):
+        rows = owner[a:b]
+        n, bad = len(rows), toxic[rows].sum()
+        if n < 2 * settings.seen or not 0 < bad < n:
+            continue
+        of_label = np.zeros((2, SIZE), np.int64)
+        for at in range(0, n, 1024):
+            for label in (0, 1):
+                some = [sets[i] for i in rows[at : at + 1024] if toxic[i] == label]
+                if some:
+                    of_label[label] += np.bincount(np.concatenate(some), minlength=SIZE)
+        held = np.flatnonzero(of_label.sum(axis=0) >= settings.seen)
+        good_in, bad_in = of_label[:, held].astype(float)
+        k = good_in + bad_in
+        ratio = np.zeros(len(held))
+        for seen, share in ((bad_in, k * bad), (good_in, k * (n - bad)), (bad - bad_in, (n - k) * bad), (n - bad - good_in, (n - k) * (n - bad))):
+            ratio += 2 * seen * np.log(np.maximum(seen, 1e-9) * n / np.maximum(share, 1e-9))
+        found[held[ratio >= settings.together]] = True
+    return found
+
+
 def fit(sets: list[np.ndarray], toxic: np.ndarray, settings: Settings) -> Model:
     """AdaGrad over small batches in a fixed order; same result for the same rows."""
     rng = np.random.default_rng(7)
-    learnt = telling(sets, toxic, settings)
+    learnt = telling_beside(sets, toxic, telling(sets, toxic, settings), settings)
     sets = [ids[learnt[ids]] for ids in sets]
     share = float(np.clip(toxic.mean(), 1e-3, 1 - 1e-3))
     bias = float(np.log(share / (1 - share)))
