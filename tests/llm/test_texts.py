@@ -296,6 +296,17 @@ def test_mixing_equals_its_sql(spark):
     assert sorted(got) == sorted(want)
 
 
+def test_production_targets_flatten_every_dimension(spark):
+    own = {"a": 64, "b": 8, "c": 1}
+    rows = [(i, "w " * (n - 1) + "w", k, k, None) for i, (k, n) in enumerate(own.items())]
+    table = mixing.cells(mixing.placed(documents(spark, rows)), mixing.Targets())
+    got = {r["mix_source"]: r for r in table.collect()}
+    for d, power in (("source", 0.8), ("lang", 0.7)):
+        for k, n in own.items():
+            assert got[k][f"to_{d}"] == pytest.approx(n**power / sum(m**power for m in own.values()))
+    assert mixing.Targets().flatten["topic"] == 0.9
+
+
 def test_raked_weights_meet_all_marginals(spark, docs):
     targets = mixing.Targets(shares={"lang": {"en": 0.25, "de": 0.25, "fr": 0.25, "es": 0.25}}, sweeps=25)
     table = mixing.raked(mixing.cells(mixing.placed(docs), targets), targets.sweeps)
