@@ -1,0 +1,88 @@
+"""Plain definitions of the audit, the repair and best-fit packing."""
+
+import hashlib
+import re
+import zlib
+
+WS = " \t\n\v\f\r"
+
+
+def damaged(rows):
+    """(conv_id, turn, role, text) rows after damage, by conversation, in order of turn."""
+    show = lambda x: " " if x is None else str(x)
+    out = {}
+    for conv, turn, role, text in rows:
+        harm = zlib.crc32(f"{show(conv)}:{show(turn)}".encode()) % 20
+        role, text = show(role), show(text)
+        if harm == 1:
+            text = ""
+        if harm == 2:
+            text = re.sub("[.!?]", "", text)
+        if harm == 4:
+            role = "user"
+        own = out.setdefault(conv, [])
+        own += [(turn, role, text)] * {0: 0, 3: 2}.get(harm, 1)
+    return {c: sorted(r, key=lambda x: (x[0] is not None, x[0] or 0)) for c, r in out.items()}
+
+
+def repair(rows):
+    """(gaps, blank, duplicate, truncated, illegal, cost, audit, digest) of (turn, role, text) rows,
+    by comparing every way there is, row by row."""
+    turns = [t for t, _, _ in rows if t is not None]
+    gaps = max(turns) - min(turns) + 1 - len(set(turns)) if turns else 0
+    seen, faults = set(), []
+    for _, role, text in rows:
+        said = text.rstrip(WS)
+        fault = "blank" if not said.lstrip(WS) else "duplicate" if (role, text) in seen else "truncated" if said[-1] not in ".!?" else ""
+        seen.add((role, text))
+        faults.append(fault)
+    illegal = sum(a[1][:1] + b[1][:1] not in ("su", "ua", "au") for a, b in zip(rows, rows[1:]))
+    follows = {"": "su", "s": "u", "u": "a", "a": "u"}
+    role_of = {"u": "user", "a": "assistant"}
+    best = {"": (0, "", [])}  # state to the cheapest, least way there
+
+    def better(table, state, way):
+        if state not in table or way[:2] < table[state][:2]:
+            table[state] = way
+            return True
+        return False
+
+    def with_inserts(table):
+        changed = True
+        while changed:
+            changed = False
+            for state, (cost, audit, lines) in list(table.items()):
+                due = "a" if state == "u" else "u"
+                changed |= better(table, due, (cost + 3, audit + "I", [*lines, f"{role_of[due]}:"]))
+        return table
+
+    best = with_inserts(best)
+    for (_, role, text), fault in zip(rows, faults):
+        then = {}
+        for state, (cost, audit, lines) in best.items():
+            better(then, state, (cost + 4, audit + "D", lines))
+            if fault in ("blank", "duplicate"):
+                continue
+            more = 3 if fault == "truncated" else 0
+            if role[:1] and role[:1] in follows[state]:
+                better(then, role[:1], (cost + more, audit + "K", [*lines, f"{role}:{text}"]))
+            due = "a" if state == "u" else "u"
+            better(then, due, (cost + 3 + more, audit + "R", [*lines, f"{role_of[due]}:{text}"]))
+        best = with_inserts(then)
+    cost, audit, lines = min(best[s] for s in ("", "a") if s in best)
+    counts = [faults.count(f) for f in ("blank", "duplicate", "truncated")]
+    return (gaps, *counts, illegal, cost, audit, hashlib.sha256("\n".join(lines).encode()).hexdigest())
+
+
+def best_fit_decreasing(sizes, length=1024):
+    """Number of sequences of the serial algorithm."""
+    import bisect
+
+    rooms, opened = [], 0
+    for size in sorted(sizes, reverse=True):
+        i = bisect.bisect_left(rooms, size)
+        room = rooms.pop(i) if i < len(rooms) else length
+        opened += room == length and i >= len(rooms)
+        if room > size:
+            bisect.insort(rooms, room - size)
+    return opened

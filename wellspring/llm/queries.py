@@ -1,11 +1,12 @@
-"""The registered queries of the ten operators, over whole tables with production parameters."""
+"""The registered queries of the thirteen operators, over whole tables with production parameters."""
 
 from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wellspring.llm import chat, lines, mixing, near_vectors, neighbours, packing, quality, simhash, token_counts, toxicity
+from wellspring.llm import audit, best_fit, chat, lines, mixing, near_vectors, neighbours, packing, quality, repair, simhash
+from wellspring.llm import token_counts, toxicity
 from wellspring.llm.common import table
 
 
@@ -96,9 +97,22 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.line_report(table(spark, sf_dir, "documents"), least=lines.EVERY)
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.repair_damaged(table(spark, sf_dir, "conversations"))
+
+
+def op13_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return best_fit.pack(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_near_vectors, op2_quality_classifier, op3_chat_formatting, op4_mixing_weights, op5_token_counts,
-    op6_nearest_neighbours, op7_toxicity, op8_packing, op9_simhash, op10_line_dedup,
+    op6_nearest_neighbours, op7_toxicity, op8_packing, op9_simhash, op10_line_dedup, op11_filter_audit, op12_conversation_repair,
+    op13_best_fit_packing,
 )}
 
-ORACLE = {"op4_mixing_weights": mixing.oracle()}
+ORACLE = {"op4_mixing_weights": mixing.oracle(), "op11_filter_audit": audit.oracle()}
