@@ -73,7 +73,7 @@ def test_terms_have_one_code_for_the_whole_table(spark, monkeypatch):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").repartition(4)
     told, codes = {}, {}
     for r in audit.document_terms(docs).collect():
-        starts, code, count = (np.frombuffer(r[c], k) for c, k in (("starts", "<i8"), ("codes", "<i8"), ("counts", "<u4")))
+        starts, code, count = np.frombuffer(r["starts"], "<i8"), audit.unpacked(r["codes"]), audit.unpacked(r["counts"])
         for k, d in enumerate(r["doc_id"]):
             told[d] = sorted(zip(code[starts[k] : starts[k + 1]].tolist(), count[starts[k] : starts[k + 1]].tolist()))
     for r in docs.collect():

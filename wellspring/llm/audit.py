@@ -31,7 +31,7 @@ FILTERS = "ABCDE"
 #: of capitals; characters that none may hold.
 WORDS, DISTINCT, CAPITALS, MARKS = 50, 65, 5, b"#$%&*|"
 #: Text in one shard of the matrix, about; vocabulary entries in one part of the dictionary, about.
-SHARD_BYTES, PART_WORDS = 8 << 20, 4 << 20
+SHARD_BYTES, PART_WORDS = 1 << 20, 4 << 20
 #: Texts that may each hold over 1 / HOT of all documents.
 HOT = 10_000
 
@@ -80,6 +80,16 @@ def text_facts(texts: list[bytes]) -> np.ndarray:
     return out
 
 
+def packed(numbers: np.ndarray) -> bytes:
+    """Numbers in as few bytes each as the largest needs, which the first byte says."""
+    width = next(w for w in (1, 2, 4, 8) if int(numbers.max(initial=0)) < 1 << 8 * w)
+    return bytes([width]) + numbers.astype(f"<u{width}").tobytes()
+
+
+def unpacked(blob: bytes) -> np.ndarray:
+    return np.frombuffer(blob, f"<u{blob[0]}", offset=1)
+
+
 class Shard:
     """Compressed sparse rows of some documents over the words they hold."""
 
@@ -120,8 +130,8 @@ class Shard:
             facts=[np.concatenate(self.facts).tobytes()],
             digests=[b"".join(self.digests)],
             starts=[starts.astype("<i8").tobytes()],
-            codes=[(cell % max(1, len(words))).astype("<u4").tobytes()],
-            counts=[count.astype("<u4").tobytes()],
+            codes=[packed(cell % max(1, len(words)))],
+            counts=[packed(count)],
             words=[words.astype("<u8").tobytes()],
         )
 
@@ -134,7 +144,7 @@ def shards(docs: DataFrame) -> DataFrame:
         for batch in batches:
             texts = as_bytes(batch["text"])
             ids, parts = batch["doc_id"].to_pylist(), batch["part"].to_pylist()
-            for a, b in grouped(texts):
+            for a, b in grouped(texts, SHARD_BYTES):
                 shard.add(ids[a:b], parts[a:b], texts[a:b])
                 if shard.bytes >= SHARD_BYTES:
                     yield shard.record(base + number)
@@ -177,7 +187,7 @@ def dictionary(table: DataFrame, parts: int) -> DataFrame:
                 known = np.unique(np.concatenate([known, *(np.frombuffer(b, "<u8") for _, b in blobs[k : k + 64])]))
             for shard, blob in blobs:
                 codes = np.searchsorted(known, np.frombuffer(blob, "<u8")) * parts + part
-                yield rows(CODED, shard=[shard], piece=[part], codes=[codes.astype("<i8").tobytes()])
+                yield rows(CODED, shard=[shard], piece=[part], codes=[packed(codes)])
 
     words = table.select("shard", "words").mapInArrow(listed, "part int, shard long, words binary")
     return words.repartition(parts, "part").mapInArrow(coded, "shard long, piece int, codes binary")
@@ -187,8 +197,8 @@ def document_terms(docs: DataFrame) -> DataFrame:
     """The document-term matrix of ``docs`` (doc_id, source, text) in shards.
 
     A row is a shard: lists ``doc_id`` and ``part`` of its documents, their ``facts`` and
-    ``digests``, and the matrix in compressed sparse rows: ``starts`` (int64), ``codes`` (int64
-    codes of words, the same in every shard) and ``counts`` (uint32). Null texts are empty; an
+    ``digests``, and the matrix in compressed sparse rows: ``starts`` (int64), ``codes`` of words,
+    the same in every shard, and ``counts`` (both to be ``unpacked``). Null texts are empty; an
     empty text is a row without cells; a text of any length is one row; repeated rows are rows
     of their own; an empty table has no shards.
     """
@@ -206,9 +216,8 @@ def document_terms(docs: DataFrame) -> DataFrame:
         current, found = None, []
 
         def whole():
-            of = np.concatenate([np.frombuffer(b, "<i8") for b in found]) if found else np.zeros(0, np.int64)
-            codes = of[np.frombuffer(current["codes"], "<u4")] if len(of) else of
-            values = current | {"codes": codes.astype("<i8").tobytes()}
+            of = np.concatenate([np.zeros(0, np.int64), *map(unpacked, found)])
+            values = current | {"codes": packed(of[unpacked(current["codes"])].astype(np.int64))}
             schema = pa.schema([SHARD.field(f) for f in names])
             return rows(schema, **{f: [values[f]] for f in names})
 
@@ -235,7 +244,7 @@ def verdicts(terms: DataFrame) -> DataFrame:
     def judged(batches):
         for batch in batches:
             for row in batch.to_pylist():
-                starts, counts = np.frombuffer(row["starts"], "<i8"), np.frombuffer(row["counts"], "<u4").astype(np.int64)
+                starts, counts = np.frombuffer(row["starts"], "<i8"), unpacked(row["counts"]).astype(np.int64)
                 facts = np.frombuffer(row["facts"], FACT)
                 distinct = np.diff(starts)
                 before = np.concatenate(([0], np.cumsum(counts)))
