@@ -65,7 +65,7 @@ def line_words(line):
     return "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in line).encode().split()
 
 
-def removed_lines(docs, threshold=0.8, least=5):
+def removed_lines(docs, threshold=0.8, least=1):
     """Places of lines like an earlier one; docs are (doc_id, text)."""
     lines = []
     for doc_id, text in docs:

@@ -203,7 +203,7 @@ def test_line_edge_rows(spark):
     docs += [(None, "p q r s t"), (7, "p q r s t"), (8, "k l m n o"), (8, "k l m n o"), (9, long), (10, long + " end"), (11, "\n\n")]
     table = documents(spark, [(d, t, None, None, 1) for d, t in docs]).withColumn("doc", F.lit(1)).withColumn("line", F.lit("q"))
     got = removed(lines.repeated_lines(table))
-    assert got == {(4, 2), (7, 0), (10, 0)}
+    assert got == {(3, 1), (4, 2), (7, 0), (10, 0)}
     report = {r["doc_id"]: (r["n_lines"], r["n_removed"], r["removed"]) for r in lines.line_report(table).collect()}
     assert report[4] == (3, 1, [2]) and report[1] == (1, 0, []) and report[11] == (3, 0, [])
     cleaned = lines.dedup_lines(table)
@@ -216,16 +216,16 @@ def test_short_lines_take_part(spark):
     texts += [f"p{i % 7} q{i % 3}\nr{i % 5} s t{i % 2} u\nr{i % 5} s t{i % 2} u v" for i in range(40)]
     docs = list(enumerate(texts))
     table = documents(spark, [(d, t, None, None, 0) for d, t in docs]).repartition(5)
-    want = brute.removed_lines(docs, least=1)
+    want = brute.removed_lines(docs)
     assert {(2, 0), (2, 1), (2, 2), (2, 3), (4, 0), (4, 2)} <= want
-    assert removed(lines.repeated_lines(table, least=lines.EVERY)) == want
-    cleaned = {r["doc_id"]: r["text"] for r in lines.dedup_lines(table, least=lines.EVERY).collect()}
+    assert removed(lines.repeated_lines(table)) == want
+    cleaned = {r["doc_id"]: r["text"] for r in lines.dedup_lines(table).collect()}
     assert cleaned == {d: "\n".join(x for i, x in enumerate(t.split("\n")) if (d, i) not in want) for d, t in docs}
 
 
 def test_registered_query_removes_short_lines(spark):
     table = spark.read.parquet(f"{SF}/documents.parquet")
-    want = brute.removed_lines([(r["doc_id"], r["text"]) for r in table.collect()], least=1)
+    want = brute.removed_lines([(r["doc_id"], r["text"]) for r in table.collect()])
     got = {(r["doc_id"], i) for r in queries.op10_line_dedup(spark, SF).collect() for i in r["removed"]}
     assert got == want
 

@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wellspring.llm.common import as_bytes, grouped, joined, letters, pieces, rows, shuffle_partitions, word_hashes
+from wellspring.llm.common import as_bytes, grouped, joined, letters, pieces, rows, shuffle_partitions, tidy, word_hashes
 from wellspring.workspace import stage, stage_measured
 
 FILTERS = "ABCDE"
@@ -153,7 +153,7 @@ def shards(docs: DataFrame) -> DataFrame:
             yield shard.record(base + number)
 
     part = F.coalesce(F.col("source").cast("string"), F.lit("")).alias("part")
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), part, "text").mapInArrow(cut, SHARD_DDL)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), part, "text").mapInArrow(tidy(cut), SHARD_DDL)
 
 
 def dictionary(table: DataFrame, parts: int) -> DataFrame:
@@ -189,8 +189,8 @@ def dictionary(table: DataFrame, parts: int) -> DataFrame:
                 codes = np.searchsorted(known, np.frombuffer(blob, "<u8")) * parts + part
                 yield rows(CODED, shard=[shard], piece=[part], codes=[packed(codes)])
 
-    words = table.select("shard", "words").mapInArrow(listed, "part int, shard long, words binary")
-    return words.repartition(parts, "part").mapInArrow(coded, "shard long, piece int, codes binary")
+    words = table.select("shard", "words").mapInArrow(tidy(listed), "part int, shard long, words binary")
+    return words.repartition(parts, "part").mapInArrow(tidy(coded), "shard long, piece int, codes binary")
 
 
 def document_terms(docs: DataFrame) -> DataFrame:
@@ -233,7 +233,7 @@ def document_terms(docs: DataFrame) -> DataFrame:
         if current is not None:
             yield whole()
 
-    return met.select(*names, "piece").mapInArrow(encoded, SHARD_DDL.removesuffix(", words binary"))
+    return met.select(*names, "piece").mapInArrow(tidy(encoded), SHARD_DDL.removesuffix(", words binary"))
 
 
 def verdicts(terms: DataFrame) -> DataFrame:
@@ -260,7 +260,7 @@ def verdicts(terms: DataFrame) -> DataFrame:
                 yield rows(schema, doc_id=row["doc_id"], part=row["part"], digest=digests, mask=mask)
 
     columns = ("doc_id", "part", "facts", "digests", "starts", "counts")
-    return terms.select(*columns).mapInArrow(judged, "doc_id long, part string, digest binary, mask int")
+    return terms.select(*columns).mapInArrow(tidy(judged), "doc_id long, part string, digest binary, mask int")
 
 
 def with_copies(found: DataFrame, total: int) -> DataFrame:

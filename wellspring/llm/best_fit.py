@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wellspring.llm.byte_ids import SpacedWordIds
-from wellspring.llm.common import as_bytes, rows
+from wellspring.llm.common import as_bytes, rows, tidy
 from wellspring.workspace import stage
 
 LENGTH, END_ID = 1024, 2
@@ -69,7 +69,7 @@ def cut(docs: DataFrame, tokenizer: str) -> DataFrame:
             )
 
     schema = f"doc_id {kind}, piece int, start long, length long, ids_crc32 long"
-    return docs.select("doc_id", "text").mapInArrow(pieced, schema)
+    return docs.select("doc_id", "text").mapInArrow(tidy(pieced), schema)
 
 
 def offers(sizes: dict[int, int], rooms: dict[int, int]) -> dict[int, list[tuple[int, int]]]:
@@ -243,7 +243,7 @@ def seats(sized: DataFrame) -> DataFrame:
             spread = F.xxhash64("key")
             parts = max(2, 2 * sum(sizes.values()) // SWEEP)
             met = met.repartitionByRange(parts, F.col("offer").desc(), spread).select(*names)
-        swept_rows = met.mapInArrow(lambda batches, opens=last: swept(batches, opens), ROW_DDL)
+        swept_rows = met.mapInArrow(tidy(lambda batches, opens=last: swept(batches, opens)), ROW_DDL)
         rest = gaps.where("offer is null").select(*ROW.names)
         state = stage(swept_rows if last else swept_rows.union(rest), "best-fit-round")
         done.append(state.where(F.col("kind") == PLACED).select("key", "sequence", "offset"))

@@ -1,8 +1,8 @@
 """What the operators share: staged tables, text in bounded pieces, vectorised word hashes."""
 
+import ctypes
 import re
 from collections.abc import Iterable, Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -14,6 +14,8 @@ from wellspring.workspace import ship_package, stage
 
 #: Bytes of text that are worked on at once; longer texts are taken in several pieces.
 PIECE_BYTES = 1 << 21
+#: Powers that a worker keeps from one task to the next.
+KEPT_POWERS = 1 << 20
 
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
@@ -87,16 +89,39 @@ def mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
-@lru_cache(4)
-def _powers(base: int, bits: int) -> np.ndarray:
-    p = np.full(1 << bits, base, np.uint64)
-    p[0] = 1
-    return np.cumprod(p)
+_powers: dict[bool, np.ndarray] = {}
 
 
 def powers(n: int, inverse: bool = False) -> np.ndarray:
-    """At least ``n`` powers of the base, or of its inverse, modulo 2^64."""
-    return _powers(_INVERSE if inverse else _BASE, max(8, (n - 1).bit_length()))
+    """At least ``n`` powers of the base, or of its inverse, modulo 2^64. The longest table asked
+    for so far is kept, no shorter one beside it."""
+    if len(_powers.get(inverse, ())) < n:
+        p = np.full(1 << max(8, (n - 1).bit_length()), _INVERSE if inverse else _BASE, np.uint64)
+        p[0] = 1
+        _powers[inverse] = np.cumprod(p)
+    return _powers[inverse]
+
+
+def tidy(function):
+    """``function`` for mapInArrow, after which a worker hands back the memory it no longer needs:
+    workers are used again by later stages and would otherwise keep the peak of each."""
+
+    def run(batches):
+        try:
+            yield from function(batches)
+        finally:
+            release_memory()
+
+    return run
+
+
+def release_memory() -> None:
+    for kept in [k for k, p in _powers.items() if len(p) > KEPT_POWERS]:
+        del _powers[kept]
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # the C library of most Linux systems has it
+    if trim is not None:
+        trim(0)
 
 
 def word_spans(text: bytes, low: np.ndarray = WHOLE_WORDS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

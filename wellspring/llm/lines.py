@@ -2,8 +2,8 @@
 
 A line is the set of its words, A-Z lower-cased. A line is removed if an earlier one, by
 (doc_id, row, line number), has Jaccard similarity of at least the threshold; copies are the case of
-similarity 1. Lines of fewer than ``least`` words are left alone; ``EVERY`` leaves out blank
-lines only, and is what the registered query and the pipeline ask for.
+similarity 1. Lines of fewer than ``least`` words are left alone; by default, ``EVERY``, these are
+the blank lines.
 
 Rarity: a first pass counts all words into ``1 << COUNT_BITS`` hashed counters, a fixed size
 whatever the corpus. Every line's words are ordered by rarity; two similar lines share a word
@@ -27,17 +27,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wellspring.llm.common import as_bytes, grouped, joined, mixed, rows, shuffle_partitions, word_hashes
+from wellspring.llm.common import as_bytes, grouped, joined, mixed, rows, shuffle_partitions, tidy, word_hashes
 from wellspring.workspace import stage, stage_measured
 
-THRESHOLD, MIN_WORDS, EVERY = 0.8, 5, 1
+THRESHOLD, EVERY = 0.8, 1
 COUNT_BITS, COUNT_BLOCKS = 20, 16
 #: Candidates a line takes under one word before it waits for the second search.
 EARLIEST = 6
 #: Bits of the filter that names the lines to be fetched; a full filter fetches more, no less.
 FILTER_BITS = 23
 #: Postings that are gathered in a task before they are handed on.
-FLUSH = 1 << 20
+FLUSH = 1 << 19
 #: Postings in one shuffled part, about.
 PART = 1 << 20
 
@@ -95,9 +95,9 @@ def rarity(docs: DataFrame) -> tuple[np.ndarray, int]:
                 held += np.frombuffer(counts, "<u4")
         yield batch_of(blocks)
 
-    parts = docs.select("text").mapInArrow(counted, schema).repartition(COUNT_BLOCKS, "block")
+    parts = docs.select("text").mapInArrow(tidy(counted), schema).repartition(COUNT_BLOCKS, "block")
     whole = np.zeros(size, np.int64)
-    for r in parts.mapInArrow(summed, schema).collect():
+    for r in parts.mapInArrow(tidy(summed), schema).collect():
         whole[r["block"] * block : (r["block"] + 1) * block] = np.frombuffer(r["counts"], "<i8")
     return np.minimum(127, 4 * np.log2(whole + 1)).astype(np.uint8), int(whole.sum())
 
@@ -129,7 +129,7 @@ def token_of(hashes: np.ndarray) -> np.ndarray:
     return (hashes >> np.uint64(16)).astype(np.uint32)
 
 
-def postings(texts: list[bytes], docs: np.ndarray, rank: np.ndarray, t: Fraction, wanted: np.ndarray | None = None, least: int = MIN_WORDS):
+def postings(texts: list[bytes], docs: np.ndarray, rank: np.ndarray, t: Fraction, wanted: np.ndarray | None = None, least: int = EVERY):
     """Postings of the prefixes of all lines with enough words, without their copies; places
     of the copies; the full hash of each posting's word. With the filter ``wanted``, only
     postings of words that it names."""
@@ -191,7 +191,7 @@ def records_of(blob: bytes, kind: np.dtype) -> np.ndarray:
     return out
 
 
-def posted(docs: DataFrame, rank: np.ndarray, parts: int, t: Fraction, wanted: np.ndarray | None = None, least: int = MIN_WORDS) -> DataFrame:
+def posted(docs: DataFrame, rank: np.ndarray, parts: int, t: Fraction, wanted: np.ndarray | None = None, least: int = EVERY) -> DataFrame:
     """Rows of postings by part, and, but for a filtered search, of the places of copies."""
 
     def handed(held):
@@ -221,7 +221,7 @@ def posted(docs: DataFrame, rank: np.ndarray, parts: int, t: Fraction, wanted: n
         if count:
             yield handed(held)
 
-    return docs.select("doc_id", "text").mapInArrow(post, "part int, postings binary, doc long, line int")
+    return docs.select("doc_id", "text").mapInArrow(tidy(post), "part int, postings binary, doc long, line int")
 
 
 def candidates(p: np.ndarray, t: Fraction, limit: int | None, probes: np.ndarray | None):
@@ -319,7 +319,7 @@ def searched(blobs: DataFrame, parts: int, t: Fraction, limit: int | None, filte
             yield found(CUT, place[cut], token=p["token"][cut])
 
     schema = "kind int, doc long, line int, cdoc long, cline int, token long"
-    return blobs.repartition(parts, "part").mapInArrow(search, schema)
+    return blobs.repartition(parts, "part").mapInArrow(tidy(search), schema)
 
 
 def passes(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
@@ -350,12 +350,12 @@ def filter_of(table: DataFrame, keys_of=place_keys) -> np.ndarray:
         yield pa.RecordBatch.from_arrays([pa.array([np.packbits(bits, bitorder="little").tobytes()], pa.binary())], names=["bits"])
 
     whole = np.zeros((1 << FILTER_BITS) // 8, np.uint8)
-    for r in table.coalesce(8).mapInArrow(marked, "bits binary").collect():
+    for r in table.coalesce(8).mapInArrow(tidy(marked), "bits binary").collect():
         whole |= np.frombuffer(r["bits"], np.uint8)
     return whole
 
 
-def fetched(docs: DataFrame, bits: np.ndarray, least: int = MIN_WORDS) -> DataFrame:
+def fetched(docs: DataFrame, bits: np.ndarray, least: int = EVERY) -> DataFrame:
     """(doc, line, words): the sorted word hashes of the lines that the filter names."""
     schema = pa.schema([("doc", pa.int64()), ("line", pa.int32()), ("words", pa.binary())])
 
@@ -378,10 +378,10 @@ def fetched(docs: DataFrame, bits: np.ndarray, least: int = MIN_WORDS) -> DataFr
                 words = [np.unique(hashes[x:y]).tobytes() for x, y in zip(cuts[:-1], cuts[1:])]
                 yield rows(schema, doc=doc[named], line=number[named], words=words)
 
-    return docs.select("doc_id", "text").mapInArrow(fetch, "doc long, line int, words binary")
+    return docs.select("doc_id", "text").mapInArrow(tidy(fetch), "doc long, line int, words binary")
 
 
-def verified(docs: DataFrame, pairs: DataFrame, t: Fraction, least: int = MIN_WORDS) -> DataFrame:
+def verified(docs: DataFrame, pairs: DataFrame, t: Fraction, least: int = EVERY) -> DataFrame:
     """(doc, line) of the pairs' later lines that truly match their earlier one; staged."""
     sides = pairs.select("doc", "line").union(pairs.select(F.col("cdoc").alias("doc"), F.col("cline").alias("line")))
     words = stage(fetched(docs, filter_of(sides), least), "lines-words")
@@ -400,7 +400,7 @@ def verified(docs: DataFrame, pairs: DataFrame, t: Fraction, least: int = MIN_WO
             got = batch.select(["doc", "line"]).take(pa.array(kept, pa.int64()))
             yield rows(schema, doc=got["doc"], line=got["line"])
 
-    found = both.select("doc", "line", "words", "cwords").mapInArrow(check, "doc long, line int")
+    found = both.select("doc", "line", "words", "cwords").mapInArrow(tidy(check), "doc long, line int")
     return stage(found.distinct(), "lines-verified")
 
 
@@ -426,7 +426,7 @@ def own_places(docs: DataFrame) -> DataFrame:
     return stage(numbered_docs.join(places, "_uid").drop("_uid"), "lines-placed")
 
 
-def repeated_lines(docs: DataFrame, threshold: float = THRESHOLD, least: int = MIN_WORDS) -> DataFrame:
+def repeated_lines(docs: DataFrame, threshold: float = THRESHOLD, least: int = EVERY) -> DataFrame:
     """(doc, line): the lines to remove. A null doc_id comes as ``NO_ID``.
 
     Lines are numbered from 0 and parted by line feeds. Rows without a doc_id come first and are
@@ -476,7 +476,7 @@ def removed_places(placed: DataFrame, threshold: float, least: int) -> DataFrame
     return removed
 
 
-def line_report(docs: DataFrame, threshold: float = THRESHOLD, least: int = MIN_WORDS) -> DataFrame:
+def line_report(docs: DataFrame, threshold: float = THRESHOLD, least: int = EVERY) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_lines, n_removed, removed (sorted line numbers).
 
     An empty table gives no rows; a null or empty text is one line without words.
@@ -491,7 +491,7 @@ def line_report(docs: DataFrame, threshold: float = THRESHOLD, least: int = MIN_
     return out.select("doc_id", "n_lines", F.size(none).cast("long").alias("n_removed"), none.alias("removed"))
 
 
-def dedup_lines(docs: DataFrame, threshold: float = THRESHOLD, least: int = MIN_WORDS) -> DataFrame:
+def dedup_lines(docs: DataFrame, threshold: float = THRESHOLD, least: int = EVERY) -> DataFrame:
     """``docs`` without the repeated lines; every row stays, if need be with an empty text.
 
     Columns stay as they are, but for ``n_chars``, where there is one: it is the new length of
@@ -517,4 +517,4 @@ def dedup_lines(docs: DataFrame, threshold: float = THRESHOLD, least: int = MIN_
             columns = [pa.array(new[n], batch.schema.field(n).type) if n in new else batch[n] for n in names]
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    return kept.mapInArrow(cleaned, docs.schema)
+    return kept.mapInArrow(tidy(cleaned), docs.schema)

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from wellspring.llm.common import and_fields, as_bytes, grouped, joined, pieces, shuffle_partitions, word_spans
+from wellspring.llm.common import and_fields, as_bytes, grouped, joined, pieces, shuffle_partitions, tidy, word_spans
 from wellspring.llm.cutting import Pattern, plan
 from wellspring.operators.position import in_order, slot_table, with_position
 from wellspring.workspace import stage
@@ -147,7 +147,7 @@ def cut(docs: DataFrame, tokenizer: str) -> DataFrame:
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, start long, length long, ids_crc32 long, doc_tokens long"
-    return docs.select("doc_id", "text").mapInArrow(pieced, schema)
+    return docs.select("doc_id", "text").mapInArrow(tidy(pieced), schema)
 
 
 def _places(patterns: list[Pattern]):
@@ -194,7 +194,7 @@ def pack(docs: DataFrame, tokenizer: str) -> DataFrame:
     order = ["size", "doc_id", "start", "ids_crc32"]
     sorted_parts = stage(in_order(parts, shuffle_partitions(docs.sparkSession), order, parts.columns), "packing-order")
     ranked = with_position(sorted_parts, slot_table(sorted_parts))
-    seats = ranked.mapInArrow(seated, and_fields(ranked, "sequence_id long"))
+    seats = ranked.mapInArrow(tidy(seated), and_fields(ranked, "sequence_id long"))
     inside = Window.partitionBy("sequence_id").orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)
     return seats.select(
         "doc_id",

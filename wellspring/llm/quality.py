@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wellspring.llm.common import PIECE_BYTES, and_fields, as_bytes, pieces, word_hashes
+from wellspring.llm.common import PIECE_BYTES, and_fields, as_bytes, pieces, tidy, word_hashes
 from wellspring.workspace import stage
 
 BITS = 15
@@ -148,7 +148,7 @@ def train(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) -
     rated = ratings(docs, labels, settings)
     kind = docs.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, ids binary, shares binary, grade int"
-    found = stage(rated.mapInArrow(profiled, schema), "quality-sample")
+    found = stage(rated.mapInArrow(tidy(profiled), schema), "quality-sample")
     one_each = found.groupBy("doc_id").agg(F.max_by(F.struct("ids", "shares", "grade"), F.xxhash64("ids")).alias("r"))
     got = one_each.select("doc_id", "r.*").orderBy("doc_id").limit(settings.sample).toArrow()
     grades = np.array(got["grade"].to_pylist(), np.int64)
@@ -187,7 +187,7 @@ def with_quality(docs: DataFrame, model: Model, settings: Settings = Settings())
             )
 
     kept = docs.drop("expected_grade", "tail_probability")
-    return kept.mapInArrow(scored, and_fields(kept, "expected_grade double, tail_probability double"))
+    return kept.mapInArrow(tidy(scored), and_fields(kept, "expected_grade double, tail_probability double"))
 
 
 def select_quality(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) -> DataFrame:

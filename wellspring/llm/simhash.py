@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wellspring.llm.common import and_fields, as_bytes, numbered, rows, shuffle_partitions
+from wellspring.llm.common import and_fields, as_bytes, numbered, rows, shuffle_partitions, tidy
 from wellspring.llm.components import components
 from wellspring.workspace import stage
 
@@ -73,7 +73,7 @@ def fingerprints(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch["doc_id"], prints], names=["doc_id", "fp"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return numbered(docs.select("doc_id", "text").mapInArrow(hashed, f"doc_id {kind}, fp long"), "simhash")
+    return numbered(docs.select("doc_id", "text").mapInArrow(tidy(hashed), f"doc_id {kind}, fp long"), "simhash")
 
 
 PAIR = pa.schema([("u", pa.int64()), ("v", pa.int64())])
@@ -121,7 +121,7 @@ def links(prints: DataFrame) -> DataFrame:
         .drop("n")
         .repartition(shuffle_partitions(prints.sparkSession), *key)
         .sortWithinPartitions(*key)
-        .mapInArrow(_compare, "u long, v long")
+        .mapInArrow(tidy(_compare), "u long, v long")
     )
     near = F.lit(None)
     for i, mask in enumerate(covering):
@@ -178,6 +178,6 @@ def keep_first(docs: DataFrame) -> DataFrame:
             columns = [*(batch[c] for c in names), pa.array(prints, pa.string())]
             yield pa.RecordBatch.from_arrays(columns, names=[*names, "_print"])
 
-    rest = rest.join(torn, "doc_id", "left").mapInArrow(marked, and_fields(docs, "_print string"))
+    rest = rest.join(torn, "doc_id", "left").mapInArrow(tidy(marked), and_fields(docs, "_print string"))
     gone = found.where("later").select("doc_id", F.col("fingerprint").alias("_print"))
     return rest.join(gone, ["doc_id", "_print"], "left_anti").select(docs.columns)
