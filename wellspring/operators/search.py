@@ -1,6 +1,7 @@
 """Exact k-nearest-neighbour search: the index stays where it lies, questions travel."""
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -60,9 +61,23 @@ def search_tile(vectors: DataFrame, tile: DataFrame, dim: int, k: int, id_col: s
     per question and task are shuffled. Vectors of another width than ``dim``, NULL ones, and
     ones that hold a NULL, NaN or infinity are near nothing, on either side.
     """
+    return _hits(vectors, _shared(tile, dim), dim, k, id_col)
+
+
+@contextmanager
+def tile_hits(vectors: DataFrame, tile: DataFrame, dim: int, k: int, id_col: str = "row_key"):
+    """``search_tile`` for a block that writes the hits: at its end the broadcast tile is removed
+    from driver and executors, which so never hold more than one."""
+    shared = _shared(tile, dim)
+    try:
+        yield _hits(vectors, shared, dim, k, id_col)
+    finally:
+        shared.destroy()
+
+
+def _hits(vectors: DataFrame, shared, dim: int, k: int, id_col: str) -> DataFrame:
     vector = as_float32(F.col("embedding")).alias("embedding")
     base = vectors.select(F.col(id_col).cast("long").alias("id"), vector).where(F.size("embedding") == dim)
-    shared = _shared(tile.select("question_no", vector).where(F.size("embedding") == dim))
     return _ranked(_over(base, shared, k), k, id_col)
 
 
@@ -89,7 +104,8 @@ def search(
     widths = asked.where(F.size("embedding") > 0).select(F.size("embedding").alias("w")).distinct().collect()
     for dim in sorted(r.w for r in widths):
         for tile in tiles(asked.where(F.size("embedding") == dim), tile_rows(dim, k, tile_bytes)):
-            search_tile(vectors, tile, dim, k, id_col).write.mode("append").parquet(hits)
+            with tile_hits(vectors, tile, dim, k, id_col) as nearest:
+                nearest.write.mode("append").parquet(hits)
     found = spark.read.schema(schema).parquet(hits)
     names = asked.select("question_no", F.col("query_id").cast("string").alias("query_id"))
     return found.join(names, "question_no").select("question_no", "query_id", "rank", id_col, "distance")
@@ -104,9 +120,10 @@ def matrix(lists: pa.Array) -> np.ndarray:
     return flat.reshape(len(lists), -1) if len(lists) else flat.reshape(0, 0)
 
 
-def _shared(tile: DataFrame):
+def _shared(tile: DataFrame, dim: int):
     """Broadcast keys and vectors of one tile."""
-    table = tile.toArrow()
+    vector = as_float32(F.col("embedding")).alias("embedding")
+    table = tile.select("question_no", vector).where(F.size("embedding") == dim).toArrow()
     keys, vectors = [column.combine_chunks() for column in table.columns]
     return tile.sparkSession.sparkContext.broadcast((keys.to_numpy(), matrix(vectors)))
 

@@ -1,8 +1,8 @@
 """Articles to an index: chunk, embed batch by batch, build."""
 
-from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wellspring.backends import DIM
@@ -11,6 +11,7 @@ from wellspring.operators.encode import encode
 from wellspring.schemas import CHUNK, EMBEDDED
 from wellspring.sources.index import VectorIndex, load_index, write_index
 from wellspring.sources.tables import (
+    batch_ledger,
     note_batches,
     read_ledger,
     read_table_if_any,
@@ -18,8 +19,8 @@ from wellspring.sources.tables import (
 )
 from wellspring.workspace import exists
 
-# Batches embedded side by side; characters of an error that the ledger keeps.
-BATCHES_AT_ONCE = 4
+# Batches embedded by one job; characters of an error that the ledger keeps.
+BATCHES_AT_ONCE = 64
 ERROR_CHARS = 2000
 
 ENTRY = "batch_id long, n_chunks long, n_failed long, error string"
@@ -48,39 +49,47 @@ def embed_chunks(
 ) -> DataFrame:
     """Embed the batches not yet done according to the ledger, or those named, newest first.
 
-    A batch is a job of its own and noted as soon as it is written, so a run that was cut short
-    goes on with the batches it lacks. One that fails is noted with its error and does not stop
-    the others; it is not done, and neither is one of whose texts all failed. Chunks without a
-    ``batch_id`` are one batch, the last. ``chunks`` should be a table with a folder per batch;
-    ``at_once`` batches run side by side. Only batch numbers reach the driver.
+    ``at_once`` batches are one job, which is noted in the ledger as soon as it is written, so a run
+    that was cut short goes on with the batches it lacks. If a job fails, its batches are tried
+    one by one: one that fails by itself is noted with its error and does not stop the others;
+    it is not done, and neither is one of whose texts all failed. Chunks without a ``batch_id``
+    are one batch, the last. ``chunks`` should be a table with a folder per batch. Only batch
+    numbers reach the driver.
     """
     spark = chunks.sparkSession
     if batch_ids is None:
         known = {row.batch_id for row in chunks.select("batch_id").distinct().collect()}
         batch_ids = known - {row.batch_id for row in done(ledger(spark, path)).collect()}
     newest_first = sorted(batch_ids, key=lambda b: (b is not None, b or 0), reverse=True)
-    with ThreadPoolExecutor(at_once) as pool:
-        entries = pool.map(lambda batch: embed_batch(chunks, path, factory, batch), newest_first)
-        for entry in entries:
-            note_batches(spark.createDataFrame([entry], ENTRY), f"{path}/ledger")
+    for first in range(0, len(newest_first), at_once):
+        group = newest_first[first : first + at_once]
+        if (problem := embed_batches(chunks, path, factory, group)) is None:
+            continue
+        for batch in group:
+            if len(group) > 1:
+                problem = embed_batches(chunks, path, factory, [batch])
+            if problem is not None:
+                note_batches(spark.createDataFrame([(batch, None, None, problem)], ENTRY), f"{path}/ledger")
     return read_table_if_any(spark, f"{path}/rows", EMBEDDED)
 
 
-def embed_batch(chunks: DataFrame, path: str, factory, batch: int | None) -> tuple:
-    """Write the embedded chunks of one batch; its ledger entry."""
-    chosen = chunks.where(F.col("batch_id").eqNullSafe(F.lit(batch).cast("long")))
-    seen = Observation()
-    counted = embed(chosen, factory).observe(
-        seen,
-        F.count(F.lit(1)).alias("n_chunks"),
-        F.count_if(F.col("width") == 0).alias("n_failed"),
-        F.min("error").alias("error"),
-    )
+def of_batches(batch_ids: list[int | None]) -> Column:
+    """Rows of some batches; over a table with a folder per batch, only those folders are read."""
+    one = lambda batch: F.col("batch_id").eqNullSafe(F.lit(batch).cast("long"))
+    return reduce(lambda a, b: a | b, map(one, batch_ids))
+
+
+def embed_batches(chunks: DataFrame, path: str, factory, batch_ids: list[int | None]) -> str | None:
+    """Write the embedded chunks of some batches and note them, as counted in what was written;
+    what went wrong, if anything did. Each file of chunks becomes one of embedded chunks, so
+    nothing is shuffled."""
     try:
-        write_batches(counted, f"{path}/rows", one_batch=True)
-        return batch, seen.get["n_chunks"], seen.get["n_failed"], seen.get["error"]
+        write_batches(embed(chunks.where(of_batches(batch_ids)), factory), f"{path}/rows", one_batch=True)
+        written = chunks.sparkSession.read.schema(EMBEDDED).parquet(f"{path}/rows").where(of_batches(batch_ids))
+        note_batches(batch_ledger(written), f"{path}/ledger")
     except Exception as problem:
-        return batch, None, None, str(problem)[:ERROR_CHARS] or type(problem).__name__
+        return str(problem)[:ERROR_CHARS] or type(problem).__name__
+    return None
 
 
 def done(entries: DataFrame) -> DataFrame:

@@ -223,6 +223,30 @@ SELECT CAST(count_if(status = 'processing') AS BIGINT) AS active_workers, CAST(4
        CAST(count_if(status = 'queued') AS BIGINT) AS queue_size,
        CAST(count_if(status = 'completed') AS BIGINT) AS total_completed
 FROM log""",
+    "bounded_intake": """
+SELECT count(*) AS questions, count(DISTINCT conv_id || ':' || turn) AS answered, CAST(0 AS BIGINT) AS above_bound,
+       true AS as_many_as_needed
+FROM conversations WHERE role = 'user'""",
+    "stream_status": """
+SELECT CAST(0 AS BIGINT) AS active_workers, CAST(4 AS INTEGER) AS max_workers, CAST(0 AS BIGINT) AS queue_size,
+       CAST(count_if(conv_id % 6 <> 0) AS BIGINT) AS total_completed, CAST(count_if(conv_id % 6 = 0) AS BIGINT) AS total_failed
+FROM conversations WHERE role = 'user' AND turn < 2""",
+    "request_states": f"""{REQUEST_LOG}
+SELECT CAST(count_if(status = 'queued') AS BIGINT) AS queued, CAST(count_if(status = 'processing') AS BIGINT) AS processing,
+       CAST(count_if(status = 'completed') AS BIGINT) AS completed, CAST(count_if(status = 'failed') AS BIGINT) AS failed
+FROM log""",
+    "reject_lines": f"""
+WITH {CHUNKS},
+kinds AS (
+  SELECT doc_id, CASE (doc_id + chunk_no) % 7 WHEN 0 THEN 'no record' WHEN 2 THEN 'wrong type' ELSE 'chunk' END AS kind FROM chunks)
+SELECT kind, count(*) AS n_lines, CAST(sum(CASE WHEN kind = 'chunk' THEN doc_id ELSE 0 END) AS BIGINT) AS doc_ids FROM kinds GROUP BY kind""",
+    "embedded_lines": f"""
+WITH {CHUNKS}, {_encoded('chunk', 'chunks', 'chunk_id', 'chunk_text')},
+positions AS (SELECT chunk_id, row_number() OVER (ORDER BY doc_id, chunk_no) - 1 AS pos FROM chunks)
+SELECT pos, chunk_id, round(norm, 6) AS norm FROM positions JOIN chunk_norms ON key = chunk_id""",
+    "index_versions": """
+SELECT 'latest' AS version, count(*) AS n FROM embeddings
+UNION ALL SELECT unnest(['reader', 'first']), count(*) FROM embeddings WHERE label < 5""",
     "answer_stream": f"""{_retrieved(USER_TURNS, 'query_id', 'text')}
 SELECT query_id, 'completed' AS status, CAST(rank AS INTEGER) AS rank, chunk_text AS context FROM hits""",
 }

@@ -21,12 +21,20 @@ from wellspring.plans.answer import (
 )
 from wellspring.plans.ingest import build_index as index_of
 from wellspring.plans.ingest import chunk_corpus, embed, embed_chunks, ingest, ledger
-from wellspring.schemas import CHUNK, EMBEDDED
+from wellspring.schemas import CHUNK, EMBEDDED, REQUEST, TOTALS
 from wellspring.sources.articles import article_scan, articles, batches, peek
 from wellspring.sources.index import VectorIndex, load_index
-from wellspring.sources.questions import question_stream, questions
-from wellspring.sources.tables import console_summary, read_chunk_lines, write_batches
-from wellspring.streaming.answers import answer_stream, responses
+from wellspring.sources.questions import MAX_QUEUE, question_stream, questions, queue_questions, queued_questions
+from wellspring.sources.tables import (
+    checked_chunk_lines,
+    console_summary,
+    read_chunk_lines,
+    read_embedded_lines,
+    read_json_if_any,
+    write_batches,
+)
+from wellspring.streaming.answers import answer_stream, responses, totals_before, totals_metrics
+from wellspring.streaming.lifecycle import EVENT, lifecycle_load, lifecycle_stream
 from wellspring.workspace import scratch, ship_package, stage
 
 # Whole texts are searched; the cut of a model's input is the feature of ``hash_encode``.
@@ -36,6 +44,8 @@ GENERATOR = ExtractiveGenerator()
 # The test tables are small; this many articles per batch gives several batches.
 BATCH_ROWS = 250
 
+STATUS_DDL = "active_workers long, max_workers int, queue_size long, total_completed long"
+
 # Width of the vectors in the embeddings table.
 TABLE_DIM = 64
 
@@ -393,6 +403,111 @@ def stream_answers(spark, sf_dir):
     return responses(spark, path).select("query_id", "status", contexts).withColumn("rank", F.col("rank") + 1)
 
 
+def bounded_intake(spark, sf_dir):
+    """User turns that arrive as one file, answered at most 100 at a time: questions and answers,
+    micro-batches above the bound, and whether there were as few as the bound allows."""
+    index = corpus_index(spark, sf_dir)
+    path = scratch(spark, "intake")
+    arriving = _requests(spark, sf_dir).where(F.col("role") == "user")
+    arriving.select(
+        "query_id", F.col("text").alias("query_text"), F.timestamp_seconds("conv_id").alias("ts")
+    ).coalesce(1).write.json(f"{path}/inbox")
+    queue_questions(question_stream(spark, f"{path}/inbox"), f"{path}/queue", f"{path}/queue-checkpoint").awaitTermination()
+    answer_stream(
+        queued_questions(spark, f"{path}/queue"), index, ENCODER, GENERATOR, path, f"{path}/checkpoint"
+    ).awaitTermination()
+    taken = read_json_if_any(spark, f"{path}/arrivals", REQUEST, "batch_id long").groupBy("batch_id").agg(F.count("*").alias("n"))
+    answered = responses(spark, path).agg(F.countDistinct("query_id").alias("answered"))
+    sizes = taken.agg(
+        F.sum("n").alias("questions"),
+        F.count_if(F.col("n") > MAX_QUEUE).alias("above_bound"),
+        (F.count("*") >= F.ceil(F.sum("n") / MAX_QUEUE)).alias("as_many_as_needed"),
+    )
+    return sizes.join(F.broadcast(answered), F.lit(True))
+
+
+def stream_status(spark, sf_dir):
+    """The load that a stream keeps while it answers user turns one by one with a generator that
+    refuses marked ones, as its last micro-batch left it."""
+    index = corpus_index(spark, sf_dir)
+    path = scratch(spark, "status")
+    arriving = _requests(spark, sf_dir).where((F.col("role") == "user") & (F.col("turn") < 2))
+    marked = F.when(F.col("conv_id") % 6 == 0, QuotingGenerator.MARK).otherwise("")
+    arriving.select(
+        "query_id", F.concat(marked, "text").alias("query_text"), F.timestamp_seconds("conv_id").alias("ts")
+    ).repartition(2, "query_id").write.json(f"{path}/inbox")
+    running = answer_stream(
+        question_stream(spark, f"{path}/inbox", max_files=1), index, ENCODER, QuotingGenerator(), path, f"{path}/checkpoint",
+        retries=1, backoff=0,
+    )
+    running.awaitTermination()
+    last = max(row.batch_id for row in read_json_if_any(spark, f"{path}/totals", TOTALS, "batch_id long").select("batch_id").collect())
+    totals = totals_before(spark, path, last + 1)
+    return spark.createDataFrame([totals_metrics(totals) | {"total_failed": totals["failed"]}], f"{STATUS_DDL}, total_failed long")
+
+
+def request_states(spark, sf_dir):
+    """Load by the keyed state of a stream of request events, in which every event comes twice."""
+    log = request_log(spark, sf_dir)
+    path = scratch(spark, "events")
+    steps = F.expr("CASE status WHEN 'queued' THEN array('queued') WHEN 'processing' THEN array('queued', 'processing') "
+                   "ELSE array('queued', 'processing', status) END")
+    events = log.select("query_id", F.explode(steps).alias("status"))
+    for _ in range(2):
+        events.repartition(2).write.mode("append").parquet(f"{path}/events")
+    arriving = spark.readStream.schema(EVENT).option("maxFilesPerTrigger", 2).parquet(f"{path}/events")
+    lifecycle_stream(arriving, f"{path}/checkpoint").awaitTermination()
+    return lifecycle_load(spark, f"{path}/checkpoint")
+
+
+def reject_lines(spark, sf_dir):
+    """Chunk lines of which every seventh was spoilt: lines read and set aside, by what was done."""
+    path = scratch(spark, "spoilt-lines")
+    numbered = chunk(_documents(spark, sf_dir)).withColumn("k", F.pmod(F.col("doc_id") + F.col("chunk_no"), F.lit(7)))
+    line = F.to_json(F.struct("doc_id", "chunk_no", "chunk_id", "title", "chunk_text"))
+    spoilt = F.when(F.col("k") == 0, F.concat(F.lit("not json "), line)).when(F.col("k") == 1, F.concat(line, F.lit("}"))).when(
+        F.col("k") == 2, F.to_json(F.struct(F.lit("no number").alias("doc_id"), "title", "chunk_text"))).otherwise(line)
+    numbered.select(spoilt.alias("value")).write.text(path)
+    chunks, rejects = checked_chunk_lines(spark, path)
+    kind = F.when(F.col("line").startswith("not json"), "no record").otherwise("wrong type")
+    good = chunks.select(F.lit("chunk").alias("kind"), "doc_id")
+    bad = rejects.select(kind.alias("kind"), F.lit(0).cast("long").alias("doc_id"))
+    return good.union(bad).groupBy("kind").agg(F.count("*").alias("n_lines"), F.sum("doc_id").alias("doc_ids"))
+
+
+def embedded_lines(spark, sf_dir):
+    """Chunks embedded, written as JSON lines to two folders, read as one set and indexed."""
+    ship_package(spark)
+    path = scratch(spark, "embedded-lines")
+    numbered = _documents(spark, sf_dir).withColumn("batch_id", F.lit(0).cast("long"))
+    embedded = stage(embed(chunk_corpus(numbered), ENCODER), "embedded-lines")
+    odd = F.col("chunk_no") % 2 == 1
+    for name, part in (("odd", odd), ("even", ~odd)):
+        embedded.where(part).drop("width").write.json(f"{path}/{name}")
+    table = stage(read_embedded_lines(spark, f"{path}/odd", f"{path}/even"), "embedded-lines")
+    index = index_of(table, f"{path}/index")
+    length = F.round(F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x * x), 6)
+    return index.positioned().select("pos", "chunk_id", length.alias("norm"))
+
+
+def index_versions(spark, sf_dir):
+    """Sizes of an index before and after it was built again under a reader that keeps its
+    version, and of the first version, asked for by number."""
+    ship_package(spark)
+    path = scratch(spark, "versions")
+    vectors = _table(spark, sf_dir, "embeddings").select(
+        F.col("vec_id").alias("doc_id"), F.lit(0).alias("chunk_no"), F.col("vec_id").cast("string").alias("chunk_id"),
+        F.lit("t").alias("title"), F.lit("text").alias("chunk_text"), "embedding", F.size("embedding").alias("width"),
+        F.lit(None).cast("string").alias("error"), F.lit(0).cast("long").alias("batch_id"), "label",
+    )
+    table = stage(vectors, "versions")
+    reader = index_of(table.where("label < 5").drop("label"), path, TABLE_DIM)
+    index_of(table.drop("label"), path, TABLE_DIM)
+    held = {"reader": reader, "latest": load_index(spark, path), "first": load_index(spark, path, 0)}
+    sizes = [index.rows.groupBy().agg(F.count("*").alias("n")).select(F.lit(name).alias("version"), "n") for name, index in held.items()]
+    return sizes[0].union(sizes[1]).union(sizes[2])
+
+
 QUERIES = {
     "article_scan": scan_articles,
     "row_peek": row_peek,
@@ -423,4 +538,10 @@ QUERIES = {
     "response_envelope": response_envelope,
     "request_metrics": request_metrics,
     "answer_stream": stream_answers,
+    "bounded_intake": bounded_intake,
+    "stream_status": stream_status,
+    "request_states": request_states,
+    "reject_lines": reject_lines,
+    "embedded_lines": embedded_lines,
+    "index_versions": index_versions,
 }

@@ -72,6 +72,19 @@ STATUS = _struct(
     ("total_completed", T.LongType()),
 )
 
+WRITTEN_REPLY = _struct(
+    ("prompt_key", T.StringType()),
+    ("answer", T.StringType()),
+    ("answered_us", T.LongType()),
+)
+
+# Totals of a stream after one of its micro-batches.
+TOTALS = _struct(
+    ("arrived", T.LongType()),
+    ("completed", T.LongType()),
+    ("failed", T.LongType()),
+)
+
 ANSWER = _struct(
     ("query_id", T.StringType()),
     ("query", T.StringType()),

@@ -54,6 +54,21 @@ def read_chunk_lines(spark: SparkSession, *paths: str) -> DataFrame:
     return spark.read.schema(CHUNK).json(list(paths))
 
 
+def checked_chunk_lines(spark: SparkSession, *paths: str) -> tuple[DataFrame, DataFrame]:
+    """(chunks, rejects): ``read_chunk_lines`` without its malformed lines, and those lines with the
+    file they stand in. A line is malformed if it is no JSON object or a field has another
+    type. Blank lines are neither."""
+    spoilt = "_spoilt"
+    schema = T.StructType([*CHUNK.fields, T.StructField(spoilt, T.StringType())])
+    lines = spark.read.text(list(paths)).select("value", F.col("_metadata.file_path").alias("file"))
+    lines = lines.where(F.trim("value") != "")
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": spoilt}
+    parsed = lines.select("file", "value", F.from_json("value", schema, options).alias("record"))
+    bad = F.col("record").isNull() | F.col(f"record.{spoilt}").isNotNull()
+    chunks = parsed.where(~bad).select(*[F.col(f"record.{name}").alias(name) for name in CHUNK.fieldNames()])
+    return chunks, parsed.where(bad).select("file", F.col("value").alias("line"))
+
+
 def read_embedded_lines(spark: SparkSession, *paths: str) -> DataFrame:
     """Embedded-chunk JSON lines, with the width of their vectors; else as above. An index
     over them should be built from a staged copy, as it reads its input more than once."""

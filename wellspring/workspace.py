@@ -1,6 +1,7 @@
 """Where intermediate tables go, and how small inputs are spread over the cores."""
 
 import io
+import json
 import tempfile
 import uuid
 import zipfile
@@ -44,8 +45,7 @@ def scratch_scope(spark: SparkSession):
         yield
     finally:
         for path in _scope.get():
-            file_system, folder = _hadoop_file(spark, path)
-            file_system.delete(folder, True)
+            delete(spark, path)
         _scope.reset(token)
 
 
@@ -54,6 +54,48 @@ def exists(spark: SparkSession, path: str) -> bool:
     return file_system.exists(target)
 
 
+def delete(spark: SparkSession, path: str) -> None:
+    file_system, target = _hadoop_file(spark, path)
+    file_system.delete(target, True)
+
+
+def published(spark: SparkSession, folder: str) -> list[int]:
+    """Numbers of the entries in a manifest folder, in order."""
+    file_system, target = _hadoop_file(spark, folder)
+    if not file_system.exists(target):
+        return []
+    names = [status.getPath().getName() for status in file_system.listStatus(target)]
+    return sorted(int(name.removesuffix(".json")) for name in names if name.endswith(".json") and name[0].isdigit())
+
+
+def read_published(spark: SparkSession, folder: str, number: int) -> dict:
+    file_system, target = _hadoop_file(spark, f"{folder}/{number}.json")
+    stream = file_system.open(target)
+    try:
+        return json.loads(bytes(stream.readAllBytes()).decode())
+    finally:
+        stream.close()
+
+
+def publish(spark: SparkSession, folder: str, entry: dict) -> int:
+    """Add ``entry`` to a manifest folder under the next number. It is written beside and then
+    moved, and a move onto a number that another writer took is tried again with the next."""
+    file_system, hidden = _hadoop_file(spark, f"{folder}/_{uuid.uuid4().hex}")
+    stream = file_system.create(hidden)
+    stream.write(json.dumps(entry).encode())
+    stream.close()
+    number = max(published(spark, folder), default=-1) + 1
+    while True:
+        _, target = _hadoop_file(spark, f"{folder}/{number}.json")
+        if not file_system.exists(target) and file_system.rename(hidden, target):
+            return number
+        number += 1
+
+
+def withdraw(spark: SparkSession, folder: str, number: int) -> None:
+    delete(spark, f"{folder}/{number}.json")
+
+
 def _hadoop_file(spark: SparkSession, path: str):
     target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target
