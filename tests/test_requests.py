@@ -1,0 +1,101 @@
+"""Bounded intake, replies asked for once, load without a look back, and keyed request states."""
+
+import os
+import subprocess
+import sys
+from collections import Counter
+from pathlib import Path
+
+import pytest
+from pyspark.sql import functions as F
+
+from tests.lost_replies import Counting
+from tests.support import collected, small_index
+from tests.test_stream import WORDS, Letters, Refusing, inbox
+from wellspring.operators.generate import Pages, plain, reachable
+from wellspring.sources.questions import question_stream, queue_questions, queued_questions
+from wellspring.streaming.answers import answer_stream, responses, stream_metrics, totals_before, totals_metrics
+from wellspring.streaming.lifecycle import EVENT, lifecycle_load, lifecycle_stream
+
+HOME = Path(__file__).resolve().parent.parent
+
+
+@pytest.fixture
+def index(spark):
+    return small_index(spark, [(i, 0, w, [float(ord(w[0])), float(ord(w[-1]))]) for i, w in enumerate(WORDS)], 2)
+
+
+def run(spark, index, path, requests, generator):
+    query = answer_stream(requests, index, Letters(), generator, f"{path}/out", f"{path}/checkpoint", retries=1)
+    query.awaitTermination()
+
+
+def test_one_file_of_many_questions_is_taken_in_bounded_steps(spark, index, tmp_path):
+    inbox(spark, f"{tmp_path}/inbox", [(f"q{i}", "fig", i) for i in range(1000)], 1)
+    for _ in range(2):  # nothing is queued or answered twice
+        queue = f"{tmp_path}/queue"
+        queue_questions(question_stream(spark, f"{tmp_path}/inbox"), queue, f"{tmp_path}/queued").awaitTermination()
+        run(spark, index, tmp_path, queued_questions(spark, queue), Refusing())
+    taken = spark.read.json(f"{tmp_path}/out/arrivals").groupBy("batch_id").count().collect()
+    assert [r["count"] for r in taken] == [100] * 10
+    answered = responses(spark, f"{tmp_path}/out")
+    assert answered.count() == answered.select("query_id").distinct().count() == 1000
+    assert spark.read.parquet(queue).agg(F.min("ts"), F.max("ts")).first()[0].timestamp() == 0
+
+
+def test_a_finished_reply_is_asked_for_once(tmp_path):
+    env = os.environ | {"BENCH_CPUS": "2,4", "PYTHONPATH": str(HOME)}
+    command = [sys.executable, "-m", "tests.lost_replies", str(tmp_path)]
+    done = subprocess.run(command, cwd=HOME, env=env, timeout=300, capture_output=True, text=True)
+    assert done.returncode == 0, done.stderr[-3000:]
+    assert (tmp_path / "died").exists()
+    calls = Counter(line for file in tmp_path.glob("calls-*") for line in file.read_text().splitlines())
+    assert len(calls) == 40 and set(calls.values()) == {1}
+
+
+def test_a_replayed_micro_batch_asks_nothing_again(spark, index, tmp_path):
+    inbox(spark, f"{tmp_path}/inbox", [(f"q{i}", f"fig q{i}", i) for i in range(9)], 1)
+    calls = lambda: sum(len(f.read_text().splitlines()) for f in tmp_path.glob("calls-*"))
+    run(spark, index, tmp_path, question_stream(spark, f"{tmp_path}/inbox", 1), Counting(str(tmp_path), deadly=False))
+    before, asked = sorted(responses(spark, f"{tmp_path}/out").select("query_id", "answer").collect()), calls()
+    for entry in Path(tmp_path, "checkpoint/commits").iterdir():
+        if entry.name.lstrip(".").startswith("0"):
+            entry.unlink()
+    run(spark, index, tmp_path, question_stream(spark, f"{tmp_path}/inbox", 1), Counting(str(tmp_path), deadly=False))
+    assert sorted(responses(spark, f"{tmp_path}/out").select("query_id", "answer").collect()) == before
+    assert calls() == asked == 9
+
+
+def test_pages_flush_and_are_read_again(tmp_path):
+    pages = Pages(f"{tmp_path}/l", 3, flush=2)
+    for i in range(5):
+        pages.add(f"k{i}", f"a{i}", i)
+    assert len(list((tmp_path / "l").glob("slice-000003-*.parquet"))) == 2  # the fifth is still held
+    pages.write()
+    assert set(Pages(f"{tmp_path}/l", 3, 2).replies) == {f"k{i}" for i in range(5)}
+    assert not Pages(f"{tmp_path}/l", 4, 2).replies
+    assert plain("file:/a/b") == "/a/b" and plain("file:///a") == "file:///a"
+    assert reachable(str(tmp_path)) and not reachable("viewfs://store/x")
+
+
+def test_totals_are_what_counting_everything_gives(spark, index, tmp_path):
+    inbox(spark, f"{tmp_path}/inbox", [(f"q{i}", "refuse" if i % 4 == 0 else "fig", i) for i in range(30)], 3)
+    run(spark, index, tmp_path, question_stream(spark, f"{tmp_path}/inbox", 1), Refusing())
+    last = max(int(p.name.split("=")[1]) for p in Path(tmp_path, "out/totals").iterdir())
+    totals = totals_before(spark, f"{tmp_path}/out", last + 1)
+    assert totals == {"arrived": 30, "completed": 22, "failed": 8}
+    assert tuple(totals_metrics(totals).values()) == tuple(stream_metrics(spark, f"{tmp_path}/out").first())
+    assert totals_before(spark, f"{tmp_path}/out", 0)["arrived"] == 0
+    assert tuple(totals_metrics({"arrived": 9, "completed": 2, "failed": 1}).values()) == (4, 4, 2, 2)
+
+
+def test_a_request_only_moves_forward(spark, tmp_path):
+    def arrive(*rows):
+        spark.createDataFrame(rows, EVENT).coalesce(1).write.mode("append").parquet(f"{tmp_path}/events")
+        events = spark.readStream.schema(EVENT).parquet(f"{tmp_path}/events")
+        lifecycle_stream(events, f"{tmp_path}/state").awaitTermination()
+        return tuple(lifecycle_load(spark, f"{tmp_path}/state").first())
+
+    assert arrive(("a", "queued"), ("b", "queued"), ("a", "queued"), (None, "queued"), ("x", "lost")) == (2, 0, 0, 0)
+    assert arrive(("a", "processing"), ("b", "failed"), ("c", "completed")) == (0, 1, 1, 1)
+    assert arrive(("a", "queued"), ("b", "completed"), ("c", "failed"), ("a", "completed")) == (0, 0, 2, 1)
