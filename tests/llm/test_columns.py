@@ -1,0 +1,50 @@
+"""Columns of a table that bear the names of helper columns, and ids that repeat or are missing."""
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from wellspring.llm import lines, mixing, neighbours, quality, queries, simhash
+
+NAMES = ["_place", "_uid", "_removed", "_torn", "_print", "expected_grade", "tail_probability", "mix_x", "mix_tokens", "mix_kept", "uid", "line", "doc", "a.b"]
+STAGES = {
+    "quality": lambda docs, marks: quality.select_quality(docs, marks),
+    "lines": lambda docs, marks: lines.dedup_lines(docs),
+    "simhash": lambda docs, marks: simhash.keep_first(docs),
+    "mixing": lambda docs, marks: mixing.mix(docs),
+}
+
+
+@pytest.mark.parametrize("name", STAGES)
+def test_own_columns_come_through(spark, name):
+    table = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    table = table.unionByName(table.where("doc_id < 3").withColumn("text", F.lit("another text"))).unionByName(
+        table.where("doc_id = 5").withColumn("doc_id", F.lit(None).cast("long"))
+    )
+    marks = queries.grades(spark, "/root/testdata/sf0.001")
+    plain = STAGES[name](table, marks)
+    told = STAGES[name](table.withColumns({f"`{n}`" if "." in n else n: F.concat(F.lit(n), F.lit("!")) for n in NAMES if "." not in n}), marks)
+    assert told.columns == [*table.columns, *[n for n in NAMES if "." not in n]]
+    key = lambda r: (r["doc_id"] is None, r["doc_id"], r["text"])
+    rows = sorted(told.collect(), key=key)
+    assert [tuple(r[c] for c in table.columns) for r in rows] == [tuple(r) for r in sorted(plain.collect(), key=key)]
+    assert all(r[n] == f"{n}!" for r in rows for n in NAMES if "." not in n)
+
+
+def test_vectors_of_one_id_are_all_candidates(spark):
+    rng = np.random.default_rng(4)
+    rows = [(int(i // 2), [float(x) for x in rng.normal(size=6)]) for i in range(120)]
+    rows += rows[:7] + [(1, [1.0] + [0.0] * 5), (20, None), (None, [1.0] * 6)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(4)
+    found = {}
+    for r in neighbours.nearest(table, table.where("vec_id % 20 = 0"), 200).collect():
+        found.setdefault(r["query_id"], []).append((round(r["score"], 9), r["vec_id"]))
+    good = {(v, tuple(e)) for v, e in rows if v is not None and e is not None}
+    for query in (0, 20, 40):
+        want = [(round(float(np.dot(q, e)), 9), v) for w, q in good if w == query for v, e in good if v != query]
+        assert sorted(found[query]) == sorted(want)
+
+
+def test_held_out_is_never_null(spark):
+    ids = spark.createDataFrame([(None,), (1,), (4,)], "doc_id long")
+    assert all(r[0] is not None for r in ids.select(queries.held_out(F.col("doc_id"))).collect())

@@ -3,6 +3,7 @@
 import ctypes
 import re
 from collections.abc import Iterable, Iterator
+from functools import wraps
 
 import numpy as np
 import pyarrow as pa
@@ -157,6 +158,22 @@ def joined(texts: Iterable[bytes], separator: bytes = b"\n") -> tuple[bytes, np.
     return separator.join(texts) + separator, np.concatenate(([0], np.cumsum(sizes)))
 
 
+def keeps_columns(*used: str):
+    """For a function of ``docs`` that returns rows of ``docs``: columns but the ``used`` ones bear
+    other names inside it, so none can clash with a helper column, and their own ones again after."""
+
+    def guarded(function):
+        @wraps(function)
+        def run(docs: DataFrame, *rest, **options) -> DataFrame:
+            inside = {name: f"own column {i}" for i, name in enumerate(docs.columns) if name not in used}
+            out = function(docs.withColumnsRenamed(inside), *rest, **options)
+            return out.select(*[F.col(f"`{inside.get(name, name)}`").alias(name) for name in docs.columns])
+
+        return run
+
+    return guarded
+
+
 def and_fields(df: DataFrame, ddl: str) -> StructType:
     """The schema of ``df`` followed by more fields."""
     return StructType([*df.schema.fields, *StructType.fromDDL(ddl).fields])

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wellspring.llm.common import as_bytes, grouped, joined, mixed, rows, shuffle_partitions, tidy, word_hashes
+from wellspring.llm.common import as_bytes, grouped, joined, keeps_columns, mixed, rows, shuffle_partitions, tidy, word_hashes
 from wellspring.workspace import stage, stage_measured
 
 THRESHOLD, EVERY = 0.8, 1
@@ -434,7 +434,7 @@ def repeated_lines(docs: DataFrame, threshold: float = THRESHOLD, least: int = E
     doc_id have lines at the same places, of which none is earlier than the other. Null and
     empty texts hold no line of enough words; a text or line of any length is taken whole.
     """
-    placed = own_places(docs)
+    placed = own_places(docs.select("doc_id", "text"))
     ids = placed.select(F.col("_place").alias("doc"), F.coalesce("doc_id", F.lit(NO_ID)).alias("id")).distinct()
     return removed_places(placed, threshold, least).join(ids, "doc").select(F.col("id").alias("doc"), "line")
 
@@ -481,7 +481,7 @@ def line_report(docs: DataFrame, threshold: float = THRESHOLD, least: int = EVER
 
     An empty table gives no rows; a null or empty text is one line without words.
     """
-    placed = own_places(docs)
+    placed = own_places(docs.select("doc_id", "text"))
     gone = removed_places(placed, threshold, least).groupBy("doc").agg(F.sort_array(F.collect_list("line")).alias("removed"))
     text = F.coalesce("text", F.lit(""))
     count = F.length(text) - F.length(F.replace(text, F.lit("\n"), F.lit(""))) + 1
@@ -491,6 +491,7 @@ def line_report(docs: DataFrame, threshold: float = THRESHOLD, least: int = EVER
     return out.select("doc_id", "n_lines", F.size(none).cast("long").alias("n_removed"), none.alias("removed"))
 
 
+@keeps_columns("doc_id", "text", "n_chars")
 def dedup_lines(docs: DataFrame, threshold: float = THRESHOLD, least: int = EVERY) -> DataFrame:
     """``docs`` without the repeated lines; every row stays, if need be with an empty text.
 

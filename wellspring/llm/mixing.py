@@ -11,6 +11,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from wellspring.llm.common import keeps_columns
 from wellspring.workspace import stage
 
 DIMENSIONS = ("source", "lang", "topic")
@@ -139,6 +140,7 @@ def with_mixing(docs: DataFrame, targets: Targets = Targets()) -> DataFrame:
     return found.withColumn("mix_kept", draw(F.col("doc_id"), targets.seed) < F.col("mix_probability"))
 
 
+@keeps_columns("doc_id", "text", "lang", "source")
 def mix(docs: DataFrame, targets: Targets = Targets()) -> DataFrame:
     """The sampled documents, with their own columns."""
     return with_mixing(docs, targets).where("mix_kept").select(docs.columns)

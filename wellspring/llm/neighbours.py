@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from wellspring.llm.common import and_fields, mixed, shuffle_partitions
+from wellspring.llm.common import and_fields, mixed, numbered, shuffle_partitions
 from wellspring.llm.near_vectors import valid
 from wellspring.workspace import stage
 
@@ -146,7 +146,7 @@ def _search(rows: DataFrame, asked: DataFrame, width: int, k: int) -> DataFrame:
                     lo, hi = (np.searchsorted(buckets, wanted, side=s) for s in ("left", "right"))
                     spans = [of_row[a:b] for a, b in zip(lo, hi) if a < b]
                     seen = np.unique(np.concatenate(spans)) if spans else np.zeros(0, np.int64)
-                seen = seen[uid[seen] != ids[begin + i]]
+                seen = seen[vec[seen] != names_[begin + i]]
                 s = scores[i, seen]
                 if len(seen) > k:
                     least = np.partition(s, len(s) - k)[len(s) - k]
@@ -175,18 +175,18 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, settings: Setti
     ``vectors`` and ``queries`` hold vec_id (long) and embedding; a query is no candidate for
     itself, that is for rows of its vec_id. Nearness is the inner product, ties go to the smaller
     vec_id. Vectors that are null, empty, zero or hold a null or non-finite element take no part,
-    nor do rows without a vec_id; each width is searched for itself. Repeated rows are candidates
-    and queries once. Empty tables give no rows; other columns are not looked at.
+    nor do rows without a vec_id; each width is searched for itself. Equal rows are one candidate
+    or query; rows of one vec_id with different vectors are each their own. Empty tables give no rows; other columns are not looked at.
     """
 
     def clean(df):
         v = F.col("embedding").cast("array<double>")
         rows = df.select("vec_id", v.alias("vector")).where(valid(F.col("vector")) & F.col("vec_id").isNotNull())
-        return rows.dropDuplicates(["vec_id"]).withColumn("uid", F.col("vec_id"))
+        return rows.distinct()
 
     spark = vectors.sparkSession
-    rows = stage(clean(vectors), "ann-rows")
-    asked = stage(clean(queries), "ann-queries")
+    rows = numbered(clean(vectors), "ann-rows")
+    asked = numbered(clean(queries), "ann-queries")
     norm = F.sqrt(F.aggregate("vector", F.lit(0.0), lambda s, x: s + x * x))
     widths = rows.groupBy(F.size("vector").alias("width")).agg(F.count(F.lit(1)).alias("n"), F.max(norm).alias("largest")).collect()
     parts = []
@@ -233,13 +233,12 @@ def _of_width(spark, rows: DataFrame, asked: DataFrame, facts, k: int, settings:
     grouped = visits.groupBy("query_uid", "query_id", "shard").agg(F.collect_set("bucket").alias("visits"))
     grouped = grouped.join(asked.select(F.col("uid").alias("query_uid"), "vector"), "query_uid")
     found = stage(_ranked(_search(keyed, grouped, width, k), k), "ann-found")
-    due = min(k, facts["n"])
     enough = found.groupBy("query_uid").agg(F.count(F.lit(1)).alias("n"))
-    # a query that is itself a row has one candidate less
-    itself = rows.select(F.col("uid").alias("query_uid"), F.lit(1).alias("own"))
+    # rows of a query's own vec_id are no candidates
+    itself = rows.groupBy(F.col("vec_id").alias("query_id")).agg(F.count(F.lit(1)).alias("own"))
     short = asked.select(F.col("uid").alias("query_uid"), F.col("vec_id").alias("query_id"), "vector").join(enough, "query_uid", "left")
-    short = short.join(itself, "query_uid", "left")
-    wanted = F.least(F.lit(due), F.lit(facts["n"]) - F.coalesce("own", F.lit(0)))
+    short = short.join(itself, "query_id", "left")
+    wanted = F.least(F.lit(k), F.lit(facts["n"]) - F.coalesce("own", F.lit(0)))
     short = stage(short.where(F.coalesce("n", F.lit(0)) < wanted).select("query_uid", "query_id", "vector"), "ann-short")
     if not short.isEmpty():
         everywhere = rows.withColumn("shard", F.pmod(F.xxhash64("uid"), F.lit(shards))).withColumn("bucket", F.lit(0).cast("long"))

@@ -70,7 +70,8 @@ def op6_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def held_out(doc_id) -> F.Column:
-    return F.crc32(doc_id.cast("string")) % 5 == 0
+    """Whether a row is kept from learning; one without an id has no label to learn."""
+    return F.coalesce(F.crc32(doc_id.cast("string")) % 5 == 0, F.lit(False))
 
 
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

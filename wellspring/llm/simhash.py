@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wellspring.llm.common import and_fields, as_bytes, numbered, rows, shuffle_partitions, tidy
+from wellspring.llm.common import and_fields, as_bytes, keeps_columns, numbered, rows, shuffle_partitions, tidy
 from wellspring.llm.components import components
 from wellspring.workspace import stage
 
@@ -153,6 +153,7 @@ def simhash_groups(docs: DataFrame) -> DataFrame:
     )
 
 
+@keeps_columns("doc_id", "text")
 def keep_first(docs: DataFrame) -> DataFrame:
     """The documents that are the smallest doc_id of their group, with all their columns.
 
