@@ -31,7 +31,7 @@ FILTERS = "ABCDE"
 #: of capitals; characters that none may hold.
 WORDS, DISTINCT, CAPITALS, MARKS = 50, 65, 5, b"#$%&*|"
 #: Text in one shard of the matrix, about; vocabulary entries in one part of the dictionary, about.
-SHARD_BYTES, PART_WORDS = 1 << 20, 4 << 20
+SHARD_BYTES, PART_WORDS = 4 << 20, 4 << 20
 #: Texts that may each hold over 1 / HOT of all documents.
 HOT = 10_000
 
