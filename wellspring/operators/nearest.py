@@ -39,6 +39,13 @@ class RunningTopK:
             for first in range(0, len(self.questions), QUESTION_BLOCK):
                 self._fold_block(slice(first, first + QUESTION_BLOCK), block_ids, block)
 
+    def fold_for(self, only: np.ndarray, ids: np.ndarray, rows: np.ndarray) -> None:
+        """``fold`` for the questions of the given numbers alone."""
+        part = RunningTopK(self.questions[only], self.k)
+        part.distance, part.ids = self.distance[only], self.ids[only]
+        part.fold(ids, rows)
+        self.distance[only], self.ids[only] = part.distance, part.ids
+
     def _fold_block(self, span: slice, ids: np.ndarray, rows: np.ndarray) -> None:
         largest = max(_norms(rows).max(initial=0), self.norms[span].max(initial=0))
         which, row = self._candidates(span, rows, np.float32 if largest < SINGLE_RANGE else np.float64)
