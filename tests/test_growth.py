@@ -50,3 +50,29 @@ def test_jobs_hold_a_bounded_number_of_chunks():
     assert [len(g) for g in jobs(list(range(130)), {i: 10**6 for i in range(130)})] == [64, 64, 2]
     assert jobs([2, 1, 0], sizes, at_once=2) == [[2, 1], [0]] and jobs([], sizes) == []
     assert (files_for(4), files_for(12_501), files_for(10**6)) == (1, 2, 8)
+
+
+def test_the_index_is_searched_once_for_the_files_that_wait(spark, tmp_path, monkeypatch):
+    from tests.support import small_index
+    from tests.test_stream import WORDS, Letters, Refusing, inbox, rows_of
+    from wellspring.plans import answer as answer_plan
+    from wellspring.sources.questions import question_stream, queue_questions, queued_questions
+    from wellspring.streaming.answers import answer_stream, responses
+
+    index = small_index(spark, [(i, 0, w, [float(ord(w[0])), float(ord(w[-1]))]) for i, w in enumerate(WORDS)], 2)
+    rows = [(f"q{i}", f"{WORDS[i % 8]} {i % 90}", i) for i in range(230)]
+    inbox(spark, f"{tmp_path}/inbox", rows + [("f", "fail", 1), ("r", " refuse\n", 1), ("s", "status", 1)], 1)
+    queue, searched, real = f"{tmp_path}/queue", [], answer_plan.found_texts
+    queue_questions(question_stream(spark, f"{tmp_path}/inbox"), queue, f"{tmp_path}/queued").awaitTermination()
+    monkeypatch.setattr(answer_plan, "found_texts", lambda *a: searched.append(1) or real(*a))
+    out = {}
+    root = Path(scratch(spark, "probe")).parent
+    before = set(root.iterdir())
+    for name, ahead in (("ahead", queue), ("plain", None)):
+        path = f"{tmp_path}/{name}"
+        answer_stream(queued_questions(spark, queue), index, Letters(), Refusing(), path, f"{path}/c", retries=1, queue=ahead).awaitTermination()
+        out[name] = rows_of(responses(spark, path))
+        if name == "ahead":
+            assert len(searched) == 1
+    assert len(searched) == 4 and out["ahead"] == out["plain"] and len(out["ahead"]) == 232
+    assert set(root.iterdir()) <= before
