@@ -1,11 +1,14 @@
 """What a job does besides its rows grows with the input, not with what was written before it."""
 
+import sys
 from pathlib import Path
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from tests.support import collected
 from tests.test_index import TINY
+from wellspring.operators.encode import BATCH_SIZE, encode
 from wellspring.plans import ingest as ingest_plan
 from wellspring.plans.ingest import chunk_corpus, embed_chunks, ingest, jobs, ledger
 from wellspring.schemas import CHUNK, EMBEDDED
@@ -76,3 +79,23 @@ def test_the_index_is_searched_once_for_the_files_that_wait(spark, tmp_path, mon
             assert len(searched) == 1
     assert len(searched) == 4 and out["ahead"] == out["plain"] and len(out["ahead"]) == 232
     assert set(root.iterdir()) <= before
+
+
+class Held:
+    """Encodes each text as the number of texts that its caller holds as Python objects."""
+
+    def __call__(self):
+        def run(texts):
+            held = len(sys._getframe(1).f_locals["texts"])
+            return np.array([[held]] * len(texts), np.float32)
+
+        return run
+
+
+def test_a_worker_holds_one_piece_of_a_batch_as_python_texts(spark):
+    text = F.when(F.col("id") % 7 > 0, F.concat_ws(" ", F.lit("word"), "id"))
+    source = spark.range(0, 3000, 1, 1).select("id", text.alias("text"))
+    out = source.select("id", "text", encode(F.col("text"), Held()).alias("e")).collect()
+    assert [r.id for r in out] == list(range(3000))
+    assert all((r.e.embedding == []) == (r.text is None) for r in out)
+    assert max(r.e.embedding[0] for r in out if r.text) == BATCH_SIZE

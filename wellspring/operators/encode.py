@@ -29,7 +29,9 @@ def encode(text: Column, factory, batch_size: int = BATCH_SIZE) -> Column:
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         encoder = loaded(factory)
         for texts in batches:
-            yield encoded(encoder, texts.to_pylist(), batch_size)
+            # a piece at a time: as Python objects, an Arrow batch of long texts takes many times its size
+            for start in range(0, len(texts), batch_size):
+                yield encoded(encoder, texts.slice(start, batch_size).to_pylist(), batch_size)
 
     return run.asNondeterministic()(text)
 
