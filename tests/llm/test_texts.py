@@ -6,12 +6,14 @@ from collections import Counter
 import duckdb
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tests.llm import brute
 from wellspring.llm import chat, cutting, mixing, packing, quality, queries, simhash, token_counts, toxicity
+from wellspring.llm.common import as_bytes, in_slices
 
 SF = "/root/testdata/sf0.01"
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
@@ -393,6 +395,25 @@ def test_word_ids_are_the_tokenizers(monkeypatch):
         assert ids.tolist() == [*encode.encode(text, add_special_tokens=False).ids, 1], text
 
 
+def test_kept_runs_are_bounded(monkeypatch):
+    monkeypatch.setattr(packing, "RUNS", 50)
+    table, encode = packing.WordIds(WORDS), tokenizer()
+    texts = [" ".join(f"{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}q-z{i}" for i in range(n, n + 100)) for n in range(0, 600, 100)]
+    for text, ids in zip(texts, packing.ids_of_texts([t.encode() for t in texts], table)):
+        assert ids.tolist() == [*encode.encode(text, add_special_tokens=False).ids, 1]
+    assert len(table.runs) <= 50
+
+
+def test_slices_hold_every_row_in_turn():
+    texts = ["a" * n for n in (0, 3, 9, 40, 0, 0, 5, 5, 5, 1)] + [None, "é" * 30, None]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts)), pa.int64()), pa.array(texts)], names=["doc_id", "text"])
+    slices = list(in_slices([batch, batch.slice(0, 0), batch.slice(2, 5)], 10))
+    assert [r for s in slices for r in s.to_pylist()] == batch.to_pylist() + batch.slice(2, 5).to_pylist()
+    for s in slices:
+        sizes = [len(t or b"") for t in as_bytes(s["text"])]
+        assert len(sizes) and sum(sizes[1:]) <= 10
+
+
 def test_plan_holds_exactly_its_pieces():
     rng = np.random.default_rng(0)
     for _ in range(15):

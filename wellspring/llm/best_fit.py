@@ -24,7 +24,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wellspring.llm.byte_ids import SpacedWordIds
-from wellspring.llm.common import as_bytes, rows, tidy
+from wellspring.llm.common import as_bytes, in_slices, rows, tidy
+from wellspring.llm.packing import SLICE_BYTES
 from wellspring.workspace import stage
 
 LENGTH, END_ID = 1024, 2
@@ -50,7 +51,7 @@ def cut(docs: DataFrame, tokenizer: str) -> DataFrame:
 
     def pieced(batches):
         table = word_table(tokenizer)
-        for batch in batches:
+        for batch in in_slices(batches, SLICE_BYTES):
             owner, piece, start, length, crc = [], [], [], [], []
             for i, ids in enumerate(table.of_texts(as_bytes(batch["text"]))):
                 whole = np.append(ids, np.uint32(END_ID)).astype("<u4").tobytes()

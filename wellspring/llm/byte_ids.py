@@ -13,7 +13,7 @@ import numpy as np
 
 from wellspring.llm.audit import CASED
 from wellspring.llm.common import grouped, joined, mixed, word_spans
-from wellspring.llm.packing import REMEMBERED, WordIds
+from wellspring.llm.packing import REMEMBERED, RUNS, WordIds
 
 #: Runs the tokenizer's own cut also gives in a word made of nothing else: Latin letters, digits,
 #: and ASCII marks other than the apostrophe; a space before the word goes with its first run.
@@ -51,6 +51,8 @@ class SpacedWordIds(WordIds):
 
     def of_run(self, run: str) -> list[int]:
         if (found := self.runs.get(run)) is None:
+            if len(self.runs) >= RUNS:
+                self.runs.clear()
             shown = run.encode().decode("latin-1").translate(self.letters)
             found = self.runs[run] = [t.id for t in self.tokenizer.model.tokenize(shown)]
         return found

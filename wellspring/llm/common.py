@@ -7,6 +7,7 @@ from functools import wraps
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -42,6 +43,17 @@ def as_bytes(column) -> list[bytes]:
     return [t or b"" for t in column.cast(pa.binary()).to_pylist()]
 
 
+def in_slices(batches: Iterable[pa.RecordBatch], size: int = PIECE_BYTES * 7 // 8) -> Iterator[pa.RecordBatch]:
+    """The rows of ``batches`` in turn, in slices of about ``size`` bytes of ``text``, one row at least: a
+    batch holds thousands of texts, which need not all be Python objects at once."""
+    for batch in batches:
+        sizes = pc.binary_length(batch["text"]).fill_null(0).to_numpy(zero_copy_only=False)
+        run = np.cumsum(sizes, dtype=np.int64) // size
+        edges = [*np.flatnonzero(np.diff(run, prepend=-1)).tolist(), batch.num_rows]
+        for a, b in zip(edges, edges[1:]):
+            yield batch.slice(a, b - a)
+
+
 def grouped(texts: list[bytes], size: int = PIECE_BYTES) -> Iterator[tuple[int, int]]:
     """Ranges of neighbouring texts of about ``size`` bytes together, one text at least."""
     first = total = 0

@@ -21,14 +21,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from wellspring.llm.common import and_fields, as_bytes, grouped, joined, pieces, shuffle_partitions, tidy, word_spans
+from wellspring.llm.common import and_fields, as_bytes, grouped, in_slices, joined, pieces, shuffle_partitions, tidy, word_spans
 from wellspring.llm.cutting import Pattern, plan
 from wellspring.operators.position import in_order, slot_table, with_position
 from wellspring.workspace import stage
 
 LENGTH, GRAIN, END_ID = 2048, 8, 1
-#: Words kept with their ids in a worker.
-REMEMBERED = 600_000
+#: Words kept with their ids in a worker, and runs, which take several times the room of a word.
+REMEMBERED, RUNS = 600_000, 60_000
+#: Bytes of text that are Python objects at once.
+SLICE_BYTES = 1 << 20
 
 #: Runs the tokenizer's own cut also gives in a word made of nothing else: letters that NFC
 #: and lower-casing leave alone, single digits, and ASCII marks other than the apostrophe.
@@ -67,6 +69,8 @@ class WordIds:
 
     def of_run(self, run: str) -> list[int]:
         if (found := self.runs.get(run)) is None:
+            if len(self.runs) >= RUNS:
+                self.runs.clear()
             shown = run if run.isascii() else "".join([self.letters[b] for b in run.encode()])
             found = self.runs[run] = [t.id for t in self.tokenizer.model.tokenize(shown)]
         return found
@@ -127,7 +131,7 @@ def cut(docs: DataFrame, tokenizer: str) -> DataFrame:
 
     def pieced(batches):
         table = word_ids(tokenizer)
-        for batch in batches:
+        for batch in in_slices(batches, SLICE_BYTES):
             texts = as_bytes(batch["text"])
             owner, start, length, crc, total = [], [], [], [], []
             for i, ids in enumerate(ids_of_texts(texts, table)):
