@@ -197,6 +197,41 @@ def test_lines_equal_brute_force(spark, monkeypatch, limit):
         assert cleaned[d]["n_chars"] in (0, len(cleaned[d]["text"]))
 
 
+def test_texts_are_read_twice_at_most_for_verification(spark, monkeypatch):
+    monkeypatch.setattr(lines, "EARLIEST", 1)
+    calls, verified = [], lines.verified
+    monkeypatch.setattr(lines, "verified", lambda *a: calls.append(a) or verified(*a))
+    docs = near_lines()
+    table = documents(spark, [(d, t, None, None, 0) for d, t in docs]).repartition(3)
+    assert removed(lines.repeated_lines(table)) == brute.removed_lines(docs)
+    assert len(calls) == 2
+
+
+def test_texts_that_lose_nothing_are_not_shuffled(spark):
+    rows = [(d, f"line of its own number {d} k{d}\nother words {d} j{d} i{d} h{d}", None, None, 0) for d in range(200)]
+    rows += [(300 + d, "\n".join(["the very same line of some words", f"x{d} y{d} z{d} w{d}"]), None, None, 0) for d in range(4)]
+    out = lines.dedup_lines(documents(spark, rows).repartition(3))
+    held = {r["doc_id"]: r["text"] for r in out.collect()}
+    want = {d: t for d, t, *_ in rows} | {300 + d: f"x{d} y{d} z{d} w{d}" for d in (1, 2, 3)}
+    assert held == want and out.count() == len(rows)
+    # the texts' two ways: one without an exchange, one joined
+    plan = out._jdf.queryExecution().optimizedPlan()
+    assert plan.nodeName() == "Union" and sorted("Join" in plan.children().apply(i).toString() for i in range(2)) == [False, True]
+
+
+def test_postings_are_handed_on_in_narrow_columns():
+    rng = np.random.default_rng(5)
+    some = np.zeros(1000, lines.POSTING)
+    for f in ("token", "set", "low", "high"):
+        some[f] = rng.integers(0, 1 << 32, 1000)
+    some["doc"], some["line"], some["n"], some["pos"] = np.sort(rng.integers(-5, 90_000, 1000)) + (7 << 50), rng.integers(0, 200, 1000), 60, 12
+    assert len(lines.columns_of(some)) <= 24 * 1000 + 5 * 1000 + 100  # 44 each before
+    ends = some.copy()
+    ends["doc"], ends["line"][:2] = rng.choice([lines.NO_ID, -1, 0, (1 << 63) - 1], 1000), (-1, (1 << 31) - 1)
+    for records in (some, ends, some[:1], ends[:2], some[:0]):
+        assert (lines.records_of(lines.columns_of(records), lines.POSTING) == records).all()
+
+
 def test_line_edge_rows(spark):
     long = " ".join(f"z{i}" for i in range(300_000))
     docs = [(1, None), (2, ""), (3, "a b c d\na b c d"), (4, "a a a a a\nx\nA A a a a"), (5, "é b c d e f"), (6, "É b c d e f")]

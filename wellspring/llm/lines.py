@@ -23,11 +23,12 @@ a line that makes up a third of the corpus is a few rows there.
 from fractions import Fraction
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wellspring.llm.common import as_bytes, grouped, joined, keeps_columns, mixed, rows, shuffle_partitions, tidy, word_hashes
+from wellspring.llm.common import as_bytes, grouped, in_slices, joined, keeps_columns, mixed, release_memory, rows, shuffle_partitions, tidy, word_hashes
 from wellspring.workspace import stage, stage_measured
 
 THRESHOLD, EVERY = 0.8, 1
@@ -80,7 +81,7 @@ def rarity(docs: DataFrame) -> tuple[np.ndarray, int]:
 
     def counted(batches):
         counts = np.zeros(size, np.int64)
-        for batch in batches:
+        for batch in in_slices(batches):
             texts = as_bytes(batch["text"])
             for a, b in grouped(texts):
                 hashes = word_hashes(joined(texts[a:b])[0])[1]
@@ -177,17 +178,42 @@ def postings(texts: list[bytes], docs: np.ndarray, rank: np.ndarray, t: Fraction
 BLOB = pa.schema([("part", pa.int32()), ("postings", pa.binary()), ("doc", pa.int64()), ("line", pa.int32())])
 
 
+#: Widths in which a column of whole numbers may be handed on.
+WIDTHS = [np.dtype(k) for k in ("u1", "i1", "<u2", "<i2", "<u4", "<i4")]
+
+
 def columns_of(records: np.ndarray) -> bytes:
-    """A record array column by column, which compresses better than row by row."""
-    return b"".join(np.ascontiguousarray(records[f]).tobytes() for f in records.dtype.names)
+    """A record array column by column, places and numbers in the narrowest width that holds them and
+    documents as steps from one to the next: bytes that do not grow with the number of parts."""
+    out = [np.array([len(records)], "<i8").tobytes()]
+    for f in records.dtype.names:
+        column = np.ascontiguousarray(records[f])
+        if f == "doc":
+            out.append(column[:1].tobytes())
+            column = np.diff(column, prepend=column[:1])  # may wrap around, as may the sums that undo it
+        if column.dtype.kind == "i":
+            low, high = (int(column.min()), int(column.max())) if len(column) else (0, 0)
+            fits = [i for i, k in enumerate(WIDTHS) if np.iinfo(k).min <= low and high <= np.iinfo(k).max]
+            out.append(bytes(fits[:1] or [len(WIDTHS)]))
+            column = column.astype(WIDTHS[fits[0]]) if fits else column
+        out.append(column.tobytes())
+    return b"".join(out)
 
 
 def records_of(blob: bytes, kind: np.dtype) -> np.ndarray:
-    n = len(blob) // kind.itemsize
-    out, at = np.zeros(n, kind), 0
+    n, at = int(np.frombuffer(blob, "<i8", 1)[0]), 8
+    out = np.zeros(n, kind)
     for f in kind.names:
-        out[f] = np.frombuffer(blob, kind[f], n, at)
-        at += n * kind[f].itemsize
+        held, first = kind[f], None
+        if f == "doc":
+            first = np.frombuffer(blob, held, min(n, 1), at)
+            at += first.nbytes
+        if held.kind == "i":
+            held = [*WIDTHS, held][blob[at]]
+            at += 1
+        column = np.frombuffer(blob, held, n, at)
+        at += column.nbytes
+        out[f] = column if first is None else np.cumsum(column, dtype=kind[f]) + first
     return out
 
 
@@ -206,7 +232,7 @@ def posted(docs: DataFrame, rank: np.ndarray, parts: int, t: Fraction, wanted: n
 
     def post(batches):
         held, count = [], 0
-        for batch in batches:
+        for batch in in_slices(batches):
             texts, ids = as_bytes(batch["text"]), doc_ids(batch)
             for a, b in grouped(texts):
                 records, copies, hashes = postings(texts[a:b], ids[a:b], rank, t, wanted, least)
@@ -352,6 +378,7 @@ def filter_of(table: DataFrame, keys_of=place_keys) -> np.ndarray:
     whole = np.zeros((1 << FILTER_BITS) // 8, np.uint8)
     for r in table.coalesce(8).mapInArrow(tidy(marked), "bits binary").collect():
         whole |= np.frombuffer(r["bits"], np.uint8)
+    release_memory()
     return whole
 
 
@@ -360,7 +387,7 @@ def fetched(docs: DataFrame, bits: np.ndarray, least: int = EVERY) -> DataFrame:
     schema = pa.schema([("doc", pa.int64()), ("line", pa.int32()), ("words", pa.binary())])
 
     def fetch(batches):
-        for batch in batches:
+        for batch in in_slices(batches):
             texts, ids = as_bytes(batch["text"]), doc_ids(batch)
             for a, b in grouped(texts):
                 text, ends, owner, number = line_spans(texts[a:b])
@@ -444,6 +471,7 @@ def removed_places(placed: DataFrame, threshold: float, least: int) -> DataFrame
     docs = placed.select(F.col("_place").alias("doc_id"), "text")
     t = Fraction(str(threshold))
     rank, words = rarity(docs)
+    release_memory()  # what the driver gathered the counters in
     parts = max(shuffle_partitions(docs.sparkSession), words // (5 * PART))
     blobs = posted(docs, rank, parts, t, least=least)
     kinds = {name: F.count(F.when(F.col("kind") == kind, 1)) for name, kind in (("pairs", CANDIDATE), ("cut", CUT))}
@@ -455,24 +483,22 @@ def removed_places(placed: DataFrame, threshold: float, least: int) -> DataFrame
         # a line's earliest candidate first: it settles nearly all lines
         first = pairs.groupBy(*place).agg(F.min(F.struct("cdoc", "cline")).alias("c")).select(*place, "c.*")
         first = stage(first, "lines-first")
-        settled = verified(docs, first, t, least)
-        open_pairs = pairs.distinct().join(settled, place, "left_anti").join(first, [*place, "cdoc", "cline"], "left_anti")
-        open_pairs = stage(open_pairs, "lines-open")
-        if not open_pairs.isEmpty():
-            settled = settled.union(verified(docs, open_pairs, t, least))
-        removed = removed.union(settled)
+        removed = removed.union(verified(docs, first, t, least))
     removed = stage(removed.distinct(), "lines-removed")
-    if seen["cut"]:
+    if seen["pairs"]:
+        unsure = pairs.distinct().join(removed, place, "left_anti")
         waiting = found.where(F.col("kind") == CUT).select(*place, "token")
-        waiting = stage(waiting.join(removed, place, "left_anti"), "lines-waiting")
-        if not waiting.isEmpty():
+        waiting = stage(waiting.join(removed, place, "left_anti"), "lines-waiting") if seen["cut"] else None
+        if waiting is not None and not waiting.isEmpty():
             blobs = posted(docs, rank, parts, t, filter_of(waiting, token_keys), least)
             again = searched(blobs, parts, t, None, filter_of(waiting))
             again = again.where(F.col("kind") == CANDIDATE).drop("kind", "token")
-            again = again.distinct().join(waiting, place, "left_semi").join(pairs, [*place, "cdoc", "cline"], "left_anti")
-            again = stage(again, "lines-again")
-            if not again.isEmpty():
-                removed = stage(removed.union(verified(docs, again, t, least)).distinct(), "lines-removed")
+            again = again.distinct().join(waiting, place, "left_semi")
+            unsure = unsure.unionByName(again).distinct()
+        # both kinds together: the texts are read once for them
+        unsure = stage(unsure.join(first, [*place, "cdoc", "cline"], "left_anti"), "lines-unsure")
+        if not unsure.isEmpty():
+            removed = stage(removed.union(verified(docs, unsure, t, least)).distinct(), "lines-removed")
     return removed
 
 
@@ -484,7 +510,7 @@ def line_report(docs: DataFrame, threshold: float = THRESHOLD, least: int = EVER
     placed = own_places(docs.select("doc_id", "text"))
     gone = removed_places(placed, threshold, least).groupBy("doc").agg(F.sort_array(F.collect_list("line")).alias("removed"))
     text = F.coalesce("text", F.lit(""))
-    count = F.length(text) - F.length(F.replace(text, F.lit("\n"), F.lit(""))) + 1
+    count = F.octet_length(text) - F.octet_length(F.replace(text, F.lit("\n"), F.lit(""))) + 1
     counted = placed.select("doc_id", count.cast("long").alias("n_lines"), F.col("_place").alias("doc"))
     out = counted.join(gone, "doc", "left")
     none = F.coalesce("removed", F.array().cast("array<int>"))
@@ -501,8 +527,17 @@ def dedup_lines(docs: DataFrame, threshold: float = THRESHOLD, least: int = EVER
     placed = own_places(docs)
     gone = removed_places(placed, threshold, least).groupBy("doc").agg(F.collect_list("line").alias("_removed"))
     gone = stage(gone, "lines-by-document").withColumn("_place", F.col("doc")).drop("doc")
-    kept = placed.join(gone, "_place", "left").select(*docs.columns, "_removed")
     names = docs.columns
+    # texts that lose nothing stay where they are; only those that the filter names are shuffled
+    bits = filter_of(gone, lambda batch: mixed(batch["_place"].to_numpy().view(np.uint64)))
+
+    @F.pandas_udf("boolean")
+    def named(place: pd.Series) -> pd.Series:
+        return pd.Series(passes(bits, mixed(place.to_numpy().view(np.uint64))))
+
+    marked = placed.withColumn("_named", named("_place"))
+    whole = marked.where(~F.col("_named")).select(*names)
+    kept = marked.where("_named").drop("_named").join(gone, "_place", "left").select(*names, "_removed")
 
     def cleaned(batches):
         for batch in batches:
@@ -518,4 +553,4 @@ def dedup_lines(docs: DataFrame, threshold: float = THRESHOLD, least: int = EVER
             columns = [pa.array(new[n], batch.schema.field(n).type) if n in new else batch[n] for n in names]
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    return kept.mapInArrow(tidy(cleaned), docs.schema)
+    return whole.union(kept.mapInArrow(tidy(cleaned), docs.schema))

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wellspring.llm.common import PIECE_BYTES, and_fields, as_bytes, keeps_columns, pieces, tidy, word_hashes
+from wellspring.llm.common import PIECE_BYTES, and_fields, as_bytes, keeps_columns, pieces, release_memory, tidy, word_hashes
 from wellspring.workspace import stage
 
 BITS = 15
@@ -193,5 +193,7 @@ def with_quality(docs: DataFrame, model: Model, settings: Settings = Settings())
 @keeps_columns("doc_id", "text")
 def select_quality(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """The documents whose tail probability reaches ``settings.keep``, with their own columns."""
-    found = with_quality(docs, train(docs, labels, settings), settings)
+    model = train(docs, labels, settings)
+    release_memory()  # the driver held the whole sample
+    found = with_quality(docs, model, settings)
     return found.where(F.col("tail_probability") >= settings.keep).select(docs.columns)
