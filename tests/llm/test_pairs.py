@@ -232,6 +232,17 @@ def test_postings_are_handed_on_in_narrow_columns():
         assert (lines.records_of(lines.columns_of(records), lines.POSTING) == records).all()
 
 
+def test_postings_are_sorted_by_word_and_place():
+    rng = np.random.default_rng(6)
+    p = np.zeros(2000, lines.POSTING)
+    p["token"], p["line"] = rng.integers((1 << 32) - 40, 1 << 32, 2000), rng.integers(0, 9, 2000)
+    for docs in ([3, 4, 9], [lines.NO_ID, -1, (1 << 63) - 1], [0, 1 << 31]):
+        p["doc"] = rng.choice(docs, 2000)
+        keys = ["token", "doc", "line"]
+        assert (p[keys][lines.by_word(p)] == np.sort(p[keys], order=keys)).all()
+    assert len(lines.by_word(p[:0])) == 0
+
+
 def test_line_edge_rows(spark):
     long = " ".join(f"z{i}" for i in range(300_000))
     docs = [(1, None), (2, ""), (3, "a b c d\na b c d"), (4, "a a a a a\nx\nA A a a a"), (5, "é b c d e f"), (6, "É b c d e f")]

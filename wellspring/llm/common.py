@@ -153,7 +153,8 @@ def word_spans(text: bytes, low: np.ndarray = WHOLE_WORDS) -> tuple[np.ndarray,
     sums = plain * powers(len(plain))[: len(plain)]
     np.cumsum(sums, out=sums)
     hashes = sums[ends - 1]
-    hashes[starts > 0] -= sums[starts[starts > 0] - 1]
+    later = int(starts[0] == 0)  # no other word can begin there
+    hashes[later:] -= sums[starts[later:] - 1]
     hashes *= powers(len(plain), inverse=True)[starts]
     return starts, lengths, mixed(hashes + lengths.astype(np.uint64))
 

@@ -136,8 +136,9 @@ def postings(texts: list[bytes], docs: np.ndarray, rank: np.ndarray, t: Fraction
     postings of words that it names."""
     text, ends, owner, number = line_spans(texts)
     starts, hashes = word_hashes(text)
-    line = np.searchsorted(ends, starts)
-    enough = np.bincount(line, minlength=len(ends)) >= least
+    count = np.diff(np.searchsorted(starts, ends), prepend=0)
+    line = np.repeat(np.arange(len(ends)), count)
+    enough = count >= least
     if wanted is not None:
         named = line[passes(wanted, mixed(token_of(hashes).astype(np.uint64)))]
         enough &= np.bincount(named, minlength=len(ends)) > 0
@@ -161,17 +162,18 @@ def postings(texts: list[bytes], docs: np.ndarray, rank: np.ndarray, t: Fraction
     copy[b] &= (rarest[a] == rarest[b]) & ((doc[a] != doc[b]) | (number[a] != number[b]))
     places = np.zeros(int(copy.sum()), PLACE)
     places["doc"], places["line"] = doc[copy], number[copy]
-    pos = np.arange(len(line)) - np.repeat(first, n)
-    prefix = n - -(-(t.numerator * n) // t.denominator) + 1
-    take = (pos < np.repeat(prefix, n)) & ~np.repeat(copy, n)
+    prefix = np.where(copy, 0, n - -(-(t.numerator * n) // t.denominator) + 1)
+    row = np.repeat(np.arange(len(n)), prefix)
+    pos = np.arange(len(row)) - np.repeat(np.cumsum(prefix) - prefix, prefix)
+    take = first[row] + pos
     if wanted is not None:
-        take &= passes(wanted, mixed(token_of(hashes).astype(np.uint64)))
-    row = np.repeat(np.arange(len(n)), n)[take]
+        some = passes(wanted, mixed(token_of(hashes[take]).astype(np.uint64)))
+        row, pos, take = row[some], pos[some], take[some]
     out = np.zeros(len(row), POSTING)
     out["token"] = token_of(hashes[take])
     out["set"], out["low"], out["high"] = sets[row], low[row], high[row]
     out["doc"], out["line"], out["n"] = doc[row], number[row], n[row]
-    out["pos"] = pos[take]
+    out["pos"] = pos
     return out, places, hashes[take]
 
 
@@ -250,13 +252,27 @@ def posted(docs: DataFrame, rank: np.ndarray, parts: int, t: Fraction, wanted: n
     return docs.select("doc_id", "text").mapInArrow(tidy(post), "part int, postings binary, doc long, line int")
 
 
+def by_word(p: np.ndarray) -> np.ndarray:
+    """The order of postings by (token, doc, line)."""
+    token, doc, line = (np.ascontiguousarray(p[f]) for f in ("token", "doc", "line"))
+    if len(p):
+        first, most = int(doc.min()), int(line.max()) + 1
+        span = (int(doc.max()) - first + 1) * most
+        if line.min() >= 0 and span <= 1 << 32:  # all in one number
+            place = (doc - first).astype(np.uint64) * np.uint64(most) + line.astype(np.uint64)
+            return np.argsort((token.astype(np.uint64) << np.uint64(32)) | place)
+    return np.lexsort((line, doc, token))
+
+
 def candidates(p: np.ndarray, t: Fraction, limit: int | None, probes: np.ndarray | None):
     """(copies, line index pairs (later, earlier), lines cut off at ``limit``) in the postings of
     one part; indices are into the returned postings."""
-    p = p[np.lexsort((p["line"], p["doc"], p["token"]))]
+    p = p[by_word(p)]
     whole = (p["token"].astype(np.uint64) << np.uint64(32)) | p["set"]
-    _, first, of = np.unique(whole, return_index=True, return_inverse=True)
-    first = first[of]  # the earliest line of the same words under this word
+    order = np.argsort(whole, kind="stable")
+    fresh = np.diff(whole[order], prepend=~whole[order[:1]]) != 0
+    first = np.empty(len(p), np.int64)  # the earliest line of the same words under this word
+    first[order] = order[np.maximum.accumulate(np.where(fresh, np.arange(len(p)), 0))]
     same = (first < np.arange(len(p))) & (p["n"] == p["n"][first])
     same &= (p["low"] == p["low"][first]) & (p["high"] == p["high"][first])
     moved = (p["doc"] != p["doc"][first]) | (p["line"] != p["line"][first])
@@ -272,6 +288,7 @@ def candidates(p: np.ndarray, t: Fraction, limit: int | None, probes: np.ndarray
         active &= np.isin(places_key(p["doc"], p["line"]), probes)
     active = np.flatnonzero(active)
     n, pos, low, high = p["n"].astype(np.int64), p["pos"].astype(np.int64), p["low"].copy(), p["high"].copy()
+    doc, line = p["doc"].copy(), p["line"].copy()
     taken = np.zeros(len(p), np.int64)
     pairs, cut_off = [], []
     leader = 0
@@ -286,7 +303,7 @@ def candidates(p: np.ndarray, t: Fraction, limit: int | None, probes: np.ndarray
         ok = reach >= need
         a, b, most = a[ok], b[ok], (n[a] + n[b] - 2 * need)[ok]
         apart = np.bitwise_count(low[a] ^ low[b]).astype(np.int64) + np.bitwise_count(high[a] ^ high[b])
-        ok = (apart <= most) & ((p["doc"][a] != p["doc"][b]) | (p["line"][a] != p["line"][b]))
+        ok = (apart <= most) & ((doc[a] != doc[b]) | (line[a] != line[b]))
         a, b = a[ok], b[ok]
         pairs.append((a, b))
         leader += 1
