@@ -1,3 +1,5 @@
+import tracemalloc
+
 import numpy as np
 import pyarrow as pa
 import pytest
@@ -8,7 +10,7 @@ from pyspark.sql import functions as F
 from tests.support import brute_force, collected, question_table, vector_table
 from wellspring.functions.vectors import as_float32, settle, squared_l2
 from wellspring.operators import nearest
-from wellspring.operators.nearest import RunningTopK, first_copies
+from wellspring.operators.nearest import RunningTopK, below, first_copies, kth_largest, marked
 from wellspring.operators.search import matrix, numbered, search, search_tile, tiles
 
 
@@ -194,6 +196,42 @@ def test_first_copies_keeps_the_lowest_ids():
     assert kept.tolist() == [1, 2, 3, 4]
 
 
+def test_a_block_is_passed_without_a_copy_of_its_products():
+    rows, questions = sample(nearest.ROW_BLOCK, 16), sample(nearest.QUESTION_BLOCK, 16, 8)
+    best = RunningTopK(questions, 6)
+    tracemalloc.start()
+    best.fold(np.arange(len(rows)), rows)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    products = 4 * len(rows) * len(questions)
+    assert peak < 1.9 * products
+    gaps = rows[None].astype(np.float64) - questions[:20, None]
+    assert (best.ids[:20] == (gaps**2).sum(axis=2).argsort(axis=1)[:, :6]).all()
+
+
+@pytest.mark.parametrize("shape, share", [((7, 13), 0.3), ((64, 64), 0.01), ((3, 5), 1.0), ((4, 16), 0.0), ((1, 3), 0.5)])
+def test_marked_finds_what_nonzero_finds(shape, share):
+    near = np.random.default_rng(5).random(shape) < share
+    for mine, theirs in zip(marked(near), np.nonzero(near)):
+        assert (mine == theirs).all()
+
+
+@pytest.mark.parametrize("width, k", [(10, 6), (257, 1), (4096, 6), (4099, 128), (4099, 129)])
+def test_the_kth_largest_is_never_overstated(width, k):
+    rough = sample(9, width)
+    rough[3] = np.sort(rough[3])
+    rough[4] = 1.0
+    exact = np.sort(rough, axis=1)[:, -k]
+    bound = kth_largest(rough, k)
+    assert (bound <= exact).all() and ((rough >= bound[:, None]).sum(axis=1) >= k).all()
+
+
+def test_a_floor_in_single_precision_is_never_raised():
+    floor = np.concatenate([np.random.default_rng(2).normal(size=1000), [-np.inf, -1e300, 0.0, 1e-60]])
+    for kind in (np.float32, np.float64):
+        assert (below(floor, kind).astype(np.float64) <= floor).all() and below(floor, kind).dtype == kind
+
+
 def test_distance_functions(spark):
     df = spark.createDataFrame([([1.0, 2.0], [4.0, 6.0])], "a array<double>, b array<double>")
     row = df.select(
