@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tests.support import brute_force, collected, question_table, small_index, vector_table
 from wellspring.operators.pruned import pruned_search
 from wellspring.operators.search import search
-from wellspring.sources.clusters import load_clusters, write_clusters
+from wellspring.sources.clusters import load_clusters, neighbourly, write_clusters
 from wellspring.workspace import scratch
 
 
@@ -36,6 +36,16 @@ def test_clustered_vectors_read_fewer_slots(spark):
     assert out.slots_held >= 40 and out.slots_read <= out.slots_held // 2
 
 
+def test_centres_of_a_group_follow_each_other():
+    middles = np.random.default_rng(4).normal(size=(9, 12)) * 1000
+    group = np.random.default_rng(6).permutation(np.repeat(np.arange(9), 7))
+    centers = middles[group] + np.random.default_rng(7).normal(size=(63, 12))
+    order = neighbourly(centers)
+    assert sorted(order.tolist()) == list(range(63))
+    assert np.count_nonzero(np.diff(group[order])) == 8
+    assert neighbourly(np.zeros((3, 2))).tolist() == [0, 1, 2] and neighbourly(centers[:1]).tolist() == [0]
+
+
 @pytest.mark.parametrize("tile_bytes", [7 * 12 * 4, 1 << 20])
 def test_tiles_of_neighbouring_questions(spark, tile_bytes):
     vectors = groups(900, 12, 9)

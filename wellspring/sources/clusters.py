@@ -96,7 +96,19 @@ def _centers(vectors: DataFrame, width: int, n: int, cells: int) -> np.ndarray:
         sums = np.zeros_like(centers)
         np.add.at(sums, cell, points)
         centers = np.where(held[:, None] > 0, sums / np.maximum(held, 1)[:, None], centers)
-    return centers
+    return centers[neighbourly(centers)]
+
+
+def neighbourly(centers: np.ndarray) -> np.ndarray:
+    """An order of the centres in which each is followed by the nearest one left. Slots are filled in
+    this order, so cells that a search needs together share slots."""
+    left = np.ones(len(centers), bool)
+    order = [0]
+    while len(order) < len(centers):
+        left[order[-1]] = False
+        away = ((centers - centers[order[-1]]) ** 2).sum(axis=1)
+        order.append(int(np.where(left, away, np.inf).argmin()))
+    return np.array(order)
 
 
 def nearest_center(rows: np.ndarray, centers: np.ndarray) -> np.ndarray:
