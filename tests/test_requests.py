@@ -10,9 +10,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.lost_replies import Counting
-from tests.support import collected, small_index
+from tests.support import SF, collected, small_index
 from tests.test_stream import WORDS, Letters, Refusing, inbox
 from wellspring.operators.generate import Pages, plain, reachable
+from wellspring.plans.queries import QUERIES
 from wellspring.sources.questions import question_stream, queue_questions, queued_questions
 from wellspring.streaming.answers import answer_stream, responses, stream_metrics, totals_before, totals_metrics
 from wellspring.streaming.lifecycle import EVENT, lifecycle_load, lifecycle_stream
@@ -89,6 +90,14 @@ def test_totals_are_what_counting_everything_gives(spark, index, tmp_path):
     assert tuple(totals_metrics({"arrived": 9, "completed": 2, "failed": 1}).values()) == (4, 4, 2, 2)
 
 
+def test_stream_status_counts_every_user_turn(spark):
+    turns = spark.read.parquet(f"{SF}/conversations.parquet").where("role = 'user'")
+    marked = turns.where("conv_id % 6 = 0").count()
+    load = QUERIES["stream_status"](spark, SF).first()
+    assert (load.total_completed, load.total_failed) == (turns.count() - marked, marked)
+    assert turns.where("turn >= 2").count() > 0  # what the query once left out
+
+
 def test_a_request_only_moves_forward(spark, tmp_path):
     def arrive(*rows):
         spark.createDataFrame(rows, EVENT).coalesce(1).write.mode("append").parquet(f"{tmp_path}/events")
