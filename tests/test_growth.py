@@ -81,6 +81,35 @@ def test_the_index_is_searched_once_for_the_files_that_wait(spark, tmp_path, mon
     assert set(root.iterdir()) <= before
 
 
+def test_a_micro_batch_of_the_queue_runs_few_jobs(spark, tmp_path):
+    from tests.support import small_index
+    from tests.test_stream import WORDS, Letters, Refusing
+    from wellspring.schemas import REQUEST
+    from wellspring.sources.questions import question_stream, queue_questions, queued_questions
+    from wellspring.streaming.answers import answer_stream, responses, stream_metrics, totals_before, totals_metrics
+
+    index = small_index(spark, [(i, 0, w, [float(ord(w[0])), float(ord(w[-1]))]) for i, w in enumerate(WORDS)], 2)
+    jobs = []
+    for files in (2, 10):
+        path = f"{tmp_path}/{files}"
+        asked = spark.range(0, 10 * files - 3, 1, 1).select(F.concat_ws(" ", F.lit("fig"), "id").alias("query_text"))
+        asked.union(spark.createDataFrame([("status",), ("fail",), ("refuse",)], "query_text string")).coalesce(1).write.json(f"{path}/inbox")
+        queue_questions(question_stream(spark, f"{path}/inbox"), f"{path}/queue", f"{path}/queued", rows=10).awaitTermination()
+        running = answer_stream(queued_questions(spark, f"{path}/queue"), index, Letters(), Refusing(), path, f"{path}/c", retries=1, queue=f"{path}/queue")
+        running.awaitTermination()
+        jobs.append(len(spark.sparkContext.statusTracker().getJobIdsForGroup(str(running.runId))))
+        # ids and times that are made up are the same in both places
+        arrived = spark.read.schema(REQUEST).json(f"{path}/arrivals")
+        answered = responses(spark, path)
+        ids = [r.query_id for r in answered.collect()]
+        assert sorted(ids) == sorted(r.query_id for r in arrived.collect()) and len(set(ids)) == 10 * files - 1
+        assert arrived.where("ts IS NULL").count() == 0 and answered.where("processing_time >= 0").count() == 10 * files - 3
+        totals = totals_before(spark, path, files)
+        assert totals == {"arrived": 10 * files - 1, "completed": 10 * files - 3, "failed": 2}
+        assert tuple(totals_metrics(totals).values()) == tuple(stream_metrics(spark, path).first())
+    assert jobs[1] - jobs[0] <= 8 * 5  # ten for each file before
+
+
 class Held:
     """Encodes each text as the number of texts that its caller holds as Python objects."""
 
